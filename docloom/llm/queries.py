@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from docloom.llm import decontamination, mixing, quality_rules, secrets, token_store, warc
+from docloom.llm import decontamination, jaccard_join, mixing, quality_rules, secrets, token_store, warc
 from docloom.llm.common import table
 
 
@@ -36,6 +36,10 @@ def op8_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.classes(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -45,6 +49,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_water_filling,
         op7_token_files,
         op8_warc_zstd,
+        op10_jaccard_join,
     )
 }
 
@@ -148,4 +153,16 @@ SELECT doc_id, size, source_size, target,
   CAST(CASE WHEN size > 0 THEN whole + (more >= size)::INT ELSE 1 END AS BIGINT) AS copies,
   CAST(CASE WHEN more >= size THEN 0 ELSE more END AS BIGINT) AS part,
   CAST(size * whole + more AS BIGINT) AS taken FROM m""",
+    "op10_jaccard_join": rf"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id, {WORDS} AS w FROM documents),
+sh AS (SELECT DISTINCT rid, array_to_string(w[i:i + least(5, len(w)) - 1], ' ') AS s FROM
+  (SELECT rid, w, unnest(generate_series(1, greatest(1, len(w) - 4))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT rid, count(*) AS n FROM sh GROUP BY rid),
+p AS (SELECT a.rid AS x, b.rid AS y, count(*) AS c FROM sh a JOIN sh b USING (s) WHERE a.rid <> b.rid GROUP BY 1, 2),
+l AS (SELECT x, y FROM p JOIN n a ON a.rid = x JOIN n b ON b.rid = y WHERE 5 * c >= 4 * (a.n + b.n - c)),
+reach AS (SELECT rid AS x, rid AS y FROM d UNION SELECT reach.x, l.y FROM reach JOIN l ON reach.y = l.x),
+c AS (SELECT x, min(doc_id) AS class_id FROM reach JOIN d ON d.rid = y GROUP BY x),
+k AS (SELECT x, count(*) AS n_links FROM l GROUP BY x)
+SELECT doc_id, class_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles
+FROM d JOIN c ON c.x = d.rid LEFT JOIN k ON k.x = d.rid LEFT JOIN n ON n.rid = d.rid""",
 }
