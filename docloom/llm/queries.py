@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from docloom.llm import decontamination, jaccard_join, mixing, quality_rules, secrets, token_store, warc
+from docloom.llm import decontamination, deleted_interpolation, jaccard_join, mixing, quality_rules, secrets, token_store, warc
 from docloom.llm.common import table
 
 
@@ -20,6 +20,10 @@ def op2_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return deleted_interpolation.score(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
@@ -45,6 +49,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_decontamination,
         op2_secret_ledger,
+        op3_deleted_interpolation,
         op5_quality_rules,
         op6_water_filling,
         op7_token_files,
