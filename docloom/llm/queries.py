@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from docloom.llm import decontamination, deleted_interpolation, jaccard_join, mixing, quality_rules, secrets, token_store, warc
+from docloom.llm import decontamination, deleted_interpolation, jaccard_join, mixing, quality_rules, secrets, suffix_dedup, token_store, warc
 from docloom.llm.common import table
 
 
@@ -40,6 +40,10 @@ def op8_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op9_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeats(table(spark, sf_dir, "documents"))
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.classes(table(spark, sf_dir, "documents"))
 
@@ -54,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_water_filling,
         op7_token_files,
         op8_warc_zstd,
+        op9_suffix_array,
         op10_jaccard_join,
     )
 }
@@ -170,4 +175,22 @@ c AS (SELECT x, min(doc_id) AS class_id FROM reach JOIN d ON d.rid = y GROUP BY
 k AS (SELECT x, count(*) AS n_links FROM l GROUP BY x)
 SELECT doc_id, class_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles
 FROM d JOIN c ON c.x = d.rid LEFT JOIN k ON k.x = d.rid LEFT JOIN n ON n.rid = d.rid""",
+    "op9_suffix_array": rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {WORDS} AS w FROM documents),
+win AS (SELECT rid, doc_id, i, sha256(array_to_string(w[i:i + 49], ' ')) AS k FROM
+  (SELECT rid, doc_id, w, unnest(generate_series(1, len(w) - 49)) AS i FROM d WHERE len(w) >= 50)),
+r AS (SELECT rid, i, n, c FROM (SELECT rid, i, count(*) OVER (PARTITION BY k) AS n,
+  row_number() OVER (PARTITION BY k ORDER BY doc_id, rid, i) AS c FROM win) WHERE n > 1),
+cov AS (SELECT rid, p, bool_or(c > 1) AS later FROM
+  (SELECT rid, c, unnest(generate_series(i - 1, i + 48)) AS p FROM r) GROUP BY rid, p),
+isl AS (SELECT rid, later, p, p - row_number() OVER (PARTITION BY rid ORDER BY p) AS g,
+  p - row_number() OVER (PARTITION BY rid, later ORDER BY p) AS h FROM cov),
+s AS (SELECT rid, string_agg(concat(a, ':', b), ',' ORDER BY a) AS spans FROM
+  (SELECT rid, g, min(p) AS a, max(p) + 1 AS b FROM isl GROUP BY rid, g) GROUP BY rid),
+t AS (SELECT rid, string_agg(concat(a, ':', b), ',' ORDER BY a) AS spans FROM
+  (SELECT rid, h, min(p) AS a, max(p) + 1 AS b FROM isl WHERE later GROUP BY rid, h) GROUP BY rid),
+n AS (SELECT rid, count(*) AS n, count(*) FILTER (later) AS c FROM cov GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(n.n AS BIGINT) AS n_repeated, CAST(n.c AS BIGINT) AS n_copied,
+  s.spans AS spans, coalesce(t.spans, '') AS copied_spans
+FROM n JOIN d USING (rid) JOIN s USING (rid) LEFT JOIN t USING (rid)""",
 }
