@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from docloom.llm import decontamination, deleted_interpolation, jaccard_join, mixing, quality_rules, secrets, suffix_dedup, token_store, warc
+from docloom.llm import decontamination, deleted_interpolation, jaccard_join, line_dedup, mixing, quality_rules, secrets, suffix_dedup, token_store, warc
 from docloom.llm.common import table
 
 
@@ -24,6 +24,10 @@ def op3_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deleted_interpolation.score(table(spark, sf_dir, "documents"))
 
 
+def op4_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.repeated_runs(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
@@ -54,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_decontamination,
         op2_secret_ledger,
         op3_deleted_interpolation,
+        op4_line_runs,
         op5_quality_rules,
         op6_water_filling,
         op7_token_files,
@@ -193,4 +198,20 @@ n AS (SELECT rid, count(*) AS n, count(*) FILTER (later) AS c FROM cov GROUP BY
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(n.n AS BIGINT) AS n_repeated, CAST(n.c AS BIGINT) AS n_copied,
   s.spans AS spans, coalesce(t.spans, '') AS copied_spans
 FROM n JOIN d USING (rid) JOIN s USING (rid) LEFT JOIN t USING (rid)""",
+    "op4_line_runs": r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+l AS (SELECT rid, doc_id, i, line, row_number() OVER (PARTITION BY rid ORDER BY i) AS p FROM
+  (SELECT rid, doc_id, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i, unnest(string_split(text, chr(10))) AS line FROM d)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+w AS (SELECT a.rid, a.doc_id, a.p, concat_ws(chr(10), a.line, b.line, c.line) AS k FROM l a
+  JOIN l b ON b.rid = a.rid AND b.p = a.p + 1 JOIN l c ON c.rid = a.rid AND c.p = a.p + 2),
+later AS (SELECT rid, p FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id, rid, p) AS c FROM w) WHERE c > 1),
+gone AS (SELECT DISTINCT l.rid, l.i FROM later JOIN l ON l.rid = later.rid AND l.p BETWEEN later.p AND later.p + 2),
+s AS (SELECT rid, sum(n) AS n, string_agg(concat(a, ':', b), ',' ORDER BY a) AS removed FROM
+  (SELECT rid, count(*) AS n, min(i) AS a, max(i) + 1 AS b FROM
+    (SELECT rid, i, i - row_number() OVER (PARTITION BY rid ORDER BY i) AS g FROM gone) GROUP BY rid, g) GROUP BY rid),
+n AS (SELECT rid, count(*) AS n FROM l GROUP BY rid)
+SELECT doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_lines, CAST(coalesce(s.n, 0) AS BIGINT) AS n_removed,
+  coalesce(removed, '') AS removed
+FROM d LEFT JOIN n USING (rid) LEFT JOIN s USING (rid)""",
 }
