@@ -106,8 +106,8 @@ def repeated_words(docs: list[list[bytes]], width: int) -> np.ndarray:
     return covered[ends] - covered[ends - sizes]
 
 
-def judge(
-    docs: DataFrame,
+def figures(
+    bodies: list[bytes],
     *,
     min_words: int = 20,
     max_repeat_percent: int = 30,
@@ -115,70 +115,93 @@ def judge(
     keep_share: float = 0.5,
     symbol_share: float = 0.1,
     unpunctuated_words: int = 12,
-    chunk_words: int = 500_000,
-) -> DataFrame:
-    """One row per document with its base figures, its lines' fate and the verdict."""
-
-    def figures(ids: list, bodies: list[bytes], words: list[list[bytes]]) -> pa.RecordBatch:
-        repeats = repeated_words(words, window)
-        out: dict[str, list] = {name: [] for name in RESULT_ARROW.names}
-        for doc_id, text, own, repeat in zip(ids, bodies, words, repeats.tolist(), strict=True):
-            seen, dup, n_lines, removed, kept_chars = set(), 0, 0, 0, 0
-            for line in text.split(b"\n"):
-                n = len(line.split())
-                if not n:
-                    continue
-                n_lines += 1
-                dup += line in seen
-                seen.add(line)
-                chars = chars_of_words(line)
-                if line_fails(line, n, chars, symbol_share=symbol_share, unpunctuated_words=unpunctuated_words):
-                    removed += 1
-                else:
-                    kept_chars += chars
-            total = chars_of_words(text)
-            failed = len(own) < min_words or 100 * repeat > max_repeat_percent * len(own)
-            row = (
-                doc_id,
-                len(own),
-                total,
-                len(text) - len(text.translate(None, SYMBOLS)),
-                dup,
-                repeat,
-                failed,
-                n_lines,
-                removed,
-                kept_chars,
-                not failed and kept_chars >= keep_share * total,
-            )
-            for name, value in zip(out, row, strict=True):
-                out[name].append(value)
-        return pa.RecordBatch.from_pydict(out, schema=RESULT_ARROW)
+) -> list[tuple]:
+    """The result's columns after doc_id, for each text."""
+    words, out = [x.split() for x in bodies], []
+    for text, own, repeat in zip(bodies, words, repeated_words(words, window).tolist(), strict=True):
+        seen, dup, n_lines, removed, kept_chars = set(), 0, 0, 0, 0
+        for line in text.split(b"\n"):
+            n = len(line.split())
+            if not n:
+                continue
+            n_lines += 1
+            dup += line in seen
+            seen.add(line)
+            chars = chars_of_words(line)
+            if line_fails(line, n, chars, symbol_share=symbol_share, unpunctuated_words=unpunctuated_words):
+                removed += 1
+            else:
+                kept_chars += chars
+        total = chars_of_words(text)
+        failed = len(own) < min_words or 100 * repeat > max_repeat_percent * len(own)
+        symbols = len(text) - len(text.translate(None, SYMBOLS))
+        kept = not failed and kept_chars >= keep_share * total
+        out.append((len(own), total, symbols, dup, repeat, failed, n_lines, removed, kept_chars, kept))
+    return out
+
+
+def verdicts(bodies: list[bytes], **rules: float) -> list[bool]:
+    return [x[-1] for x in figures(bodies, **rules)]
+
+
+def judge(docs: DataFrame, *, chunk_bytes: int = 4_000_000, **rules: float) -> DataFrame:
+    """One row per document with its base figures, its lines' fate and the verdict; ``rules`` as in ``figures``."""
+
+    def made(ids: list, bodies: list[bytes]) -> pa.RecordBatch:
+        rows = [(i, *x) for i, x in zip(ids, figures(bodies, **rules), strict=True)]
+        return pa.RecordBatch.from_pydict(
+            dict(zip(RESULT_ARROW.names, zip(*rows, strict=True), strict=True)), schema=RESULT_ARROW
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, bodies, words, total = [], [], [], 0
+        ids, bodies, total = [], [], 0
         for batch in batches_of(batches):
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch), strict=True):
                 ids.append(doc_id)
                 bodies.append(text)
-                words.append(text.split())
-                total += len(words[-1])
-                if total >= chunk_words or len(ids) >= 20_000:
-                    yield figures(ids, bodies, words)
-                    ids, bodies, words, total = [], [], [], 0
+                total += len(text)
+                if total >= chunk_bytes or len(ids) >= 20_000:
+                    yield made(ids, bodies)
+                    ids, bodies, total = [], [], 0
         if ids:
-            yield figures(ids, bodies, words)
+            yield made(ids, bodies)
 
     return id_and_text(docs).mapInArrow(run, RESULT)
 
 
-def clean_lines(text: str, *, symbol_share: float = 0.1, unpunctuated_words: int = 12) -> str:
+def filter_documents(docs: DataFrame, **rules: float) -> DataFrame:
+    """``docs`` (any columns, text among them) without rejected documents; the failing lines of the others go.
+
+    ``n_chars``, where it is there, follows the text. Rules as in ``judge``.
+    """
+    spark_schema, names = docs.schema, docs.columns
+    at = [i for i, x in enumerate(names) if x == "text"][-1]
+    counts = [i for i, x in enumerate(names) if x == "n_chars"]
+    line_rules = {k: rules[k] for k in ("symbol_share", "unpunctuated_words") if k in rules}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches_of(batches):
+            for part in (batch.slice(i, 2000) for i in range(0, batch.num_rows, 2000)):
+                bodies = texts(pa.RecordBatch.from_arrays([part.column(at)], ["text"]))
+                keep = verdicts(bodies, **rules)
+                part = part.filter(pa.array(keep))
+                cleaned = [clean_lines(b, **line_rules) for b, k in zip(bodies, keep, strict=True) if k]
+                columns = list(part.columns)
+                columns[at] = pa.array([x.decode() for x in cleaned], part.schema.field(at).type)
+                for i in counts:
+                    columns[i] = pa.array([len(x.decode()) for x in cleaned]).cast(part.schema.field(i).type)
+                yield pa.RecordBatch.from_arrays(columns, schema=part.schema)
+
+    return docs.mapInArrow(run, spark_schema)
+
+
+def clean_lines(text: bytes, *, symbol_share: float = 0.1, unpunctuated_words: int = 12) -> bytes:
     """The text without its failing lines."""
     out = []
-    for line in text.encode().split(b"\n"):
+    for line in text.split(b"\n"):
         n = len(line.split())
         if not n or not line_fails(
             line, n, chars_of_words(line), symbol_share=symbol_share, unpunctuated_words=unpunctuated_words
         ):
             out.append(line)
-    return b"\n".join(out).decode()
+    return b"\n".join(out)
