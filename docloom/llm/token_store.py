@@ -15,6 +15,10 @@ An empty table writes no file and gives no row.
 
 from __future__ import annotations
 
+import array
+import json
+import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -133,9 +137,9 @@ class TokenFile:
 
 
 class Pieces(dict):
-    """Ids of the piece " " + key, as bytes. It forgets all when it holds ``most`` pieces."""
+    """Ids of the piece lead + key, as bytes. It forgets all when it holds ``most`` pieces."""
 
-    def __init__(self, encode, lead: str, most: int = 400_000):
+    def __init__(self, encode, lead: str = "", most: int = 300_000):
         super().__init__()
         self.encode, self.lead, self.most = encode, lead, most
 
@@ -148,34 +152,73 @@ class Pieces(dict):
         return out
 
 
+# What the byte-level pre-tokenizer makes of ASCII and of Latin letters (fixed: its own pattern, for these characters).
+LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+PLAIN = re.compile(rf"[\x20-\x7e\n\t\r{LATIN}]*")
+PRE_TOKENS = re.compile(
+    rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LATIN}]+| ?[0-9]+| ?[^\x20\n\t\r0-9{LATIN}]+|[\x20\n\t\r]+(?![^\x20\n\t\r])|[\x20\n\t\r]+"
+)
+
+
+def byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable bytes stand for themselves, the others for letters from U+0100 on."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(0x100 + i) for i, b in enumerate(hidden)}
+
+
 class CachedTokenizer:
-    """A byte-level tokenizer of the tokenizers library that encodes each distinct piece of text once.
+    """A tokenizer of the tokenizers library that encodes each distinct piece of text once.
 
-    The pre-tokenizer of such vocabularies lets a space join only what follows it, unless it stands in a run of white
-    space. A text may therefore be cut before each space that stands between two characters that are not white space,
-    and its ids are those of its pieces. Other texts are cut at just those places by an expression.
+    The byte-level pre-tokenizer lets a space join only what follows it, unless it stands in a run of white space. A
+    text may therefore be cut before each space that stands between two characters that are not white space, and its
+    ids are those of its pieces. Texts with other spaces are cut at just those places by an expression. A piece of
+    plain Latin text is cut into pre-tokens, which the library's BPE model encodes; any other piece, and any text where
+    the vocabulary has another pre-tokenizer, goes to the library whole.
     """
 
     def __init__(self, path: str):
-        import os
-        import re
-
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        kind = json.loads(self.tokenizer.to_str())
         size = self.tokenizer.get_vocab_size()
         self.width = 2 if size <= 1 << 16 else 4
-        self.dtype = f"<u{self.width}"
-        self.tails, self.heads = Pieces(self._encode, " "), Pieces(self._encode, "")
+        self.dtype, self.code = f"<u{self.width}", "H" if self.width == 2 else "I"
+        self.added = [t["content"] for t in kind["added_tokens"]]
+        pre, model = kind["pre_tokenizer"] or {}, kind["model"]
+        self.known = (
+            pre.get("type") == "ByteLevel"
+            and pre.get("use_regex")
+            and not pre.get("add_prefix_space")
+            and not any((kind["normalizer"], kind["post_processor"], kind["truncation"], kind["padding"]))
+            and model["type"] == "BPE"
+            and not any((model.get("dropout"), model.get("unk_token"), model.get("end_of_word_suffix")))
+            and not any(c.isspace() for t in self.added for c in t)
+        )
+        self.letters = byte_letters()
+        self.words = Pieces(self._word)
+        self.tails, self.heads = Pieces(self._piece, " "), Pieces(self._piece)
         self.cuts = re.compile(r"(?<=\S)(?= \S)")
 
-    def _encode(self, piece: str) -> bytes:
-        return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, self.dtype).tobytes()
+    def _bytes(self, ids: list[int]) -> bytes:
+        return array.array(self.code, ids).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        shown = word.encode().decode("latin-1").translate(self.letters)
+        return self._bytes([t.id for t in self.tokenizer.model.tokenize(shown)])
+
+    def _piece(self, piece: str) -> bytes:
+        if not PLAIN.fullmatch(piece) or any(t in piece for t in self.added):
+            return self._bytes(self.tokenizer.encode(piece, add_special_tokens=False).ids)
+        return b"".join(map(self.words.__getitem__, PRE_TOKENS.findall(piece)))
 
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
+        if not self.known:
+            return self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
         first, *rest = text.split(" ")
         try:
             if first and not first[-1].isspace() or not rest:
