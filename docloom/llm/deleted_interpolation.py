@@ -341,6 +341,8 @@ def score(docs: DataFrame, *, chunk_tokens: int = 1_000_000, range_keys: int = 2
     sums = [F.coalesce(F.sum(F.col("n")[i]), F.lit(0)) for i in range(4)]
     n, v, n_rest, v_rest = answers.where("n is not null").agg(*sums).first()
     weights = learn(histogram(table, answers, n_rest, v_rest).collect())
+    if not n:
+        weights[:] = 0, 0, 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema(
