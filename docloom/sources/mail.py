@@ -27,12 +27,19 @@ MESSAGE = (
 )
 
 
+def _leaves(part) -> Iterator:
+    """Parts that hold no parts; an attached message is one, whatever it holds."""
+    if part.get_content_type() == "message/rfc822" or not part.is_multipart():
+        yield part
+    else:
+        for own in part.iter_parts():
+            yield from _leaves(own)
+
+
 def parse_rfc822(content: bytes) -> dict:
     m = email.message_from_bytes(content, policy=email.policy.default)
     plain, rich, files = None, None, []
-    for part in m.walk():
-        if part.is_multipart() and part.get_content_type() != "message/rfc822":
-            continue
+    for part in _leaves(m):
         if part.get_content_type() == "message/rfc822":
             inner = part.get_payload(0)
             files.append({"name": "message.eml", "hidden": False, "data": inner.as_bytes()})
