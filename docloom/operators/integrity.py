@@ -80,3 +80,13 @@ def new_or_changed(current: DataFrame, done: DataFrame, key: str, content: str)
 def retained(previous: DataFrame, current: DataFrame, key: str) -> DataFrame:
     """Earlier rows that no current one replaces, then the current ones."""
     return previous.join(current.select(key), key, "left_anti").unionByName(current, allowMissingColumns=True)
+
+
+def repaired_parents(broken: DataFrame, originals: DataFrame) -> DataFrame:
+    """``broken(parent, date, subject, attachment)`` against ``originals(file, date, subject, attachment)``: the one message
+    of that date and subject with the same set of attachments; missing or ambiguous otherwise, never a guess."""
+    gather = lambda df, name: df.groupBy(name, "date", "subject").agg(F.array_sort(F.collect_set("attachment")).alias("own"))
+    pairs = gather(broken, "parent").join(gather(originals, "file"), ["date", "subject", "own"], "left")
+    found = pairs.groupBy("parent").agg(F.count("file").alias("n"), F.min("file").alias("file"))
+    state = F.when(F.col("n") == 1, "repaired").when(F.col("n") == 0, "missing").otherwise("ambiguous")
+    return found.select("parent", state.alias("state"), F.when(F.col("n") == 1, F.col("file")).alias("file"))

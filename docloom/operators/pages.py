@@ -115,3 +115,12 @@ def in_order(expected: DataFrame, observed: DataFrame, key: str) -> DataFrame:
         (F.col("_e") == seen).alias("complete"),
         (F.filter("_e", lambda m: F.array_contains(seen, m)) == seen).alias("ordered"),
     )
+
+
+def batched(pages: DataFrame, doc: str, page: str, size: str, *, most: int = 5, max_bytes: int = 9 * (2 << 20) // 10) -> DataFrame:
+    """Batch numbers of each document's pages in order: ``most`` pages and ``max_bytes`` at most; a larger page is alone."""
+    from docloom.operators.bundles import assigned
+
+    capped = pages.withColumns({"_one": F.lit(1), "_size": F.least(F.col(size), F.lit(max_bytes))})
+    rows = assigned(capped, [page], words="_one", size="_size", max_words=most, max_bytes=max_bytes, run=doc)
+    return rows.drop("_one", "_size").withColumnRenamed("bundle", "batch")
