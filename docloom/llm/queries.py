@@ -214,4 +214,14 @@ n AS (SELECT rid, count(*) AS n FROM l GROUP BY rid)
 SELECT doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_lines, CAST(coalesce(s.n, 0) AS BIGINT) AS n_removed,
   coalesce(removed, '') AS removed
 FROM d LEFT JOIN n USING (rid) LEFT JOIN s USING (rid)""",
+    "op8_warc_zstd": """
+WITH p AS (SELECT page_id, nullif(url, '') AS url, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+f AS (SELECT h, min(page_id) AS first FROM p GROUP BY h),
+x AS (SELECT *, list_transform(generate_series(0, 7), lambda i: CAST(concat('0x', substr(h, 5 * i + 1, 5)) AS BIGINT)) AS v FROM p JOIN f USING (h))
+SELECT page_id, url, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(v, lambda n: array_to_string(list_transform([15, 10, 5, 0],
+    lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((n >> s) & 31 AS BIGINT) + 1, 1)), '')), '') AS payload_digest,
+  CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM x""",
 }
