@@ -5,11 +5,14 @@ A status says how healthy a text looks, never how accurate it is.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom.functions import fixed
 from docloom.functions import text as X
+from docloom.functions.dates import let
 
 RANK = {"PASS": 0, "WARNING": 1, "FAIL": 2}
 
@@ -62,11 +65,21 @@ def reasons(m: Column) -> Column:
     return F.array_compact(F.array(*found))
 
 
+def _known(anchors: tuple[str, ...]) -> Column:
+    """The anchors with what they are compared by, as literals."""
+    pairs = [F.struct(F.lit(a).alias("name"), F.lit(re.sub("[^A-Z0-9]", "", a.upper())).alias("key")) for a in anchors]
+    return F.array(*pairs) if pairs else F.array().cast("array<struct<name:string,key:string>>")
+
+
 def missing_anchors(source: Column, text: Column, anchors: tuple[str, ...] = fixed.ANCHORS) -> Column:
     """Anchor phrases that the source has and the text lacks, compared by upper-case letters and digits."""
-    own, other = X.compact(source), X.compact(X.without_images(text))
-    names = F.array(*[F.lit(a) for a in anchors])
-    return F.filter(names, lambda a: F.contains(own, X.compact(a)) & ~F.contains(other, X.compact(a)))
+    both = F.struct(X.compact(source).alias("own"), X.compact(X.without_images(text)).alias("other"))
+
+    def lacking(b: Column) -> Column:
+        found = F.filter(_known(anchors), lambda a: F.contains(b["own"], a["key"]) & ~F.contains(b["other"], a["key"]))
+        return F.transform(found, lambda a: a["name"])
+
+    return let(both, lacking)
 
 
 def with_anchors(state: Column, missing: Column, n_anchors: Column) -> Column:
@@ -77,8 +90,10 @@ def with_anchors(state: Column, missing: Column, n_anchors: Column) -> Column:
 
 
 def anchors_of(source: Column, anchors: tuple[str, ...] = fixed.ANCHORS) -> Column:
-    own = X.compact(source)
-    return F.filter(F.array(*[F.lit(a) for a in anchors]), lambda a: F.contains(own, X.compact(a)))
+    def having(own: Column) -> Column:
+        return F.transform(F.filter(_known(anchors), lambda a: F.contains(own, a["key"])), lambda a: a["name"])
+
+    return let(X.compact(source), having)
 
 
 def routing(raw: Column, text: Column, image_ratio: Column, turned: Column, span_text: Column) -> Column:
