@@ -183,6 +183,11 @@ SENT_FORMATS = (
     "MMMM d, yyyy h:mm a", "MMM d, yyyy h:mm a", "d/MMM/yyyy h:mm a", "d/MMMM/yyyy h:mm a", "d MMM yyyy h:mm a",
     "MMMM d, yyyy H:mm", "d/MMM/yyyy H:mm", "yyyy-M-d H:mm",
 )
+# The same for strptime.
+SENT_FORMATS_PYTHON = (
+    "%B %d, %Y %I:%M %p", "%b %d, %Y %I:%M %p", "%d/%b/%Y %I:%M %p", "%d/%B/%Y %I:%M %p", "%d %b %Y %I:%M %p",
+    "%B %d, %Y %H:%M", "%d/%b/%Y %H:%M", "%Y-%m-%d %H:%M",
+)
 
 # References in reports. The code patterns are one customer's and parameters everywhere.
 REFERENCE = r"(?i)(?<![\p{L}\p{N}_])(?:E-[0-9a-f]{20}|A-[0-9a-f]{20}(?:-T-[0-9a-f]{12})?)(?![\p{L}\p{N}_])"

@@ -76,9 +76,14 @@ def nearest_to_all(vectors: DataFrame, queries: DataFrame, *, key: str = "vec_id
                 keep = length > 0
                 scores = unit @ (m[keep] / length[keep, None]).T
                 keys = pdf["key"].to_numpy()[keep]
-                for q, s in zip(ids, scores, strict=True):
-                    best = np.lexsort((keys, -s))[:k]
-                    yield pd.DataFrame({"query_id": q, "key": keys[best], "similarity": s[best]})
+                best = np.stack([np.lexsort((keys, -s))[:k] for s in scores])
+                yield pd.DataFrame(
+                    {
+                        "query_id": np.repeat(ids, best.shape[1]),
+                        "key": keys[best].ravel(),
+                        "similarity": np.take_along_axis(scores, best, axis=1).ravel(),
+                    }
+                )
 
         pairs = vectors.select(F.col(key).alias("key"), F.col(vector).alias("v")).mapInPandas(
             run, "query_id long, key long, similarity double"
