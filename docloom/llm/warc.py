@@ -28,6 +28,7 @@ from docloom.llm.shared_files import write_file
 
 DICT_MAGIC = 0x184D2A5D
 ZSTD_MAGIC = b"\x28\xb5\x2f\xfd"
+STEP = 1 << 14
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RESULT = (
     "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, url string"
@@ -102,15 +103,19 @@ def read_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """Headers (names in lower case) and block of each record of an archive, checked."""
     raw, rest = frames(data)
     decoder = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(raw) if raw else None)
-    while len(rest):
-        one = decoder.decompressobj()
-        try:
-            text = one.decompress(rest)
-        except zstandard.ZstdError as e:
-            raise ArchiveError(f"a broken frame: {e}") from e
-        if not one.eof:
-            raise ArchiveError("the last frame is cut short")
-        rest = rest[len(rest) - len(one.unused_data) :]
+    at = 0
+    while at < len(rest):
+        one, out = decoder.decompressobj(), []
+        while not one.eof:  # a step at a time: what it reads too far is copied
+            step = rest[at : at + STEP]
+            if not len(step):
+                raise ArchiveError("the last frame is cut short")
+            try:
+                out.append(one.decompress(step))
+            except zstandard.ZstdError as e:
+                raise ArchiveError(f"a broken frame: {e}") from e
+            at += len(step) - len(one.unused_data)
+        text = b"".join(out)
         yield parse_record(text)
 
 
