@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.llm.common import batches_of, shared_dir, texts
@@ -147,8 +147,10 @@ def _page(uri: str) -> int | None:
     return int(number) if number else None
 
 
-def write_archives(pages: DataFrame, folder: str, *, archive_bytes: int = 16 << 20, level: int = 3) -> None:
-    """Writes ``pages(page_id, url, html)`` as archives of about ``archive_bytes`` under ``folder``.
+def write_archives(pages: DataFrame, folder: str, *, archive_bytes: int = 16 << 20, level: int = 3) -> set[str]:
+    """Writes ``pages(page_id, url, html)`` as archives of about ``archive_bytes`` under ``folder``; returns their names.
+
+    A name holds the task's attempt: files that a lost attempt left behind are not among those returned.
 
     Who refers to whom is found on digests alone (a pre-aggregated minimum for each digest); the payloads move once, to
     the join with it, which Spark may split where one payload has very many copies.
@@ -163,36 +165,44 @@ def write_archives(pages: DataFrame, folder: str, *, archive_bytes: int = 16 <<
     dictionary = COMMON.encode()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, k = TaskContext.get().partitionId(), 0
+        task, names = TaskContext.get(), []
+        stem = f"part-{task.partitionId():06d}-{task.attemptNumber():02d}"
         known = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         encoder = zstandard.ZstdCompressor(level=level, dict_data=known, write_checksum=True)
-        out, size, n = [dictionary_frame(dictionary)], 0, 0
-        names = ("page_id", "url", "first")
+        out, size = [dictionary_frame(dictionary)], 0
+
+        def close() -> None:
+            names.append(f"{stem}-{len(names):04d}.warc.zst")
+            write_file(folder, names[-1], b"".join(out))
+
         for batch in batches_of(batches):
-            columns = [batch.column(x).to_pylist() for x in names]
+            columns = [batch.column(x).to_pylist() for x in ("page_id", "url", "first")]
             for page_id, url, first_id, payload in zip(*columns, texts(batch, "html"), strict=True):
                 revisit = first_id is not None and page_id != first_id
                 text = record(page_id, url, payload, digest_of(payload), first_id if revisit else None, revisit)
                 out.append(encoder.compress(text))
-                size, n = size + len(out[-1]), n + 1
+                size += len(out[-1])
                 if size >= archive_bytes:
-                    write_file(folder, f"part-{part:06d}-{k:04d}.warc.zst", b"".join(out))
-                    out, size, k = out[:1], 0, k + 1
+                    close()
+                    out, size = out[:1], 0
         if len(out) > 1:
-            write_file(folder, f"part-{part:06d}-{k:04d}.warc.zst", b"".join(out))
-        yield pa.RecordBatch.from_pydict({"n": [n]}, pa.schema([("n", pa.int64())]))
+            close()
+        yield pa.RecordBatch.from_pydict({"file": names}, pa.schema([("file", pa.string())]))
 
     joined = rows.join(repeated, "sha", "left").select("page_id", "url", "html", "first")
-    joined.mapInArrow(run, "n bigint").agg(F.sum("n")).collect()
+    return {r["file"] for r in joined.mapInArrow(run, "file string").collect()}
 
 
-def read_archives(pages: DataFrame, folder: str) -> DataFrame:
-    """A row for each record of the archives under ``folder``."""
-    spark = pages.sparkSession
+def read_archives(spark: SparkSession, folder: str, names: set[str]) -> DataFrame:
+    """A row for each record of the named archives under ``folder``."""
+    if not names:
+        return spark.createDataFrame([], RESULT)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches_of(batches):
-            for content in batch.column("content"):
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
+                if path.rsplit("/", 1)[1] not in names:
+                    continue
                 out: dict[str, list] = {x: [] for x in RESULT_ARROW.names}
                 for headers, block in read_records(content.as_py()):
                     kind = headers["warc-type"]
@@ -206,12 +216,9 @@ def read_archives(pages: DataFrame, folder: str) -> DataFrame:
                 yield pa.RecordBatch.from_pydict(out, RESULT_ARROW)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder)
-    return files.select("content").mapInArrow(run, RESULT)
+    return files.select("path", "content").mapInArrow(run, RESULT)
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
     folder = shared_dir(pages.sparkSession, "warc")
-    write_archives(pages, folder)
-    if not pages.head(1):
-        return pages.sparkSession.createDataFrame([], RESULT)
-    return read_archives(pages, folder)
+    return read_archives(pages.sparkSession, folder, write_archives(pages, folder))
