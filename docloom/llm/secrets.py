@@ -54,6 +54,7 @@ MORE_RULES = (
     Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
 )
 RULES = BASE_RULES + MORE_RULES
+SALTS = 16
 SCANS = "blob string, rules array<string>"
 FINDINGS = "blob string, rule string, start bigint, end bigint"
 
@@ -153,14 +154,19 @@ def digest(spans: Column, kinds: tuple[str, ...]) -> Column:
 
 
 def report(versions: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = RULES, path: str = "doc_id") -> DataFrame:
-    """All versions' paths with the findings of their blobs: path, blob, spans (sorted structs)."""
+    """All versions' paths with the findings of their blobs: path, blob, spans (sorted structs).
+
+    A blob of very many paths is dealt to ``SALTS`` tasks; its findings, a row, go to each of them.
+    """
     ranks = F.create_map(*[F.lit(x) for r in enumerate(rules) for x in (r[1].name, r[0])])
     found = ledger.findings().where(F.col("rule").isin(*[r.name for r in rules])).distinct()
     span = F.struct("start", ranks[F.col("rule")].alias("rank"), "end", kind_of(F.col("rule")).alias("kind"))
     found = found.groupBy("blob").agg(F.array_sort(F.collect_list(span)).alias("spans"))
     rows = versions.select(F.col(path).alias("path"), blob_of(F.col("text")).alias("blob"))
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("path"), F.lit(SALTS)).cast("int"))
+    found = found.withColumn("salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
     none = F.array().cast("array<struct<start:bigint,rank:int,end:bigint,kind:string>>")
-    return rows.join(found, "blob", "left").withColumn("spans", F.coalesce("spans", none))
+    return rows.join(found, ["blob", "salt"], "left").select("path", "blob", F.coalesce("spans", none).alias("spans"))
 
 
 def scan_documents(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
