@@ -34,6 +34,7 @@ from docloom.llm.jaccard_join import hash_words
 LENGTH, K = 50, 10
 REACH = LENGTH - K  # the farthest that a passage begins before its minimiser
 FACTOR = np.uint64(0xD6E8FEB86659FD93)
+LAST = 2**63 - 1
 
 
 def _schema(text: str) -> pa.Schema:
@@ -43,7 +44,7 @@ def _schema(text: str) -> pa.Schema:
 
 CHUNKS = (
     "chunk string, doc_ids array<bigint>, ends array<bigint>, hashes binary, tokens binary, places binary, least binary,"
-    " most binary"
+    " most binary, firsts binary"
 )
 CHUNKS_ARROW = _schema(CHUNKS)
 
@@ -70,6 +71,26 @@ def minimisers(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return at[first], before[last], before[first]
 
 
+def same_surroundings(
+    words: np.ndarray, places: np.ndarray, least: np.ndarray, most: np.ndarray, docs: np.ndarray
+) -> np.ndarray:
+    """For each suffix the first one (by document, then place) with the same passages around it: itself, if it is alone.
+
+    Copies within a chunk thus travel as one. Surroundings are compared by a 64-bit hash.
+    """
+    key = mix(least.astype(np.uint64) << np.uint64(8) | most.astype(np.uint64))
+    for c in range(-REACH, LENGTH):
+        inside = (c >= -most) & (c < LENGTH - least)
+        own = words[np.clip(places + c, 0, max(0, len(words) - 1))] if len(words) else key
+        key = key * FACTOR + np.where(inside, own, np.uint64(0))
+    key = mix(key)
+    order = np.lexsort((places, docs, key))
+    new = np.concatenate(([True], key[order][1:] != key[order][:-1]))[: len(order)]
+    firsts = np.empty(len(order), np.int64)
+    firsts[order] = order[np.flatnonzero(new)][np.cumsum(new) - 1] if len(order) else order
+    return firsts
+
+
 def chunks(docs: DataFrame, *, chunk_tokens: int = 1_000_000) -> DataFrame:
     """Tokenised documents with their minimisers."""
 
@@ -81,15 +102,20 @@ def chunks(docs: DataFrame, *, chunk_tokens: int = 1_000_000) -> DataFrame:
             cat = np.concatenate(tokens)
             words = hashes.astype(np.uint64)[cat] if len(cat) else np.zeros(0, np.uint64)
             found = [minimisers(words[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+            places = np.concatenate([x[0] + a for x, a in zip(found, ends, strict=False)])
+            least, most = (np.concatenate([x[i] for x in found]) for i in (1, 2))
+            numbers = np.array([LAST if x is None else x for x in ids], np.int64)
+            doc = numbers[np.searchsorted(np.array(ends[1:]), places, side="right")]
             value = {
                 "chunk": f"{part}-{made}",
                 "doc_ids": ids,
                 "ends": ends[1:],
                 "hashes": hashes.tobytes(),
                 "tokens": cat.astype("<i4").tobytes(),
-                "places": np.concatenate([x[0] + a for x, a in zip(found, ends, strict=False)]).astype("<i4").tobytes(),
-                "least": np.concatenate([x[1] for x in found]).astype(np.uint8).tobytes(),
-                "most": np.concatenate([x[2] for x in found]).astype(np.uint8).tobytes(),
+                "places": places.astype("<i4").tobytes(),
+                "least": least.astype(np.uint8).tobytes(),
+                "most": most.astype(np.uint8).tobytes(),
+                "firsts": same_surroundings(words, places, least, most, doc).astype("<i4").tobytes(),
             }
             return pa.RecordBatch.from_pylist([value], schema=CHUNKS_ARROW)
 
@@ -123,12 +149,13 @@ ANSWER = "chunk string, range bigint, many binary"
 
 
 def ask(table: DataFrame, ranges: int) -> DataFrame:
-    """The runs of each chunk's suffixes, sorted (a run that a chunk has twice is there twice)."""
+    """The runs of each chunk's suffixes, sorted; a run that a chunk has often is there twice, which tells enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches_of(batches):
             for row in batch.to_pylist():
                 keys = np.sort(_suffixes(row)[2])
+                keys = keys[np.concatenate(([True] * min(2, len(keys)), keys[2:] != keys[:-2]))]
                 cuts = bounds_of(keys, ranges)
                 some = [i for i in range(ranges) if cuts[i] < cuts[i + 1]]
                 columns = [some, [row["chunk"]] * len(some), [_packed(keys[cuts[i] : cuts[i + 1]]) for i in some]]
@@ -164,13 +191,15 @@ def _bits(data: bytes) -> np.ndarray:
 
 
 SUFFIXES = (
-    "range bigint, chunk string, index binary, doc binary, place binary, least binary, most binary, words binary"
+    "range bigint, chunk string, index binary, doc binary, place binary, least binary, most binary, alike binary, words binary"
 )
 
 
 def suffixes(table: DataFrame, answers: DataFrame, ranges: int) -> DataFrame:
     """The suffixes that share their run: a row for each chunk and range, with the words around each suffix.
 
+    Of suffixes with the same surroundings a chunk sends the first, marked ``alike``.
+
     Words that stand outside the document, or that no passage of the suffix reaches, are 0.
     """
 
@@ -179,8 +208,13 @@ def suffixes(table: DataFrame, answers: DataFrame, ranges: int) -> DataFrame:
             row = rows[0]
             words, places, keys = _suffixes(row)
             order = np.argsort(keys, kind="stable")
+            twice = np.concatenate(([True] * min(2, len(order)), keys[order][2:] != keys[order][:-2]))
+            asked = np.cumsum(twice) - 1  # the answers' place of each suffix
             many = np.concatenate([_bits(r["many"]) for r in rows[1:]] or [np.zeros(0, bool)])
-            kept = order[many]
+            firsts = np.frombuffer(row["firsts"], "<i4").astype(np.int64)
+            kept = order[many[asked]]
+            kept = kept[firsts[kept] == kept]
+            alike = np.bincount(firsts, minlength=len(firsts)) > 1
             cuts = bounds_of(keys[kept], ranges)
             least, most = (np.frombuffer(row[x], np.uint8)[kept].astype(np.int64) for x in ("least", "most"))
             at = places[kept][:, None] + np.arange(-REACH, LENGTH)
@@ -189,7 +223,7 @@ def suffixes(table: DataFrame, answers: DataFrame, ranges: int) -> DataFrame:
             around[(offset < -most[:, None]) | (offset >= LENGTH - least[:, None])] = 0
             ends = np.array(row["ends"], np.int64)
             doc = np.searchsorted(ends, places[kept], side="right")
-            ids = np.array([2**63 - 1 if x is None else x for x in row["doc_ids"]], np.int64)[doc]
+            ids = np.array([LAST if x is None else x for x in row["doc_ids"]], np.int64)[doc]
             out: dict[str, list] = {x: [] for x in _schema(SUFFIXES).names}
             for i in range(ranges):
                 a, b = cuts[i], cuts[i + 1]
@@ -202,11 +236,12 @@ def suffixes(table: DataFrame, answers: DataFrame, ranges: int) -> DataFrame:
                 out["place"].append(places[kept][a:b].astype("<i4").tobytes())
                 out["least"].append(least[a:b].astype(np.uint8).tobytes())
                 out["most"].append(most[a:b].astype(np.uint8).tobytes())
+                out["alike"].append(alike[kept[a:b]].astype(np.uint8).tobytes())
                 out["words"].append(around[a:b].tobytes())
             yield pa.RecordBatch.from_pydict(out, _schema(SUFFIXES))
 
     one = table.withColumn("range", F.lit(-1).cast("long")).select(
-        "chunk", "range", "doc_ids", "ends", "hashes", "tokens", "places", "least", "most"
+        "chunk", "range", "doc_ids", "ends", "hashes", "tokens", "places", "least", "most", "firsts"
     )
     both = one.unionByName(answers.select("chunk", "range", "many"), allowMissingColumns=True)
     dealt = both.repartition(_parts(table), "chunk").sortWithinPartitions("chunk", "range")
@@ -257,6 +292,13 @@ def compare(around: np.ndarray, least: np.ndarray, most: np.ndarray, rank: np.nd
     return repeat, later
 
 
+def own_bits(least: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """The mask of all passages of each suffix."""
+    bits = np.uint64(1) << np.arange(REACH + 1, dtype=np.uint64)
+    a = np.arange(REACH + 1)
+    return (((a >= least[:, None]) & (a <= most[:, None])) * bits).sum(axis=1, dtype=np.uint64)
+
+
 MASKS = "chunk string, range bigint, index binary, repeat binary, later binary"
 
 
@@ -273,6 +315,7 @@ def neighbours(met: DataFrame) -> DataFrame:
             around = join("words", "<u4").reshape(-1, REACH + LENGTH)
             least, most = (join(x, np.uint8).astype(np.int64) for x in ("least", "most"))
             repeat, later = compare(around, least, most, rank)
+            repeat |= np.where(join("alike", np.uint8) > 0, own_bits(least, most), np.uint64(0))
             ends = np.cumsum(sizes)
             columns = [
                 [r["chunk"] for r in rows],
@@ -309,9 +352,13 @@ def repeats(docs: DataFrame, *, chunk_tokens: int = 1_000_000, range_suffixes: i
             places = np.frombuffer(row["places"], "<i4").astype(np.int64)
             ends = np.array(row["ends"], np.int64)
             n, cover = int(ends[-1]), {}
+            firsts = np.frombuffer(row["firsts"], "<i4").astype(np.int64)
+            others = np.flatnonzero(firsts != np.arange(len(firsts)))  # copies of another suffix of this chunk
+            sizes = (np.frombuffer(row[x], np.uint8).astype(np.int64)[others] for x in ("least", "most"))
+            local = {"index": others.astype("<i4").tobytes()} | dict.fromkeys(("repeat", "later"), own_bits(*sizes).tobytes())
             for kind in ("repeat", "later"):
                 marks = np.zeros(n + 1, np.int32)
-                for r in rows[1:]:
+                for r in [*rows[1:], local]:
                     at, mask = places[np.frombuffer(r["index"], "<i4")], np.frombuffer(r[kind], "<u8")
                     for a in range(REACH + 1):
                         starts = at[(mask >> np.uint64(a)) & np.uint64(1) > 0] - a
@@ -334,7 +381,7 @@ def repeats(docs: DataFrame, *, chunk_tokens: int = 1_000_000, range_suffixes: i
                     out[name].append(value)
             yield pa.RecordBatch.from_pydict(out, _schema(RESULT))
 
-    one = table.select("chunk", F.lit(-1).cast("long").alias("range"), "doc_ids", "ends", "places")
+    one = table.select("chunk", F.lit(-1).cast("long").alias("range"), "doc_ids", "ends", "places", "least", "most", "firsts")
     both = one.unionByName(masks, allowMissingColumns=True)
     dealt = both.repartition(_parts(table), "chunk").sortWithinPartitions("chunk", "range")
     return dealt.mapInArrow(run, RESULT)
