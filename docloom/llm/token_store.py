@@ -197,7 +197,8 @@ class CachedTokenizer:
             and not any((model.get("dropout"), model.get("unk_token"), model.get("end_of_word_suffix")))
             and not any(c.isspace() for t in self.added for c in t)
         )
-        self.letters = byte_letters()
+        self.letters, self.model = byte_letters(), self.tokenizer.model
+        self.space = self.letters[0x20]
         self.words = Pieces(self._word)
         self.tails, self.heads = Pieces(self._piece, " "), Pieces(self._piece)
         self.cuts = re.compile(r"(?<=\S)(?= \S)")
@@ -206,10 +207,15 @@ class CachedTokenizer:
         return array.array(self.code, ids).tobytes()
 
     def _word(self, word: str) -> bytes:
-        shown = word.encode().decode("latin-1").translate(self.letters)
-        return self._bytes([t.id for t in self.tokenizer.model.tokenize(shown)])
+        if word.isascii() and word[1:].isalpha():
+            shown = word if word[0] != " " else self.space + word[1:]
+        else:
+            shown = word.encode().decode("latin-1").translate(self.letters)
+        return self._bytes([t.id for t in self.model.tokenize(shown)])
 
     def _piece(self, piece: str) -> bytes:
+        if piece[1:].isalpha() and (piece.isascii() or PLAIN.fullmatch(piece)) and (piece[0] == " " or piece[0].isalpha()):
+            return self._word(piece)  # one pre-token, most often seen once
         if not PLAIN.fullmatch(piece) or any(t in piece for t in self.added):
             return self._bytes(self.tokenizer.encode(piece, add_special_tokens=False).ids)
         return b"".join(map(self.words.__getitem__, PRE_TOKENS.findall(piece)))
