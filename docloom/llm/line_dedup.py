@@ -1,13 +1,17 @@
 """Repeated runs of lines by a suffix array over line numbers, built by distributed prefix doubling.
 
 A document is a sequence of lines (those with a word; blank lines stay in the text but not in the sequence). Suffixes
-are ranked by their first line, then by their first 2, 4, ... lines: a round sorts the pairs (rank of i, rank of i + h)
-by ranges and numbers them anew, so ranks stay in suffix order. The array is cut at depth ``min_run``: the last round
-joins two overlapping ranks, and a group of equal rank is then an interval whose longest common prefix is ``min_run``
-lines or more. Longer maximal runs are chains of such places. Suffixes that share their rank with no other, and those
-too near the end of their document, leave after each round.
+are ranked by their first line, then by their first 2, 3, ... lines: a round sorts the pairs (rank of i, rank of i + 1)
+by ranges and numbers them anew, so ranks stay in suffix order. The array is cut at depth ``min_run``: a group of equal
+rank is then an interval whose longest common prefix is ``min_run`` lines or more. Longer maximal runs are chains of such
+places. Suffixes that share their rank with no other, and those too near the end of their document, leave after each
+round.
 
-In every interval the first occurrence (smallest doc_id, then place) stays; the lines of the others are deleted.
+In every interval the first occurrence (smallest doc_id, then place) stays; the lines of the others are deleted
+(``removed``). Shorter runs are judged on the way, at their own depth. ``repeats`` has the removed lines and
+
+* later copies of runs of fewer than ``min_run`` lines that hold ``long_words`` words (between blanks) or more;
+* the lines of a document of fewer than ``min_run`` lines that are all the lines of an earlier document.
 
 A chunk of documents sends each distinct pair once with its number, so a line that is a third of all lines is one row
 a chunk, and pairs are dealt by sampled ranges of both ranks. The driver sees one sum for each range. Nulls and empty
@@ -25,22 +29,22 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import batches_of, id_and_text, stored, texts
-from docloom.llm.deleted_interpolation import _parts, grouped
+from docloom.llm.common import batches_of, id_and_text, mix, stored, texts
+from docloom.llm.deleted_interpolation import _parts
 from docloom.llm.jaccard_join import hash_words
-from docloom.llm.suffix_dedup import _schema, _spans
+from docloom.llm.suffix_dedup import FACTOR, _schema, _spans
 
 LAST = 2**63 - 1
-CHUNKS = "chunk string, doc_ids array<bigint>, ends array<bigint>, numbers binary, ranks binary"
+CHUNKS = "chunk string, doc_ids array<bigint>, ends array<bigint>, numbers binary, words binary, gone binary, ranks binary"
 PAIRS = "r1 bigint, r2 bigint, chunk string, n bigint, doc bigint, place bigint"
 RANKED = "chunk string, r1 bigint, r2 bigint, part bigint, local bigint, n bigint, many bigint, first bigint"
 
 
 def chunks(docs: DataFrame, *, chunk_lines: int = 200_000) -> DataFrame:
-    """Documents as sequences of 63-bit line hashes (``ranks``), with their line numbers."""
+    """Documents as sequences of 63-bit line hashes (``ranks``), with their line numbers and words; no line is gone yet."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, made, lines, numbers, ids, ends = TaskContext.get().partitionId(), 0, [], [], [], []
+        part, made, lines, numbers, words, ids, ends = TaskContext.get().partitionId(), 0, [], [], [], [], []
 
         def row() -> pa.RecordBatch:
             value = {
@@ -48,6 +52,8 @@ def chunks(docs: DataFrame, *, chunk_lines: int = 200_000) -> DataFrame:
                 "doc_ids": ids,
                 "ends": ends,
                 "numbers": np.array(numbers, "<i4").tobytes(),
+                "words": np.array(words, "<i4").tobytes(),
+                "gone": bytes(len(lines)),
                 "ranks": (hash_words(lines) >> np.uint64(1)).astype("<i8").tobytes(),
             }
             return pa.RecordBatch.from_pylist([value], schema=_schema(CHUNKS))
@@ -58,19 +64,23 @@ def chunks(docs: DataFrame, *, chunk_lines: int = 200_000) -> DataFrame:
                     if line and not line.isspace():
                         lines.append(line)
                         numbers.append(number)
+                        words.append(len(line.split()))
                 ids.append(doc_id)
                 ends.append(len(lines))
                 if len(lines) >= chunk_lines or len(ids) >= chunk_lines:
                     yield row()
-                    made, lines, numbers, ids, ends = made + 1, [], [], [], []
+                    made, lines, numbers, words, ids, ends = made + 1, [], [], [], [], []
         if ids:
             yield row()
 
     return id_and_text(docs).mapInArrow(run, CHUNKS)
 
 
-def _pairs_of(row: dict, offset: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Active places of a chunk (both ranks shared, in one document), their ranks and their documents."""
+def _pairs_of(row: dict, offset: int, whole: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Active places of a chunk (both ranks shared, in one document), their ranks and their documents.
+
+    With ``whole`` also the documents of 1 to ``whole`` lines: a hash of their lines and, as second rank, their number.
+    """
     ranks, ends = np.frombuffer(row["ranks"], "<i8"), np.array(row["ends"], np.int64)
     place = np.arange(len(ranks))
     doc = np.searchsorted(ends, place, side="right")
@@ -79,16 +89,27 @@ def _pairs_of(row: dict, offset: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
     other = ranks[place + offset] if offset else np.zeros(len(place), np.int64)
     active = other >= 0
     place = place[active]
-    return place, ranks[place], other[active], doc[place]
-
-
-def pairs(table: DataFrame, offset: int) -> DataFrame:
+    found = place, ranks[place], other[active], doc[place]
+    if not whole:
+        return found
+    begins = np.concatenate(([0], ends[:-1]))
+    size = ends - begins
+    doc = np.flatnonzero((size > 0) & (size <= whole))
+    place, size, key = begins[doc], size[doc], np.zeros(len(doc), np.uint64)
+    for j in range(whole):
+        inside = size > j
+        key[inside] = key[inside] * FACTOR + ranks[place[inside] + j].astype(np.uint64)
+    wholes = place, (mix(key) >> np.uint64(1)).astype(np.int64), size, doc
+    return tuple(np.concatenate(x) for x in zip(found, wholes, strict=True))
+
+
+def pairs(table: DataFrame, offset: int, whole: int = 0) -> DataFrame:
     """Distinct pairs of each chunk with their number and first occurrence; ``offset`` 0: single ranks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches_of(batches):
             for row in batch.to_pylist():
-                place, r1, r2, doc = _pairs_of(row, offset)
+                place, r1, r2, doc = _pairs_of(row, offset, whole)
                 ids = np.array([LAST if x is None else x for x in row["doc_ids"]], np.int64)[doc]
                 order = np.lexsort((place, ids, r2, r1))
                 r1, r2 = r1[order], r2[order]
@@ -107,51 +128,39 @@ def pairs(table: DataFrame, offset: int) -> DataFrame:
     return table.mapInArrow(run, PAIRS)
 
 
+def _groups(rows: pa.Table, part: int, local: int) -> dict[str, np.ndarray]:
+    """Whole groups of equal pairs, in order, numbered from ``local`` on."""
+    r1, r2, n, doc, place = (rows.column(x).to_numpy() for x in ("r1", "r2", "n", "doc", "place"))
+    code = rows.column("chunk").combine_chunks().dictionary_encode()
+    name = np.argsort(np.argsort(np.array(code.dictionary.to_pylist())))[code.indices.to_numpy()]
+    new = np.concatenate(([True], (r1[1:] != r1[:-1]) | (r2[1:] != r2[:-1])))
+    group, at = np.cumsum(new) - 1, np.flatnonzero(new)
+    total = np.add.reduceat(n, at)
+    order = np.lexsort((place, name, doc, group))
+    first = np.full(len(n), -1, np.int64)
+    first[order[at]] = place[order[at]]
+    before = local + np.cumsum(total) - total
+    columns = (rows.column("chunk"), r1, r2, np.full(len(n), part), before[group], n, total[group], first)
+    return dict(zip(_schema(RANKED).names, columns, strict=True))
+
+
 def ranked(asked: DataFrame) -> DataFrame:
     """The pairs in order, numbered within their range: ``local`` suffixes of the range come before their group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, local = TaskContext.get().partitionId(), 0
-        names = ("r1", "r2", "chunk", "n", "doc", "place")
-        key, rows = None, []
-
-        def close() -> pa.RecordBatch:
-            nonlocal local
-            total = sum(r[1] for r in rows)
-            first = min(rows, key=lambda r: (r[2], r[0], r[3]))
-            columns = [
-                [r[0] for r in rows],
-                [key[0]] * len(rows),
-                [key[1]] * len(rows),
-                [part] * len(rows),
-                [local] * len(rows),
-                [r[1] for r in rows],
-                [total] * len(rows),
-                [r[3] if r is first else -1 for r in rows],
-            ]
-            local += total
-            return dict(zip(_schema(RANKED).names, columns, strict=True))
-
-        held: dict[str, list] = {x: [] for x in _schema(RANKED).names}
-
-        def add() -> None:
-            for name, values in close().items():
-                held[name] += values
-
+        part, local, held = TaskContext.get().partitionId(), 0, []
         for batch in batches_of(batches):
-            columns = [batch.column(x).to_pylist() for x in names]
-            for r1, r2, chunk, n, doc, place in zip(*columns, strict=True):
-                if (r1, r2) != key:
-                    if rows:
-                        add()
-                    key, rows = (r1, r2), []
-                rows.append((chunk, n, doc, place))
-            if len(held["n"]) >= 20_000:
-                yield pa.RecordBatch.from_pydict(held, _schema(RANKED))
-                held = {x: [] for x in _schema(RANKED).names}
-        if rows:
-            add()
-        yield pa.RecordBatch.from_pydict(held, _schema(RANKED))
+            rows = pa.Table.from_batches([*held, batch])
+            r1, r2 = rows.column("r1").to_numpy(), rows.column("r2").to_numpy()
+            other = np.flatnonzero((r1 != r1[-1]) | (r2 != r2[-1]))
+            whole = int(other[-1]) + 1 if len(other) else 0
+            held = rows.slice(whole).to_batches()  # the last group may go on
+            if whole:
+                out = _groups(rows.slice(0, whole), part, local)
+                local += int(out["n"].sum())
+                yield from pa.Table.from_pydict(out, _schema(RANKED)).to_batches()
+        if held:
+            yield from pa.Table.from_pydict(_groups(pa.Table.from_batches(held), part, local), _schema(RANKED)).to_batches()
 
     dealt = asked.repartitionByRange(_parts(asked), "r1", "r2").sortWithinPartitions("r1", "r2")
     return dealt.mapInArrow(run, RANKED)
@@ -164,66 +173,104 @@ def _meet(table: DataFrame, answers: DataFrame) -> DataFrame:
     return both.repartition(_parts(table), "chunk").sortWithinPartitions("chunk", "r1", "r2")
 
 
-def _found(rows: list[dict], offset: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A chunk's places whose pair is shared, the number of its answer for each, and the active places."""
-    place, r1, r2, _ = _pairs_of(rows[0], offset)
-    asked = np.array([(r["r1"], r["r2"]) for r in rows[1:]], np.int64).reshape(-1, 2)
-    if not len(asked) or not len(place):
-        none = np.zeros(0, np.int64)
-        return none, none, place
-    both = np.concatenate((np.stack((r1, r2), 1), asked))
+ASKED = ("r1", "r2", "part", "local", "first")
+
+
+def _chunks_met(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, dict[str, np.ndarray]]]:
+    """Each chunk, whose row comes first, and its answers."""
+    row, held = None, []
+    close = lambda: (row, {x: np.concatenate([h[x] for h in held] or [np.zeros(0, np.int64)]) for x in ASKED})
+    for batch in batches_of(batches):
+        own = np.flatnonzero(batch.column("r1").to_numpy() == -1).tolist()
+        for a, b in zip([0, *own], [*own, batch.num_rows], strict=True):
+            if a == b:
+                continue
+            if a in own:
+                if row is not None:
+                    yield close()
+                row, held = batch.slice(a, 1).to_pylist()[0], []
+                a += 1
+            part = batch.slice(a, b - a)
+            held.append({x: part.column(x).to_numpy(zero_copy_only=False).astype(np.int64) for x in ASKED})
+    if row is not None:
+        yield close()
+
+
+def _found(row: dict, asked: dict[str, np.ndarray], offset: int, whole: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A chunk's places whose pair is shared, the number of its answer for each, and whether it is a whole document's."""
+    place, r1, r2, _ = _pairs_of(row, offset, whole)
+    if not len(asked["r1"]) or not len(place):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
+    both = np.concatenate((np.stack((r1, r2), 1), np.stack((asked["r1"], asked["r2"]), 1)))
     order = np.lexsort((both[:, 1], both[:, 0]))
     new = np.concatenate(([True], (both[order][1:] != both[order][:-1]).any(axis=1)))
     code = np.empty(len(both), np.int64)
     code[order] = np.cumsum(new)
     answer_of = np.full(int(code.max()) + 1, -1, np.int64)
-    answer_of[code[len(place) :]] = np.arange(len(asked))
+    answer_of[code[len(place) :]] = np.arange(len(asked["r1"]))
     which = answer_of[code[: len(place)]]
-    return place[which >= 0], which[which >= 0], place
+    shared = which >= 0
+    return place[shared], which[shared], (r2[shared] > 0) & (whole > 0)
+
+
+def _covered(n: int, places: np.ndarray, lengths: np.ndarray | int) -> np.ndarray:
+    marks = np.zeros(n + 1, np.int64)
+    np.add.at(marks, places, 1)
+    np.add.at(marks, places + lengths, -1)
+    return np.cumsum(marks[:-1]) > 0
+
 
+def doubled(
+    table: DataFrame, answers: DataFrame, starts: dict[int, int], offset: int, *, whole: int, depth: int, long_words: int
+) -> DataFrame:
+    """The chunks with the ranks of the next depth; -1 where no other suffix shares it.
 
-def doubled(table: DataFrame, answers: DataFrame, starts: dict[int, int], offset: int) -> DataFrame:
-    """The chunks with the ranks of the next depth; -1 where no other suffix shares it."""
+    Later copies of ``depth`` lines that hold ``long_words`` words, and of whole documents, are marked as gone.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in grouped(batches, "chunk"):
-            row = rows[0]
-            ranks = np.full(len(row["ranks"]) // 8, -1, np.int64)
-            place, which, _ = _found(rows, offset)
-            new = np.array([starts[r["part"]] + r["local"] for r in rows[1:]], np.int64)
-            ranks[place] = new[which] if len(place) else 0
-            value = {x: row[x] for x in _schema(CHUNKS).names} | {"ranks": ranks.astype("<i8").tobytes()}
+        for row, asked in _chunks_met(batches):
+            n = len(row["ranks"]) // 8
+            ranks = np.full(n, -1, np.int64)
+            place, which, is_whole = _found(row, asked, offset, whole)
+            new = np.array([starts.get(x, 0) for x in asked["part"].tolist()], np.int64) + asked["local"]
+            ranks[place[~is_whole]] = new[which[~is_whole]]
+            later = asked["first"][which] != place
+            sums = np.concatenate(([0], np.cumsum(np.frombuffer(row["words"], "<i4"), dtype=np.int64)))
+            lengths = np.where(is_whole, asked["r2"][which], depth)
+            gone = later & (is_whole | (sums[np.minimum(place + lengths, n)] - sums[place] >= long_words))
+            gone = np.frombuffer(row["gone"], np.uint8).astype(bool) | _covered(n, place[gone], lengths[gone])
+            value = {x: row[x] for x in _schema(CHUNKS).names}
+            value |= {"ranks": ranks.astype("<i8").tobytes(), "gone": gone.astype(np.uint8).tobytes()}
             yield pa.RecordBatch.from_pylist([value], schema=_schema(CHUNKS))
 
     return _meet(table, answers).mapInArrow(run, CHUNKS)
 
 
-RESULT = "doc_id bigint, n_lines bigint, n_removed bigint, removed string"
+RESULT = "doc_id bigint, n_lines bigint, n_removed bigint, removed string, n_repeats bigint, repeats string"
 
 
 def deletions(table: DataFrame, answers: DataFrame, offset: int, min_run: int) -> DataFrame:
-    """Per document: its lines, those deleted, and their line numbers as start:end spans."""
+    """Per document: its lines, those deleted, and their line numbers as start:end spans; then with shorter runs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in grouped(batches, "chunk"):
-            row, out = rows[0], {x: [] for x in _schema(RESULT).names}
+        for row, asked in _chunks_met(batches):
+            out = {x: [] for x in _schema(RESULT).names}
             numbers = np.frombuffer(row["numbers"], "<i4")
-            place, which, _ = _found(rows, offset)
-            first = np.array([r["first"] for r in rows[1:]], np.int64)
-            later = place[first[which] != place] if len(place) else place
-            marks = np.zeros(len(numbers) + 1, np.int64)
-            np.add.at(marks, later, 1)
-            np.add.at(marks, later + min_run, -1)
-            gone = np.cumsum(marks[:-1]) > 0
+            place, which, _ = _found(row, asked, offset)
+            gone = _covered(len(numbers), place[asked["first"][which] != place], min_run)
+            every = gone | np.frombuffer(row["gone"], np.uint8).astype(bool)
             begin = 0
             for doc_id, end in zip(row["doc_ids"], row["ends"], strict=True):
-                own = gone[begin:end]
-                spans = ""
-                if own.any():
-                    cover = np.zeros(int(numbers[end - 1]) + 1, bool)
-                    cover[numbers[begin:end][own]] = True
-                    spans = ",".join(f"{a}:{b}" for a, b in _spans(cover))
-                for name, value in zip(out, (doc_id, end - begin, int(own.sum()), spans), strict=True):
+                values = [doc_id, end - begin]
+                for own in (gone[begin:end], every[begin:end]):
+                    spans = ""
+                    if own.any():
+                        cover = np.zeros(int(numbers[end - 1]) + 1, bool)
+                        cover[numbers[begin:end][own]] = True
+                        spans = ",".join(f"{a}:{b}" for a, b in _spans(cover))
+                    values += [int(own.sum()), spans]
+                for name, value in zip(out, values, strict=True):
                     out[name].append(value)
                 begin = end
             yield pa.RecordBatch.from_pydict(out, _schema(RESULT))
@@ -231,20 +278,21 @@ def deletions(table: DataFrame, answers: DataFrame, offset: int, min_run: int) -
     return _meet(table, answers).mapInArrow(run, RESULT)
 
 
-def repeated_runs(docs: DataFrame, *, min_run: int = 3, chunk_lines: int = 200_000) -> DataFrame:
-    """One row per document with the lines that later copies of runs of ``min_run`` lines or more give up."""
+def repeated_runs(docs: DataFrame, *, min_run: int = 3, long_words: int = 50, chunk_lines: int = 200_000) -> DataFrame:
+    """One row per document with the lines that later copies of runs of ``min_run`` lines or more give up (``removed``),
+    and with those of shorter runs of ``long_words`` words and of short whole documents too (``repeats``)."""
     table = stored(chunks(docs, chunk_lines=chunk_lines), "line-chunks")
-    depth, offset = 0, 0
+    depth, offset, whole = 1, 0, min_run - 1
     while True:
-        answers = stored(ranked(pairs(table, offset)), "line-ranks")
-        depth = depth + offset if depth else 1
-        if depth >= min_run:
+        answers = stored(ranked(pairs(table, offset, whole)), "line-ranks")
+        if depth == min_run:
             return deletions(table, answers, offset, min_run)
         starts, total = {}, 0
         for part, n in sorted(answers.groupBy("part").agg(F.sum("n")).collect()):
             starts[part], total = total, total + n
-        table = stored(doubled(table, answers, starts, offset), "line-chunks")
-        offset = min(depth, min_run - depth)
+        marked = doubled(table, answers, starts, offset, whole=whole, depth=depth, long_words=long_words)
+        table = stored(marked, "line-chunks")
+        depth, offset, whole = depth + 1, 1, 0
 
 
 def without(text: str | None, removed: str) -> str:

@@ -25,7 +25,14 @@ def op3_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.repeated_runs(table(spark, sf_dir, "documents"))
+    rows = line_dedup.repeated_runs(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_lines", "n_removed", "removed")
+
+
+def line_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As op4_line_runs, with short runs of long lines and copies of short documents."""
+    rows = line_dedup.repeated_runs(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_lines", "n_repeats", "repeats")
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_warc_zstd,
         op9_suffix_array,
         op10_jaccard_join,
+        line_repeats,
     )
 }
 
@@ -213,6 +221,28 @@ s AS (SELECT rid, sum(n) AS n, string_agg(concat(a, ':', b), ',' ORDER BY a) AS
 n AS (SELECT rid, count(*) AS n FROM l GROUP BY rid)
 SELECT doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_lines, CAST(coalesce(s.n, 0) AS BIGINT) AS n_removed,
   coalesce(removed, '') AS removed
+FROM d LEFT JOIN n USING (rid) LEFT JOIN s USING (rid)""",
+    "line_repeats": r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+l AS (SELECT rid, doc_id, i, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words,
+    row_number() OVER (PARTITION BY rid ORDER BY i) AS p FROM
+  (SELECT rid, doc_id, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i, unnest(string_split(text, chr(10))) AS line FROM d)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+w AS (SELECT rid, doc_id, p, 1 AS size, line AS k FROM l WHERE words >= 50
+  UNION ALL SELECT a.rid, a.doc_id, a.p, 2, concat_ws(chr(10), a.line, b.line) FROM l a
+    JOIN l b ON b.rid = a.rid AND b.p = a.p + 1 WHERE a.words + b.words >= 50
+  UNION ALL SELECT a.rid, a.doc_id, a.p, 3, concat_ws(chr(10), a.line, b.line, c.line) FROM l a
+    JOIN l b ON b.rid = a.rid AND b.p = a.p + 1 JOIN l c ON c.rid = a.rid AND c.p = a.p + 2),
+whole AS (SELECT rid, doc_id, count(*) AS size, string_agg(line, chr(10) ORDER BY i) AS k FROM l GROUP BY rid, doc_id HAVING count(*) < 3),
+later AS (SELECT rid, p, size FROM (SELECT *, row_number() OVER (PARTITION BY size, k ORDER BY doc_id, rid, p) AS c FROM w) WHERE c > 1
+  UNION ALL SELECT rid, 1, size FROM (SELECT *, row_number() OVER (PARTITION BY size, k ORDER BY doc_id, rid) AS c FROM whole) WHERE c > 1),
+gone AS (SELECT DISTINCT l.rid, l.i FROM later JOIN l ON l.rid = later.rid AND l.p BETWEEN later.p AND later.p + later.size - 1),
+s AS (SELECT rid, sum(n) AS n, string_agg(concat(a, ':', b), ',' ORDER BY a) AS repeats FROM
+  (SELECT rid, count(*) AS n, min(i) AS a, max(i) + 1 AS b FROM
+    (SELECT rid, i, i - row_number() OVER (PARTITION BY rid ORDER BY i) AS g FROM gone) GROUP BY rid, g) GROUP BY rid),
+n AS (SELECT rid, count(*) AS n FROM l GROUP BY rid)
+SELECT doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_lines, CAST(coalesce(s.n, 0) AS BIGINT) AS n_repeats,
+  coalesce(repeats, '') AS repeats
 FROM d LEFT JOIN n USING (rid) LEFT JOIN s USING (rid)""",
     "op8_warc_zstd": """
 WITH p AS (SELECT page_id, nullif(url, '') AS url, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),

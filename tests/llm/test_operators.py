@@ -169,6 +169,38 @@ def test_later_copies_of_line_runs_go(spark, k):
     assert collected(got.select("doc_id", "n_lines", "n_removed")) == runs_removed(rows, k)
 
 
+def repeats_removed(rows, k, long_words):
+    order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0, i))
+    seen, wholes, out = set(), set(), []
+    for i in order:
+        lines = [(n, x) for n, x in enumerate((rows[i][1] or "").split("\n")) if BLANK.search(x)]
+        gone = set()
+        for d in range(1, k + 1):
+            for p in range(len(lines) - d + 1):
+                key = tuple(x for _, x in lines[p : p + d])
+                counts = d == k or sum(len(BLANK.findall(x)) for x in key) >= long_words
+                gone |= {n for n, _ in lines[p : p + d]} if counts and key in seen else set()
+                seen.add(key)
+        key = tuple(x for _, x in lines)
+        gone |= {n for n, _ in lines} if len(lines) < k and key in wholes else set()
+        wholes.add(key)
+        out.append((rows[i][0], len(lines), len(gone)))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize(("k", "long_words"), [(1, 50), (2, 20), (3, 50), (3, 12), (5, 40)])
+def test_short_runs_of_long_lines_and_short_copies_go(spark, k, long_words):
+    line, other = " ".join(f"v{i}" for i in range(50)), " ".join(f"u{i}" for i in range(25))
+    more = [(500, f"{line}\nx1"), (501, f"y1\n{line}\ny2"), (502, f"{other}\n{other}\nz1"), (503, f"z2\n\n{other}\n{other}"),
+            (504, "tiny"), (505, "tiny"), (506, "tiny\nless"), (507, " \ntiny\n\nless"), (508, "less\ntiny"), (509, "z3\ntiny")]
+    rows = [*ROWS, (400, "\n".join(["same"] * 9), ""), *[(i, t, "") for i, t in more]]
+    got = line_dedup.repeated_runs(odd_docs(spark, rows), min_run=k, long_words=long_words, chunk_lines=25)
+    assert collected(got.select("doc_id", "n_lines", "n_repeats")) == repeats_removed(rows, k, long_words)
+    if (k, long_words) == (3, 50):
+        spans = {r["doc_id"]: r["repeats"] for r in got.where("doc_id >= 500").collect()}
+        assert spans == {500: "", 501: "1:2", 502: "", 503: "2:4", 504: "", 505: "0:1", 506: "", 507: "1:2,3:4", 508: "", 509: ""}
+
+
 def test_lines_are_deleted_by_number():
     assert line_dedup.without("a\nb\n\nc", "1:3") == "a\nc" and line_dedup.without(None, "") == ""
 
