@@ -6,8 +6,9 @@ A file holds consecutive documents in ascending doc_id order::
     low bits of the ends, low bits of the doc_ids) | ids | Elias-Fano of ends | Elias-Fano of doc_ids
 
 An Elias-Fano list of n non-decreasing numbers below u keeps floor(log2(u / n)) low bits of each as they are, and the
-high parts in unary, a bit set at high + i for number i: about 2 + log2(u / n) bits each. ``select`` finds number i
-from samples of every 64th set bit and a count of bits within a few bytes. No table of 64-bit offsets exists.
+high parts in unary, a bit set at high + i for number i: about 2 + log2(u / n) bits each. The places of every 256th set
+bit follow (32 bits each); ``select`` finds number i from them and a count of bits within a few bytes. Files are read
+through it: no table of 64-bit offsets exists.
 
 Null texts are empty documents (the end id alone); null doc_ids come first; equal doc_ids follow each other by text.
 An empty table writes no file and gives no row.
@@ -32,19 +33,16 @@ from pyspark.sql import functions as F
 from docloom.llm.common import batches_of, id_and_text, shared_dir
 from docloom.llm.shared_files import write_file
 
-MAGIC = b"DLTOKEN1"
+MAGIC = b"DLTOKEN2"
 HEADER = struct.Struct("<2QqQ4Q")
-SAMPLE = 64
+SAMPLE = 256
 
 
 class EliasFano:
     """A non-decreasing list of numbers from 0 to ``top``."""
 
-    def __init__(self, n: int, low_bits: int, low: np.ndarray, high: np.ndarray):
-        self.n, self.low_bits, self.low, self.high = n, low_bits, low, high
-        ones = np.cumsum(_POPCOUNT[high], dtype=np.uint32)
-        self.samples = np.searchsorted(ones, np.arange(0, n, SAMPLE, dtype=np.uint32), side="right").astype(np.uint32)
-        self.ones = ones[np.minimum(self.samples, len(ones) - 1)] - _POPCOUNT[high[self.samples]] if n else ones[:0]
+    def __init__(self, n: int, low_bits: int, low: bytes, high: bytes, samples: np.ndarray):
+        self.n, self.low_bits, self.low, self.high, self.samples = n, low_bits, low, high, samples
 
     @staticmethod
     def bits_for(n: int, top: int) -> int:
@@ -57,47 +55,56 @@ class EliasFano:
         planes = (numbers[:, None] >> np.arange(bits, dtype=np.uint64)) & np.uint64(1)
         low = np.packbits(planes.astype(np.uint8).ravel(), bitorder="little")
         unary = np.zeros(n + (top >> bits) + 1, np.uint8)
-        unary[(numbers >> np.uint64(bits)).astype(np.int64) + np.arange(n)] = 1
-        return cls(n, bits, low, np.packbits(unary, bitorder="little"))
+        places = (numbers >> np.uint64(bits)).astype(np.int64) + np.arange(n)
+        unary[places] = 1
+        return cls(n, bits, low.tobytes(), np.packbits(unary, bitorder="little").tobytes(), places[::SAMPLE].astype("<u4"))
 
     @classmethod
-    def sizes(cls, n: int, top: int, bits: int) -> tuple[int, int]:
-        return (n * bits + 7) // 8, (n + (top >> bits) + 1 + 7) // 8
+    def sizes(cls, n: int, top: int, bits: int) -> tuple[int, int, int]:
+        return (n * bits + 7) // 8, (n + (top >> bits) + 1 + 7) // 8, -(-n // SAMPLE) * 4
 
     @classmethod
     def read(cls, data: memoryview, n: int, top: int, bits: int) -> EliasFano:
-        a, b = cls.sizes(n, top, bits)
-        if len(data) < a + b:
+        a, b, c = cls.sizes(n, top, bits)
+        if len(data) < a + b + c:
             raise ValueError("the boundary list is cut short")
-        return cls(n, bits, np.frombuffer(data[:a], np.uint8), np.frombuffer(data[a : a + b], np.uint8))
+        low, high, samples = bytes(data[:a]), bytes(data[a : a + b]), data[a + b : a + b + c]
+        return cls(n, bits, low, high, np.frombuffer(samples, "<u4"))
 
     def tobytes(self) -> bytes:
-        return self.low.tobytes() + self.high.tobytes()
+        return self.low + self.high + self.samples.tobytes()
 
     def select(self, i: int) -> int:
         """Number i."""
         if not 0 <= i < self.n:
             raise IndexError(i)
-        byte, seen = int(self.samples[i // SAMPLE]), int(self.ones[i // SAMPLE])
-        while seen + (count := int(_POPCOUNT[self.high[byte]])) <= i:
-            seen += count
+        place, rest = int(self.samples[i // SAMPLE]), i % SAMPLE
+        byte = place >> 3
+        word = int.from_bytes(self.high[byte : byte + 8], "little") >> (place & 7) << (place & 7)
+        while (count := word.bit_count()) <= rest:
+            rest -= count
+            byte += 8
+            if byte >= len(self.high):
+                raise ValueError("the boundary list is damaged")
+            word = int.from_bytes(self.high[byte : byte + 8], "little")
+        while (count := (word & 255).bit_count()) <= rest:
+            rest -= count
             byte += 1
-        bit = int(_SELECT[self.high[byte], i - seen])
-        low, at = 0, i * self.low_bits
-        for j in range(self.low_bits):
-            low |= (int(self.low[(at + j) >> 3]) >> ((at + j) & 7) & 1) << j
-        return ((byte * 8 + bit - i) << self.low_bits) | low
+            word >>= 8
+        bit = _SELECT[word & 255][rest]
+        at = i * self.low_bits
+        low = int.from_bytes(self.low[at >> 3 : (at + self.low_bits + 7) >> 3], "little") >> (at & 7)
+        return ((byte * 8 + bit - i) << self.low_bits) | low & ((1 << self.low_bits) - 1)
 
     def all(self) -> np.ndarray:
         """All numbers at once."""
-        high = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[: self.n] - np.arange(self.n)
-        planes = np.unpackbits(self.low, bitorder="little")[: self.n * self.low_bits]
+        high = np.flatnonzero(np.unpackbits(np.frombuffer(self.high, np.uint8), bitorder="little"))[: self.n] - np.arange(self.n)
+        planes = np.unpackbits(np.frombuffer(self.low, np.uint8), bitorder="little")[: self.n * self.low_bits]
         low = planes.reshape(self.n, self.low_bits).astype(np.int64) @ (1 << np.arange(self.low_bits, dtype=np.int64))
         return (high.astype(np.int64) << self.low_bits) | low
 
 
-_POPCOUNT = np.array([bin(i).count("1") for i in range(256)], np.uint8)
-_SELECT = np.array([([j for j in range(8) if i >> j & 1] + [8] * 8)[:8] for i in range(256)], np.uint8)
+_SELECT = [[j for j in range(8) if i >> j & 1] for i in range(256)]
 
 
 def pack(doc_ids: list[int | None], ids: list[bytes], width: int) -> bytes:
@@ -136,6 +143,19 @@ class TokenFile:
         return self.ids[self.ends.select(i - 1) if i else 0 : self.ends.select(i)]
 
 
+def rows_of(file: TokenFile, base: int) -> dict[str, list]:
+    """The file's documents, one after the other: doc_id, start (``base`` for the first), n_tokens, ids_crc32."""
+    names, starts, sizes, sums = [], [], [], []
+    for i in range(file.n):
+        own = file.document(i)
+        names.append(file.doc_id(i))
+        starts.append(base)
+        sizes.append(len(own))
+        sums.append(zlib.crc32(own.astype("<u4").tobytes()))
+        base += len(own)
+    return dict(zip(RESULT_ARROW.names, (names, starts, sizes, sums), strict=True))
+
+
 class Pieces(dict):
     """Ids of the piece lead + key, as bytes. It forgets all when it holds ``most`` pieces."""
 
@@ -304,15 +324,7 @@ def read_tokens(docs: DataFrame, folder: str, written: list[tuple[str, int, int]
         for batch in batches_of(batches):
             for path, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
                 base, file = starts[path.rsplit("/", 1)[1]], TokenFile(content.as_py())
-                ends = file.ends.all()
-                begins = np.concatenate(([0], ends[:-1]))
-                names = [None] * file.nulls + (file.names.all() + file.first).tolist()
-                sums = [
-                    zlib.crc32(file.ids[a:b].astype("<u4").tobytes())
-                    for a, b in zip(begins.tolist(), ends.tolist(), strict=True)
-                ]
-                columns = [names, base + begins, ends - begins, sums]
-                yield pa.RecordBatch.from_pydict(dict(zip(RESULT_ARROW.names, columns, strict=True)), RESULT_ARROW)
+                yield pa.RecordBatch.from_pydict(rows_of(file, base), RESULT_ARROW)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.tok").load(folder)
     return files.select("path", "content").mapInArrow(run, RESULT)

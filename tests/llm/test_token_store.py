@@ -57,6 +57,17 @@ def test_a_file_gives_random_access():
         TokenFile(b"x" * 100)
 
 
+def test_rows_are_read_through_select_and_stored_samples(monkeypatch):
+    lengths = [1 + i % 7 + 900 * (i % 300 == 0) for i in range(1000)]
+    packed = token_store.pack([None, *range(0, 2997, 3)], [b"\x01\x00" * n for n in lengths], 2)
+    monkeypatch.setattr(EliasFano, "all", None)
+    file = TokenFile(packed)
+    got = token_store.rows_of(file, 10)
+    assert got["n_tokens"] == lengths and got["doc_id"] == [None, *range(0, 2997, 3)]
+    assert got["start"] == [10 + sum(lengths[:i]) for i in range(1000)]
+    assert packed.endswith(file.names.samples.tobytes()) and len(file.names.samples) == 4
+
+
 def test_round_trip(spark):
     rows = [(5, "b c"), (1, "a  b"), (None, "x"), (5, "a"), (2, None), (-3, ""), (9, "w" * 3000 + " y" * 500)]
     docs = spark.createDataFrame([(i, t, "clash", 1) for i, t in rows], "doc_id long, text string, start string, n_tokens int")
