@@ -31,14 +31,16 @@ def matched_texts(raw: DataFrame, candidates: DataFrame) -> DataFrame:
     attachment has. States: matched, none, ambiguous (two texts, or an undeclared one for several).
     """
     siblings = raw.groupBy("stem").agg(F.count("*").alias("siblings"))
-    pairs = raw.join(siblings, "stem").join(candidates, "stem", "left")
-    named = F.col("declared").isNotNull()
-    fits = F.when(named, F.col("declared") == F.col("name")).otherwise(F.col("siblings") == 1)
-    unclear = F.col("path").isNotNull() & ~named & (F.col("siblings") > 1)
-    found = pairs.groupBy("name").agg(
-        F.count(F.when(F.col("path").isNotNull() & fits, 1)).alias("n"),
-        F.min(F.when(fits, F.col("path"))).alias("path"),
-        F.coalesce(F.bool_or(unclear), F.lit(False)).alias("unclear"),
+    texts, own = candidates.where("path is not null"), [F.count("*").alias("n"), F.min("path").alias("path")]
+    named = texts.where("declared is not null").groupBy("stem", F.col("declared").alias("name")).agg(F.struct(*own).alias("named"))
+    open_to = texts.where("declared is null").groupBy("stem").agg(F.struct(*own).alias("open"))
+    # counted by stem and by (stem, name), so that a stem of many files and texts is never paired
+    joined = raw.join(siblings.join(open_to, "stem", "left"), "stem").join(named, ["stem", "name"], "left")
+    alone = F.when(F.col("siblings") == 1, F.col("open"))
+    found = joined.groupBy("name").agg(
+        F.sum(F.coalesce("named.n", F.lit(0)) + F.coalesce(alone["n"], F.lit(0))).alias("n"),
+        F.min(F.least("named.path", alone["path"])).alias("path"),
+        F.bool_or(F.col("open").isNotNull() & (F.col("siblings") > 1)).alias("unclear"),
     )
     state = F.when(F.col("unclear") | (F.col("n") > 1), "ambiguous").when(F.col("n") == 1, "matched").otherwise("none")
     return found.select("name", state.alias("state"), F.when(state == "matched", F.col("path")).alias("path"))

@@ -49,6 +49,26 @@ def test_same_stem_documents_keep_their_texts(spark):
     assert got == {"a.docx": ("matched", "2"), "a.pdf": ("matched", "1"), "b.pdf": ("ambiguous", None), "c.pdf": ("none", None)}
 
 
+def test_a_common_stem_is_not_paired(spark):
+    raw = spark.range(300).selectExpr("id AS name", "if(id < 299, 'hot', 'cold') AS stem")
+    texts = spark.range(1000, 1300).selectExpr("id AS path", "'hot' AS stem", "if(id % 3 = 0, id - 1000, NULL) AS declared")
+    texts = texts.unionByName(spark.range(1).selectExpr("5000 AS path", "'cold' AS stem", "CAST(NULL AS bigint) AS declared"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = integrity.matched_texts(raw, texts)
+        got, nodes, rows = df.collect(), [df._jdf.queryExecution().executedPlan()], []
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    while nodes:
+        node = nodes.pop()
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+        if "Join" in node.nodeName():
+            rows.append(node.metrics().apply("numOutputRows").value())
+    assert rows and max(rows) <= 300
+    assert {r["state"] for r in got if r["name"] < 299} == {"ambiguous"}
+    assert [(r["state"], r["path"]) for r in got if r["name"] == 299] == [("matched", 5000)]
+
+
 def test_chunks_close_before_the_limit(spark):
     text = "\n\n".join(["a" * 700, "b" * 500, "c" * 1300, " ", "d"])
     rows = spark.createDataFrame([(1, text), (2, ""), (3, None)], "doc_id int, text string")
