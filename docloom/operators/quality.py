@@ -96,6 +96,32 @@ def anchors_of(source: Column, anchors: tuple[str, ...] = fixed.ANCHORS) -> Colu
     return let(X.compact(source), having)
 
 
+def anchor_counts(rows: DataFrame, source: str, text: str, phrases: DataFrame, *, block_bytes: int = 8_000_000) -> DataFrame:
+    """``rows`` with ``anchors``: how many of ``phrases(text)`` the source has (n), of these the text lacks (missing), and
+    whether it lacks the critical one. The phrases go to every row in broadcast blocks of about ``block_bytes``."""
+    phrases = phrases.where("text is not null")
+    blocks = -(-(phrases.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // block_bytes)
+    none = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("missing"), F.lit(False).alias("critical"))
+    own, other = X.compact(F.col(source)).alias("_own"), X.compact(X.without_images(F.col(text))).alias("_other")
+    out = rows.select("*", own, other, none.alias("anchors"))
+
+    def counted(s: Column, a: Column) -> Column:
+        gone = ~F.coalesce(F.contains("_other", a["key"]), F.lit(False))
+        more = F.struct(
+            (s["n"] + 1).alias("n"),
+            (s["missing"] + gone.cast("long")).alias("missing"),
+            (s["critical"] | (gone & (a["name"] == fixed.CRITICAL_ANCHOR))).alias("critical"),
+        )
+        return F.when(F.contains("_own", a["key"]), more).otherwise(s)
+
+    for i in range(blocks):
+        part = phrases.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == i)
+        pair = F.struct(F.col("text").alias("name"), X.compact(F.col("text")).alias("key"))
+        out = out.crossJoin(F.broadcast(part.agg(F.collect_list(pair).alias("_phrases"))))
+        out = out.withColumn("anchors", F.aggregate("_phrases", F.col("anchors"), counted)).drop("_phrases")
+    return out.drop("_own", "_other")
+
+
 def routing(raw: Column, text: Column, image_ratio: Column, turned: Column, span_text: Column) -> Column:
     """Reasons to send a page to OCR; none keeps its own text.
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from docloom.functions import fixed
 from docloom.operators import pages, quality
 from docloom.plans import flows
+from docloom.queries import QUERIES
 
 SENTENCE = "This is one ordinary English sentence about a small town."
 
@@ -42,6 +43,21 @@ def test_anchors(spark):
     assert (got["m"], got["x"]) == (["CASING", "QTY"], "FAIL")
 
 
+@pytest.mark.parametrize("block_bytes", [10**7, 10])
+def test_anchors_in_blocks(spark, block_bytes):
+    rows = spark.createDataFrame([(1, "Packing List, CASING, QTY", "packing-list only"), (2, "none", ""), (3, None, "QTY")], "i int, s string, t string")
+    phrases = spark.createDataFrame([("Packing List",), ("CASING",), ("q t y",), ("QTY",), (None,), ("absent",)], "text string")
+    got = {r["i"]: tuple(r["anchors"]) for r in quality.anchor_counts(rows, "s", "t", phrases, block_bytes=block_bytes).collect()}
+    assert got == {1: (4, 3, False), 2: (0, 0, False), 3: (0, 0, False)}
+
+
+def test_more_anchor_text_than_a_plan_holds(spark, tmp_path):
+    spark.createDataFrame([(1, "x ABC"), (2, "y")], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    long = spark.range(11).selectExpr("id AS item_id", "concat(id, repeat('z', 1000000)) AS text")
+    long.unionByName(spark.createDataFrame([(99, "abc")], "item_id long, text string")).write.parquet(str(tmp_path / "benchmark.parquet"))
+    assert [tuple(r) for r in QUERIES["anchor_check"](spark, str(tmp_path)).collect()] == [(1, 1, 1, "WARNING")]
+
+
 @pytest.mark.parametrize(("total", "mb", "want"), [(16, 1.0, 5), (10, 10.01, 5), (15, 10.0, 15), (50, 30.0, 5), (4, 11.0, 4)])
 def test_page_cap(spark, total, mb, want):
     assert spark.range(1).select(quality.pages_to_process(F.lit(total), F.lit(mb)).alias("n")).first()["n"] == want
