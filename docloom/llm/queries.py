@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from docloom.llm import decontamination, deleted_interpolation, jaccard_join, line_dedup, mixing, quality_rules, secrets, suffix_dedup, token_store, warc
 from docloom.llm.common import table
@@ -16,6 +17,17 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.selectExpr("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "n_hit > 0 AS contaminated")
 
 
+#: Words that a term of a benchmark phrase may stand from its place in near matches.
+NEAR_SLOP = 2
+
+
+def near_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As op1_decontamination, with near matches: words covered and items."""
+    docs, bench = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    rows = decontamination.decontaminate(docs, bench, slop=NEAR_SLOP)
+    return rows.select("doc_id", "n_words", "n_hit", "n_near", "n_items", F.array_join("near_items", ",").alias("near_items"))
+
+
 def op2_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_documents(table(spark, sf_dir, "documents"))
 
@@ -73,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_suffix_array,
         op10_jaccard_join,
         line_repeats,
+        near_decontamination,
     )
 }
 

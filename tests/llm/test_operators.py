@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docloom.llm import decontamination, deleted_interpolation, graph, jaccard_join, line_dedup, mixing, quality_rules, secrets, suffix_dedup, warc
+from docloom.llm.queries import QUERIES
 from tests.llm.helpers import BLANK, empty_docs, lower, odd_docs, odd_rows, words
 
 ROWS = odd_rows()
@@ -169,6 +170,16 @@ def test_later_copies_of_line_runs_go(spark, k):
     assert collected(got.select("doc_id", "n_lines", "n_removed")) == runs_removed(rows, k)
 
 
+def test_the_near_query_finds_passages_with_words_put_in(spark, tmp_path):
+    item = [f"q{i}" for i in range(40)]
+    changed = " ".join(f"{x} extra" if i % 8 == 4 else x for i, x in enumerate(item))
+    rows = [(1, " ".join(item)), (2, f"before {changed} after"), (3, " ".join(reversed(item))), (4, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    benchmark(spark, [(7, " ".join(item))]).write.parquet(str(tmp_path / "benchmark.parquet"))
+    got = {r["doc_id"]: (r["n_hit"], r["n_near"] >= 40, r["near_items"]) for r in QUERIES["near_decontamination"](spark, str(tmp_path)).collect()}
+    assert got == {1: (40, True, "7"), 2: (0, True, "7"), 3: (0, False, ""), 4: (0, False, "")}
+
+
 def repeats_removed(rows, k, long_words):
     order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0, i))
     seen, wholes, out = set(), set(), []
