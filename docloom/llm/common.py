@@ -13,8 +13,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, NullType
 
 ASCII_LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 # A-Z to a-z; all other ASCII but digits and letters to a space, so that split() leaves the words.
@@ -24,9 +25,11 @@ WORD_TABLE = bytes(
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The shared folder that the session names; one of its own only where none is set (tests)."""
+    """The shared folder that the session names; one of its own only where none is set and all tasks run here (tests)."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="docloom-")
         spark.sparkContext.setCheckpointDir(root)
         root = spark.sparkContext.getCheckpointDir()
@@ -64,9 +67,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def integer_id(df: DataFrame, name: str = "doc_id") -> Column:
+    """The id column as a long. Ids are integers (or null): any other type is refused here, before a task runs."""
+    kind = df.schema[name].dataType
+    if not isinstance(kind, (IntegralType, NullType)):
+        raise TypeError(f"{name} must be an integer column, not {kind.simpleString()}")
+    return F.col(name).cast("long").alias(name)
+
+
 def id_and_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Just (doc_id long, text string), so that no other column's name can clash."""
-    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return df.select(integer_id(df, id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
 def texts(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:

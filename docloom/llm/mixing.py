@@ -10,8 +10,10 @@ hash bins (pre-aggregated before its shuffle); only the one bin that holds the c
 sees a whole source.
 
 A null text has size 0. A null source is a source of its own, after all others. A source of size 0 has target 0.
-Rows with equal ids are told apart by their size; rows equal in both tie and are cut together in a fixed order.
-Empty tables give empty results.
+Rows with equal ids are told apart by their size, then by a hash of their text and kept columns; rows equal in all of
+these are interchangeable. Null ids of one size share a place in the seeded order, told apart by that hash. Very long
+texts are counted whole. Other columns may have any name: only ``keep`` is carried, in a struct. Empty tables give empty
+results.
 """
 
 from __future__ import annotations
@@ -19,6 +21,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
+
+from docloom.llm.common import integer_id, stored
 
 WORDS = r"[^\x20\x09-\x0D]+"
 BINS = 4096
@@ -82,17 +87,18 @@ def mix(docs: DataFrame, *, max_epochs: int = 3, seed: str = "mix", keep: tuple[
     ``keep`` names columns of ``docs`` that the result carries along in a struct ``kept``.
     """
     rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
+        integer_id(docs),
         F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")).alias("key"),
         size_of(F.col("text")).alias("size"),
+        F.xxhash64("text", *[f"`{f.name}`" for f in docs.schema if f.name in keep and not isinstance(f.dataType, MapType)]).alias("tie"),
         *([F.struct(*keep).alias("kept")] if keep else []),
     )
     name = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("size").cast("string"))
     rows = rows.withColumn("h", seeded(name, seed)).withColumn("bin", F.shiftright("h", 40).cast("int"))
-    bins = rows.groupBy("key", "bin").agg(F.sum("size").alias("words")).persist()
+    bins = stored(rows.groupBy("key", "bin").agg(F.sum("size").alias("words")), "mix-bins")
     sources = bins.groupBy("key").agg(F.sum("words").alias("source_size"))
     source = F.when(F.col("key") != "", F.substring("key", 2, 1 << 30)).alias("source")
-    sources = water_fill(source_order(sources.select(source, "source_size")).persist(), max_epochs=max_epochs)
+    sources = water_fill(stored(source_order(sources.select(source, "source_size")), "mix-sources"), max_epochs=max_epochs)
     size, target = F.col("source_size"), F.col("target")
     whole = F.when(size > 0, F.floor(target / size)).otherwise(0).cast("long")
     sources = sources.withColumn("whole", whole).withColumn("rest", target - F.col("whole") * size)
@@ -106,9 +112,9 @@ def mix(docs: DataFrame, *, max_epochs: int = 3, seed: str = "mix", keep: tuple[
     plan = sources.join(cuts, "key", "left").select(
         "key", "source_size", "target", "whole", F.col("cut.bin").alias("cut_bin"), F.col("cut.give").alias("give")
     )
-    plan = plan.persist()
+    plan = stored(plan, "mix-plan")
     joined = rows.join(F.broadcast(plan) if _few(plan) else plan, "key")
-    earlier = W.partitionBy("key", "bin").orderBy("h", "doc_id").rowsBetween(W.unboundedPreceding, -1)
+    earlier = W.partitionBy("key", "bin").orderBy("h", "doc_id", "tie").rowsBetween(W.unboundedPreceding, -1)
     at_cut = F.coalesce((F.col("bin") == F.col("cut_bin")) & (F.col("give") > 0), F.lit(False))
     again = F.coalesce(F.col("bin") < F.col("cut_bin"), F.lit(True))
     sure = joined.where(~at_cut).withColumn("more", F.when(again, F.col("size")).otherwise(F.lit(0)))

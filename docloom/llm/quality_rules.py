@@ -3,13 +3,15 @@
 Lines are split at ``\\n``. A line without a word is neither kept nor lost. A line fails by
 
 * punctuation: more than ``symbol_share`` of its characters (white space aside) are symbols, or it has
-  ``unpunctuated_words`` words or more and no sentence punctuation anywhere;
+  ``unpunctuated_words`` words or more and no sentence punctuation of any script anywhere;
 * navigation: two menu separators or more and at least one for every three words;
-* boilerplate: one of the fixed phrases.
+* boilerplate: one of the fixed phrases (English ones by default; ``phrases`` takes those of other languages).
 
 A document is rejected if the whole text fails the base rules (too few words, too many words in repeated windows), or
 if less than ``keep_share`` of its word characters stand in lines that pass. Null and empty texts have no words and
-are rejected by the base rules. Rows are judged one by one, so repeated rows each give a row.
+are rejected by the base rules. Rows are judged one by one, so repeated rows each give a row, and there are no ties. Very
+long texts are judged whole, in batches of a bounded number of bytes beside them. Only doc_id (an integer) and text are
+read, so other columns may have any name. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -36,7 +38,10 @@ RESULT_ARROW = pa.schema(
 SYMBOLS = b"#*$%&|<>"
 SPACE = b"\x20\x09\x0a\x0b\x0c\x0d"
 TAIL_BYTES = bytes(range(0x80, 0xC0))
-SENTENCE_MARKS = b".!?,;:"
+# Fixed: marks that end or divide sentences, ASCII first, then Chinese, Arabic, Indic, Ethiopic, Armenian and Khmer ones.
+SENTENCE_MARKS = ".!?,;:…。、，！？；：؟،؛۔।॥።፣՝։។"
+ASCII_MARKS = bytes(ord(c) for c in SENTENCE_MARKS if c.isascii())
+OTHER_MARKS = re.compile("|".join(c for c in SENTENCE_MARKS if not c.isascii()).encode())
 SEPARATORS = re.compile(rb"\||>|\xc2\xbb|\xe2\x80\xba|\xe2\x80\xa2|\xc2\xb7")
 # Fixed phrases (ASCII, either case).
 BOILERPLATE = (
@@ -55,7 +60,14 @@ BOILERPLATE = (
     "licensed under the",
     "lorem ipsum",
 )
-BOILERPLATE_BYTES = re.compile("|".join(map(re.escape, BOILERPLATE)).encode(), re.IGNORECASE)
+
+
+def boilerplate(phrases: tuple[str, ...]) -> re.Pattern:
+    """Any of the phrases, ASCII letters in either case."""
+    return re.compile("|".join(map(re.escape, phrases)).encode() or rb"(?!)", re.IGNORECASE)
+
+
+BOILERPLATE_BYTES = boilerplate(BOILERPLATE)
 
 
 def chars_of_words(text: bytes) -> int:
@@ -63,14 +75,17 @@ def chars_of_words(text: bytes) -> int:
     return len(text.translate(None, SPACE + TAIL_BYTES))
 
 
-def line_fails(line: bytes, n_words: int, chars: int, *, symbol_share: float, unpunctuated_words: int) -> bool:
+def line_fails(
+    line: bytes, n_words: int, chars: int, *, symbol_share: float, unpunctuated_words: int, phrases: re.Pattern = BOILERPLATE_BYTES
+) -> bool:
     symbols = len(line) - len(line.translate(None, SYMBOLS))
     if symbols > symbol_share * chars:
         return True
-    if n_words >= unpunctuated_words and len(line) == len(line.translate(None, SENTENCE_MARKS)):
-        return True
+    if n_words >= unpunctuated_words and len(line) == len(line.translate(None, ASCII_MARKS)):
+        if line.isascii() or not OTHER_MARKS.search(line):
+            return True
     separators = len(SEPARATORS.findall(line))
-    return (separators >= 2 and 3 * separators >= n_words) or BOILERPLATE_BYTES.search(line) is not None
+    return (separators >= 2 and 3 * separators >= n_words) or phrases.search(line) is not None
 
 
 def repeated_words(docs: list[list[bytes]], width: int) -> np.ndarray:
@@ -115,8 +130,10 @@ def figures(
     keep_share: float = 0.5,
     symbol_share: float = 0.1,
     unpunctuated_words: int = 12,
+    phrases: tuple[str, ...] = BOILERPLATE,
 ) -> list[tuple]:
     """The result's columns after doc_id, for each text."""
+    known = boilerplate(phrases)
     words, out = [x.split() for x in bodies], []
     for text, own, repeat in zip(bodies, words, repeated_words(words, window).tolist(), strict=True):
         seen, dup, n_lines, removed, kept_chars = set(), 0, 0, 0, 0
@@ -128,7 +145,7 @@ def figures(
             dup += line in seen
             seen.add(line)
             chars = chars_of_words(line)
-            if line_fails(line, n, chars, symbol_share=symbol_share, unpunctuated_words=unpunctuated_words):
+            if line_fails(line, n, chars, symbol_share=symbol_share, unpunctuated_words=unpunctuated_words, phrases=known):
                 removed += 1
             else:
                 kept_chars += chars
@@ -140,11 +157,11 @@ def figures(
     return out
 
 
-def verdicts(bodies: list[bytes], **rules: float) -> list[bool]:
+def verdicts(bodies: list[bytes], **rules) -> list[bool]:
     return [x[-1] for x in figures(bodies, **rules)]
 
 
-def judge(docs: DataFrame, *, chunk_bytes: int = 4_000_000, **rules: float) -> DataFrame:
+def judge(docs: DataFrame, *, chunk_bytes: int = 4_000_000, **rules) -> DataFrame:
     """One row per document with its base figures, its lines' fate and the verdict; ``rules`` as in ``figures``."""
 
     def made(ids: list, bodies: list[bytes]) -> pa.RecordBatch:
@@ -169,7 +186,7 @@ def judge(docs: DataFrame, *, chunk_bytes: int = 4_000_000, **rules: float) -> D
     return id_and_text(docs).mapInArrow(run, RESULT)
 
 
-def filter_documents(docs: DataFrame, **rules: float) -> DataFrame:
+def filter_documents(docs: DataFrame, **rules) -> DataFrame:
     """``docs`` (any columns, text among them) without rejected documents; the failing lines of the others go.
 
     ``n_chars``, where it is there, follows the text. Rules as in ``judge``.
@@ -177,7 +194,7 @@ def filter_documents(docs: DataFrame, **rules: float) -> DataFrame:
     spark_schema, names = docs.schema, docs.columns
     at = [i for i, x in enumerate(names) if x == "text"][-1]
     counts = [i for i, x in enumerate(names) if x == "n_chars"]
-    line_rules = {k: rules[k] for k in ("symbol_share", "unpunctuated_words") if k in rules}
+    line_rules = {k: rules[k] for k in ("symbol_share", "unpunctuated_words", "phrases") if k in rules}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches_of(batches):
@@ -195,13 +212,15 @@ def filter_documents(docs: DataFrame, **rules: float) -> DataFrame:
     return docs.mapInArrow(run, spark_schema)
 
 
-def clean_lines(text: bytes, *, symbol_share: float = 0.1, unpunctuated_words: int = 12) -> bytes:
+def clean_lines(
+    text: bytes, *, symbol_share: float = 0.1, unpunctuated_words: int = 12, phrases: tuple[str, ...] = BOILERPLATE
+) -> bytes:
     """The text without its failing lines."""
-    out = []
+    out, known = [], boilerplate(phrases)
     for line in text.split(b"\n"):
         n = len(line.split())
         if not n or not line_fails(
-            line, n, chars_of_words(line), symbol_share=symbol_share, unpunctuated_words=unpunctuated_words
+            line, n, chars_of_words(line), symbol_share=symbol_share, unpunctuated_words=unpunctuated_words, phrases=known
         ):
             out.append(line)
     return b"\n".join(out)

@@ -148,7 +148,7 @@ l AS (SELECT rid, line, n, length(regexp_replace(line, '[\x20\x09-\x0D]+', '', '
     len(regexp_extract_all(line, '[|>»›•·]')) AS separators
   FROM (SELECT rid, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n FROM
     (SELECT rid, unnest(string_split(text, chr(10))) AS line FROM d)) WHERE n > 0),
-v AS (SELECT rid, line, chars, 10 * symbols > chars OR (n >= 12 AND NOT regexp_matches(line, '[.!?,;:]'))
+v AS (SELECT rid, line, chars, 10 * symbols > chars OR (n >= 12 AND NOT regexp_matches(line, '[{quality_rules.SENTENCE_MARKS}]'))
     OR (separators >= 2 AND 3 * separators >= n)
     OR regexp_matches(line, '(?i){"|".join(quality_rules.BOILERPLATE)}') AS bad FROM l),
 g AS (SELECT rid, count(*) AS n_lines, count(*) - count(DISTINCT line) AS dup, count(*) FILTER (bad) AS removed,

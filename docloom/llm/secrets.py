@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from docloom.llm.common import shared_dir
+from docloom.llm.common import integer_id, shared_dir
 
 
 @dataclass(frozen=True)
@@ -171,7 +171,7 @@ def report(versions: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = RULES,
 
 def scan_documents(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The digest columns of every document, by a new ledger."""
-    versions = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    versions = docs.select(integer_id(docs), F.col("text").cast("string").alias("text"))
     ledger = Ledger.new(docs.sparkSession)
     ledger.update(versions, rules)
     rows = report(versions, ledger, rules)

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm.common import batches_of, shared_dir, texts
+from docloom.llm.common import batches_of, integer_id, shared_dir, texts
 from docloom.llm.shared_files import write_file
 
 DICT_MAGIC = 0x184D2A5D
@@ -156,7 +156,7 @@ def write_archives(pages: DataFrame, folder: str, *, archive_bytes: int = 16 <<
     the join with it, which Spark may split where one payload has very many copies.
     """
     rows = pages.select(
-        F.col("page_id").cast("long").alias("page_id"),
+        integer_id(pages, "page_id"),
         F.col("url").cast("string").alias("url"),
         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"),
     ).withColumn("sha", F.sha1("html"))

@@ -242,6 +242,14 @@ def test_base_figures_of_quality_rules(spark):
     assert quality_rules.judge(empty_docs(spark)).count() == 0
 
 
+def test_sentences_of_other_scripts_stay():
+    words = " ".join(f"शब्द{i}" for i in range(15))
+    verdict = lambda text, **rules: quality_rules.verdicts([text.encode()], min_words=5, **rules)[0]
+    assert [verdict(words + mark) for mark in ("।", "。", "؟", "", ".")] == [True, True, True, False, True]
+    line = " ".join(f"wort{i}," for i in range(15)) + " alle rechte vorbehalten"
+    assert verdict(line) and not verdict(line, phrases=("alle rechte vorbehalten",)) and verdict(line, phrases=())
+
+
 def test_lines_are_judged_first(spark):
     line = lambda i: " ".join(f"word{i}x{k}" for k in range(9)) + ", and so it ends.\n"
     good, body = line(100), "".join(line(i) for i in range(6))
