@@ -7,8 +7,9 @@ in the last stage what the token files hold of each document.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from docloom.llm import decontamination, jaccard_join, mixing, quality_rules, token_store
 from docloom.llm.common import stored, table
@@ -20,50 +21,80 @@ ORACLE_SQL = None
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Failing lines go, and documents that the rules reject."""
+    """Failing lines go, and documents that the rules reject.
+
+    Null and empty texts have too few words and are rejected; rows are judged one by one, so repeated rows and null ids
+    are rows like others; whole texts are judged, however long; an empty table stays empty.
+    """
     return quality_rules.filter_documents(docs)
 
 
-def row_key() -> F.Column:
-    """A name of a row's id and text, for tables whose ids are not unique."""
-    return F.xxhash64(F.col("doc_id"), F.col("text"))
+def hashable(docs: DataFrame) -> list[str]:
+    """The columns that have a hash: all but maps."""
+    return [f.name for f in docs.schema if not isinstance(f.dataType, MapType)]
+
+
+def row_key(docs: DataFrame) -> Column:
+    """A name of a row: a hash of its columns. Equal rows share it."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c in hashable(docs)])
+
+
+def chosen(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """``docs`` with (left_semi) or without (left_anti) the rows of ``keys(key)``, joined by a name that ``docs`` has not."""
+    name = "key"
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name = f"_{name}"
+    return docs.join(keys.select(F.col("key").alias(name)), row_key(docs) == F.col(name), how)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates: the one with the smallest doc_id.
 
-    Where ids are null or occur twice, rows are named by ``row_key``, rows equal in id and text are one, and the
-    smallest name stays.
+    Rows with a null id come after all others; rows that share their id are told apart by ``row_key``, the smaller one
+    first; of equal rows one stays. Texts without a word (null, empty) are near to none: all of them stay, equal rows
+    once. Very long texts are compared whole. An empty table stays empty.
     """
-    ids = docs.agg(F.count("*").alias("rows"), F.countDistinct("doc_id").alias("ids")).first()
-    unique = ids["rows"] == ids["ids"]
-    rows = docs if unique else docs.dropDuplicates(["doc_id", "text"])
-    key = F.col("doc_id") if unique else row_key()
-    classes = jaccard_join.classes(rows.select(key.alias("doc_id"), "text"))
-    leave = classes.where("doc_id <> class_id").select(F.col("doc_id").alias("left_out"))
-    return rows.join(leave, key == F.col("left_out"), "left_anti")
+    key = row_key(docs)
+    found = jaccard_join.classes(docs.select(key.alias("doc_id"), "text")).select(F.col("doc_id").alias("key"), "class_id")
+    rows = docs.select(key.alias("key"), F.col("doc_id").alias("id")).groupBy("key").agg(F.min("id").alias("id"), F.count("*").alias("n"))
+    named = stored(rows.join(found.distinct(), "key"), "near-duplicates")
+    order = F.struct(F.col("id").isNull().alias("last"), "id", "key")
+    first = named.groupBy("class_id").agg(F.min(order).alias("first")).select("class_id", F.col("first.key").alias("stays"))
+    judged = named.join(first, "class_id").select("key", "n", (F.col("key") == F.col("stays")).alias("stays"))
+    kept = chosen(docs, judged.where("n > 1 or not stays"), "left_anti")
+    repeated = chosen(docs, judged.where("n > 1 and stays"), "left_semi")
+    return kept.unionByName(repeated.dropDuplicates(hashable(docs)))
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no phrase of the benchmark."""
+    """Documents that hold no phrase of the benchmark.
+
+    Each row is judged by its own text: rows that share an id, null ids and repeated rows included. Null and empty texts
+    hold nothing and stay; whole texts are searched, however long; an empty table stays empty.
+    """
     found = decontamination.decontaminate(
-        docs.select(row_key().alias("doc_id"), "text"), table(spark, sf_dir, "benchmark")
+        docs.select(row_key(docs).alias("doc_id"), "text"), table(spark, sf_dir, "benchmark")
     )
-    leave = found.where("n_hit > 0").select(F.col("doc_id").alias("left_out")).distinct()
-    return docs.join(leave, row_key() == F.col("left_out"), "left_anti")
+    return chosen(docs, found.where("n_hit > 0").select(F.col("doc_id").alias("key")).distinct(), "left_anti")
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it whole; the one at a source's cut if it gives half of it or more."""
+    """Each document as often as the mix takes it whole; the one at a source's cut if it gives half of it or more.
+
+    A null source is a source of its own. Null and empty texts have no size and stay once. Ties of id and size are cut
+    in the order of the rows' hashes; equal rows are interchangeable. An empty table stays empty.
+    """
     mixed = mixing.mix(docs, keep=tuple(docs.columns))
     copies = F.col("copies") + (2 * F.col("part") >= F.col("size")).cast("long") * (F.col("part") > 0).cast("long")
-    return mixed.withColumn("times", F.array_repeat(F.lit(1), copies.cast("int"))).select(
-        "kept.*", F.explode("times").alias("time")
-    ).drop("time")
+    return mixed.select(F.inline(F.array_repeat("kept", copies.cast("int"))))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files and what they hold: doc_id, start, n_tokens, ids_crc32."""
+    """Token files and what they hold: doc_id, start, n_tokens, ids_crc32.
+
+    Null and empty texts hold the end id alone; null ids come first; rows that share an id follow each other by text; an
+    empty table writes no file and gives no row.
+    """
     return token_store.round_trip(docs, VOCABULARY)
 
 
