@@ -1,298 +1,566 @@
 """Repeated runs of lines by a suffix array over line numbers, built by distributed prefix doubling.
 
 A document is a sequence of lines (those with a word; blank lines stay in the text but not in the sequence). Suffixes
-are ranked by their first line, then by their first 2, 3, ... lines: a round sorts the pairs (rank of i, rank of i + 1)
-by ranges and numbers them anew, so ranks stay in suffix order. The array is cut at depth ``min_run``: a group of equal
-rank is then an interval whose longest common prefix is ``min_run`` lines or more. Longer maximal runs are chains of such
-places. Suffixes that share their rank with no other, and those too near the end of their document, leave after each
-round.
-
-In every interval the first occurrence (smallest doc_id, then place) stays; the lines of the others are deleted
-(``removed``). Shorter runs are judged on the way, at their own depth. ``repeats`` has the removed lines and
+are ranked by their first line, then by their first 2, 4, 8, ... lines: a round sorts the pairs (rank of i, rank of
+i + depth) by ranges and numbers them anew, so ranks stay in suffix order. Suffixes that share their rank with no other
+leave after each round, and doubling goes on until none is left.
+
+Suffixes that share a rank at some depth are an interval of the array. Its longest common prefix lies between that depth
+and twice it; it is found for each suffix by going down again through the kept ranks (``descend``): at each smaller
+depth the pairs (interval, rank of i + length) tell which suffixes of an interval agree for that much longer, and they
+form an interval within it. Of those that went deeper one stays behind as a witness for all, so that the others still
+find their partners and ``copies`` counts them. What a suffix ends with is the deepest interval that holds it: the length
+of the longest run from there that occurs elsewhere, and how often that run occurs. A run is maximal (``runs``) if the
+line before it does not lengthen it: the suffix one line earlier does not end in a run that reaches as far.
+
+In every interval of ``min_run`` lines the first occurrence (smallest doc_id, then text hash, then place) stays; the
+lines of the others are deleted (``removed``). Shorter runs are judged at their own depth. ``repeats`` has the removed
+lines and
 
 * later copies of runs of fewer than ``min_run`` lines that hold ``long_words`` words (between blanks) or more;
 * the lines of a document of fewer than ``min_run`` lines that are all the lines of an earlier document.
 
 A chunk of documents sends each distinct pair once with its number, so a line that is a third of all lines is one row
-a chunk, and pairs are dealt by sampled ranges of both ranks. The driver sees one sum for each range. Nulls and empty
-texts have no lines; a null doc_id comes after all others; rows that share an id are documents of their own in a fixed
-order; empty tables give empty results.
+a chunk; a range reads them as a stream and holds eight bytes for each row of the pair that it is at. The driver sees
+sums for each range. Lines are compared by 63-bit hashes.
+
+Nulls and empty texts have no lines; a null doc_id comes after all others; rows that share an id are documents of their
+own, ordered by their text's hash, so equal rows are interchangeable; a very long text is one document however many lines
+it has, and any other column may have any name (only doc_id, an integer, and text are read); empty tables give empty
+results.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.llm.common import batches_of, id_and_text, mix, stored, texts
-from docloom.llm.deleted_interpolation import _parts
+from docloom.llm.deleted_interpolation import _parts, grouped
 from docloom.llm.jaccard_join import hash_words
 from docloom.llm.suffix_dedup import FACTOR, _schema, _spans
 
 LAST = 2**63 - 1
-CHUNKS = "chunk string, doc_ids array<bigint>, ends array<bigint>, numbers binary, words binary, gone binary, ranks binary"
-PAIRS = "r1 bigint, r2 bigint, chunk string, n bigint, doc bigint, place bigint"
-RANKED = "chunk string, r1 bigint, r2 bigint, part bigint, local bigint, n bigint, many bigint, first bigint"
+BODY, STATE, LEVEL, DEEPER, ANSWERS, JUDGED = range(6)  # kinds of rows that a chunk meets
+CHUNKS = "chunk bigint, doc_ids array<bigint>, ids binary, ties binary, ends binary, numbers binary, words binary, hashes binary"
+ASKS = "range int, r1 bigint, r2 bigint, doc bigint, tie bigint, chunk bigint, place bigint, n bigint, w bigint"
+ORDER = ("r1", "r2", "doc", "tie", "chunk", "place")
+REPLIES = "chunk bigint, data binary, range int, count bigint, shared bigint"
+FIELDS = 7  # of a reply: r1, r2, range, number in it, members, present members, place of the first (-1: elsewhere)
+LEVELS = "chunk bigint, ids binary, ties binary, ends binary, places binary, ranks binary, sizes binary, firsts binary, wholes binary"
+STATES = "chunk bigint, ends binary, at binary, stays binary"
+TAGS = 64  # numbers of different exchanges never meet
+
+
+def _numbers(data: bytes | None, width: int = 1) -> np.ndarray:
+    out = np.frombuffer(data or b"", "<i8")
+    return out if width == 1 else out.reshape(-1, width)
+
+
+def _bytes(x: np.ndarray) -> bytes:
+    return np.ascontiguousarray(x).astype("<i8").tobytes()
+
+
+def _batch(rows: list[dict], schema: str) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pylist(rows, schema=_schema(schema))
 
 
 def chunks(docs: DataFrame, *, chunk_lines: int = 200_000) -> DataFrame:
-    """Documents as sequences of 63-bit line hashes (``ranks``), with their line numbers and words; no line is gone yet."""
+    """Documents as sequences of 63-bit line hashes, with their line numbers and words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, made, lines, numbers, words, ids, ends = TaskContext.get().partitionId(), 0, [], [], [], [], []
+        part, made, hashes, numbers, words, ids, ties, ends = TaskContext.get().partitionId(), 0, [], [], [], [], [], []
 
         def row() -> pa.RecordBatch:
             value = {
-                "chunk": f"{part:08d}-{made:06d}",
+                "chunk": part << 20 | made,
                 "doc_ids": ids,
-                "ends": ends,
+                "ids": _bytes(np.array([LAST if x is None else x for x in ids], np.int64)),
+                "ties": _bytes(np.array(ties, np.int64)),
+                "ends": _bytes(np.array(ends, np.int64)),
                 "numbers": np.array(numbers, "<i4").tobytes(),
                 "words": np.array(words, "<i4").tobytes(),
-                "gone": bytes(len(lines)),
-                "ranks": (hash_words(lines) >> np.uint64(1)).astype("<i8").tobytes(),
+                "hashes": (np.concatenate(hashes) >> np.uint64(1)).astype("<i8").tobytes(),
             }
-            return pa.RecordBatch.from_pylist([value], schema=_schema(CHUNKS))
+            return _batch([value], CHUNKS)
 
         for batch in batches_of(batches):
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch), strict=True):
+                lines = []
                 for number, line in enumerate(text.split(b"\n")):
                     if line and not line.isspace():
                         lines.append(line)
                         numbers.append(number)
                         words.append(len(line.split()))
+                hashes.append(hash_words(lines))
                 ids.append(doc_id)
-                ends.append(len(lines))
-                if len(lines) >= chunk_lines or len(ids) >= chunk_lines:
+                ties.append(xxhash.xxh3_64_intdigest(text) >> 1)
+                ends.append(len(numbers))
+                if len(numbers) >= chunk_lines or len(ids) >= chunk_lines:
                     yield row()
-                    made, lines, numbers, words, ids, ends = made + 1, [], [], [], [], []
+                    made, hashes, numbers, words, ids, ties, ends = made + 1, [], [], [], [], [], []
         if ids:
             yield row()
 
     return id_and_text(docs).mapInArrow(run, CHUNKS)
 
 
-def _pairs_of(row: dict, offset: int, whole: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Active places of a chunk (both ranks shared, in one document), their ranks and their documents.
+def _gathered(keys: list[np.ndarray], order: list[np.ndarray], n: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct (r1, r2), where each is first by ``order``, and the sums of n and w."""
+    r1, r2 = keys
+    by = np.lexsort((*order[::-1], r2, r1))
+    new = np.concatenate(([True], (r1[by][1:] != r1[by][:-1]) | (r2[by][1:] != r2[by][:-1])))[: len(by)]
+    at = np.flatnonzero(new)
+    sums = [np.add.reduceat(x[by], at) if len(at) else x[:0] for x in (n, w)]
+    return by[at], *sums
 
-    With ``whole`` also the documents of 1 to ``whole`` lines: a hash of their lines and, as second rank, their number.
-    """
-    ranks, ends = np.frombuffer(row["ranks"], "<i8"), np.array(row["ends"], np.int64)
-    place = np.arange(len(ranks))
-    doc = np.searchsorted(ends, place, side="right")
-    ok = (ranks >= 0) & (place + offset < ends[doc]) if len(ranks) else np.zeros(0, bool)
-    place = place[ok]
-    other = ranks[place + offset] if offset else np.zeros(len(place), np.int64)
-    active = other >= 0
-    place = place[active]
-    found = place, ranks[place], other[active], doc[place]
-    if not whole:
-        return found
+
+def _asks(chunk: int, ranges: np.ndarray, r1: np.ndarray, r2: np.ndarray, doc, tie, place, n, w) -> pa.RecordBatch:
+    columns = (ranges, r1, r2, doc, tie, np.full(len(r1), chunk), place, n, w)
+    schema = _schema(ASKS)
+    return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(columns, schema, strict=True)], schema=schema)
+
+
+def _whole_documents(hashes: np.ndarray, ends: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The documents of 1 to ``most`` lines: place, hash of all lines, number of lines, document."""
     begins = np.concatenate(([0], ends[:-1]))
     size = ends - begins
-    doc = np.flatnonzero((size > 0) & (size <= whole))
+    doc = np.flatnonzero((size > 0) & (size <= most))
     place, size, key = begins[doc], size[doc], np.zeros(len(doc), np.uint64)
-    for j in range(whole):
+    for j in range(most):
         inside = size > j
-        key[inside] = key[inside] * FACTOR + ranks[place[inside] + j].astype(np.uint64)
-    wholes = place, (mix(key) >> np.uint64(1)).astype(np.int64), size, doc
-    return tuple(np.concatenate(x) for x in zip(found, wholes, strict=True))
+        key[inside] = key[inside] * FACTOR + hashes[place[inside] + j].astype(np.uint64)
+    return place, (mix(key) >> np.uint64(1)).astype(np.int64), size, doc
+
+
+def _first_pairs(row: dict, whole: int) -> tuple[np.ndarray, ...]:
+    """All places by their line's hash, and short documents by all lines' hash with their number as second rank."""
+    hashes, ends = _numbers(row["hashes"]), _numbers(row["ends"])
+    place = np.arange(len(hashes))
+    lines = place, hashes, np.zeros(len(place), np.int64), np.searchsorted(ends, place, side="right")
+    return tuple(np.concatenate(x) for x in zip(lines, _whole_documents(hashes, ends, whole), strict=True))
+
+
+def _pairs(row: dict, offset: int) -> tuple[np.ndarray, ...]:
+    """Places with both ranks shared, in one document: place, ranks here and ``offset`` lines on, document, size."""
+    places, ranks, ends = _numbers(row["places"]), _numbers(row["ranks"]), _numbers(row["ends"])
+    dense = np.full(int(ends[-1]) + 1, -1, np.int64)
+    dense[places] = ranks
+    doc = np.searchsorted(ends, places, side="right")
+    other = np.where(places + offset < ends[doc], dense[np.minimum(places + offset, len(dense) - 1)], -1)
+    ok = other >= 0
+    return places[ok], ranks[ok], other[ok], doc[ok], _numbers(row["sizes"])[ok]
 
 
-def pairs(table: DataFrame, offset: int, whole: int = 0) -> DataFrame:
-    """Distinct pairs of each chunk with their number and first occurrence; ``offset`` 0: single ranks."""
+def _place_of(rank: np.ndarray, size: np.ndarray, other: np.ndarray, total: int, parts: int) -> np.ndarray:
+    """The range of a pair: an interval's ranks are its own, so its share of them, dealt by the second rank, keeps order."""
+    inside = np.minimum(size - 1, (other / max(1, total) * size).astype(np.int64))
+    return np.minimum(parts - 1, ((rank + inside) / max(1, total) * parts).astype(np.int64))
 
+
+def first_asks(table: DataFrame, parts: int, whole: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches_of(batches):
             for row in batch.to_pylist():
-                place, r1, r2, doc = _pairs_of(row, offset, whole)
-                ids = np.array([LAST if x is None else x for x in row["doc_ids"]], np.int64)[doc]
-                order = np.lexsort((place, ids, r2, r1))
-                r1, r2 = r1[order], r2[order]
-                new = np.concatenate(([True], (r1[1:] != r1[:-1]) | (r2[1:] != r2[:-1])))[: len(r1)]
-                at = np.flatnonzero(new)
-                columns = [
-                    r1[at],
-                    r2[at],
-                    [row["chunk"]] * len(at),
-                    np.diff(np.concatenate((at, [len(r1)]))) if len(at) else at,
-                    ids[order][at],
-                    place[order][at],
-                ]
-                yield pa.RecordBatch.from_pydict(dict(zip(_schema(PAIRS).names, columns, strict=True)), _schema(PAIRS))
-
-    return table.mapInArrow(run, PAIRS)
-
-
-def _groups(rows: pa.Table, part: int, local: int) -> dict[str, np.ndarray]:
-    """Whole groups of equal pairs, in order, numbered from ``local`` on."""
-    r1, r2, n, doc, place = (rows.column(x).to_numpy() for x in ("r1", "r2", "n", "doc", "place"))
-    code = rows.column("chunk").combine_chunks().dictionary_encode()
-    name = np.argsort(np.argsort(np.array(code.dictionary.to_pylist())))[code.indices.to_numpy()]
-    new = np.concatenate(([True], (r1[1:] != r1[:-1]) | (r2[1:] != r2[:-1])))
-    group, at = np.cumsum(new) - 1, np.flatnonzero(new)
-    total = np.add.reduceat(n, at)
-    order = np.lexsort((place, name, doc, group))
-    first = np.full(len(n), -1, np.int64)
-    first[order[at]] = place[order[at]]
-    before = local + np.cumsum(total) - total
-    columns = (rows.column("chunk"), r1, r2, np.full(len(n), part), before[group], n, total[group], first)
-    return dict(zip(_schema(RANKED).names, columns, strict=True))
-
-
-def ranked(asked: DataFrame) -> DataFrame:
-    """The pairs in order, numbered within their range: ``local`` suffixes of the range come before their group."""
+                place, r1, r2, doc = _first_pairs(row, whole)
+                ids, ties, one = _numbers(row["ids"])[doc], _numbers(row["ties"])[doc], np.ones(len(place), np.int64)
+                at, n, w = _gathered([r1, r2], [ids, ties, place], one, one * 0)
+                ranges = ((r1[at] >> 32) * parts) >> 31
+                yield _asks(row["chunk"], ranges, r1[at], r2[at], ids[at], ties[at], place[at], n, w)
+
+    return table.select("chunk", "ids", "ties", "ends", "hashes").mapInArrow(run, ASKS)
+
 
+def next_asks(level: DataFrame, parts: int, offset: int, total: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, local, held = TaskContext.get().partitionId(), 0, []
         for batch in batches_of(batches):
-            rows = pa.Table.from_batches([*held, batch])
-            r1, r2 = rows.column("r1").to_numpy(), rows.column("r2").to_numpy()
-            other = np.flatnonzero((r1 != r1[-1]) | (r2 != r2[-1]))
-            whole = int(other[-1]) + 1 if len(other) else 0
-            held = rows.slice(whole).to_batches()  # the last group may go on
-            if whole:
-                out = _groups(rows.slice(0, whole), part, local)
-                local += int(out["n"].sum())
-                yield from pa.Table.from_pydict(out, _schema(RANKED)).to_batches()
-        if held:
-            yield from pa.Table.from_pydict(_groups(pa.Table.from_batches(held), part, local), _schema(RANKED)).to_batches()
-
-    dealt = asked.repartitionByRange(_parts(asked), "r1", "r2").sortWithinPartitions("r1", "r2")
-    return dealt.mapInArrow(run, RANKED)
-
-
-def _meet(table: DataFrame, answers: DataFrame) -> DataFrame:
-    one = table.withColumn("r1", F.lit(-1).cast("long"))
-    more = answers.where("many > 1").select("chunk", "r1", "r2", "part", "local", "first")
-    both = one.unionByName(more, allowMissingColumns=True)
-    return both.repartition(_parts(table), "chunk").sortWithinPartitions("chunk", "r1", "r2")
-
-
-ASKED = ("r1", "r2", "part", "local", "first")
-
-
-def _chunks_met(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, dict[str, np.ndarray]]]:
-    """Each chunk, whose row comes first, and its answers."""
-    row, held = None, []
-    close = lambda: (row, {x: np.concatenate([h[x] for h in held] or [np.zeros(0, np.int64)]) for x in ASKED})
-    for batch in batches_of(batches):
-        own = np.flatnonzero(batch.column("r1").to_numpy() == -1).tolist()
-        for a, b in zip([0, *own], [*own, batch.num_rows], strict=True):
-            if a == b:
-                continue
-            if a in own:
-                if row is not None:
-                    yield close()
-                row, held = batch.slice(a, 1).to_pylist()[0], []
-                a += 1
-            part = batch.slice(a, b - a)
-            held.append({x: part.column(x).to_numpy(zero_copy_only=False).astype(np.int64) for x in ASKED})
-    if row is not None:
-        yield close()
-
-
-def _found(row: dict, asked: dict[str, np.ndarray], offset: int, whole: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A chunk's places whose pair is shared, the number of its answer for each, and whether it is a whole document's."""
-    place, r1, r2, _ = _pairs_of(row, offset, whole)
-    if not len(asked["r1"]) or not len(place):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
-    both = np.concatenate((np.stack((r1, r2), 1), np.stack((asked["r1"], asked["r2"]), 1)))
-    order = np.lexsort((both[:, 1], both[:, 0]))
-    new = np.concatenate(([True], (both[order][1:] != both[order][:-1]).any(axis=1)))
-    code = np.empty(len(both), np.int64)
-    code[order] = np.cumsum(new)
-    answer_of = np.full(int(code.max()) + 1, -1, np.int64)
-    answer_of[code[len(place) :]] = np.arange(len(asked["r1"]))
-    which = answer_of[code[: len(place)]]
-    shared = which >= 0
-    return place[shared], which[shared], (r2[shared] > 0) & (whole > 0)
+            for row in batch.to_pylist():
+                place, r1, r2, doc, size = _pairs(row, offset)
+                ids, ties, one = _numbers(row["ids"])[doc], _numbers(row["ties"])[doc], np.ones(len(place), np.int64)
+                at, n, w = _gathered([r1, r2], [ids, ties, place], one, one * 0)
+                ranges = _place_of(r1[at], size[at], r2[at], total, parts)
+                yield _asks(row["chunk"], ranges, r1[at], r2[at], ids[at], ties[at], place[at], n, w)
 
+    return level.mapInArrow(run, ASKS)
 
-def _covered(n: int, places: np.ndarray, lengths: np.ndarray | int) -> np.ndarray:
-    marks = np.zeros(n + 1, np.int64)
-    np.add.at(marks, places, 1)
-    np.add.at(marks, places + lengths, -1)
-    return np.cumsum(marks[:-1]) > 0
 
+class _Replies:
+    """Replies by chunk, let go in batches of a bounded size."""
 
-def doubled(
-    table: DataFrame, answers: DataFrame, starts: dict[int, int], offset: int, *, whole: int, depth: int, long_words: int
-) -> DataFrame:
-    """The chunks with the ranks of the next depth; -1 where no other suffix shares it.
+    def __init__(self, most: int = 100_000):
+        self.most, self.chunks, self.rows, self.n = most, [], [], 0
 
-    Later copies of ``depth`` lines that hold ``long_words`` words, and of whole documents, are marked as gone.
+    def add(self, chunk: np.ndarray, rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for i in range(0, len(chunk), self.most):
+            self.chunks.append(chunk[i : i + self.most])
+            self.rows.append(rows[i : i + self.most])
+            self.n += len(self.chunks[-1])
+            if self.n >= self.most:
+                yield from self.flush()
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        if self.n:
+            chunk, rows = np.concatenate(self.chunks), np.concatenate(self.rows)
+            order = np.argsort(chunk, kind="stable")
+            cuts = np.flatnonzero(np.diff(chunk[order])) + 1
+            names = chunk[order][np.concatenate(([0], cuts))]
+            values = [{"chunk": int(c), "data": _bytes(x)} for c, x in zip(names, np.split(rows[order], cuts), strict=True)]
+            yield _batch(values, REPLIES)
+        self.chunks, self.rows, self.n = [], [], 0
+
+
+def replies(asked: DataFrame, parts: int) -> DataFrame:
+    """For each chunk its pairs that have two members or more, one of them present; a last row sums up each range.
+
+    A pair's rows come one after the other, the first occurrence in front; of the pair at hand its chunks are held.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, asked in _chunks_met(batches):
-            n = len(row["ranks"]) // 8
-            ranks = np.full(n, -1, np.int64)
-            place, which, is_whole = _found(row, asked, offset, whole)
-            new = np.array([starts.get(x, 0) for x in asked["part"].tolist()], np.int64) + asked["local"]
-            ranks[place[~is_whole]] = new[which[~is_whole]]
-            later = asked["first"][which] != place
-            sums = np.concatenate(([0], np.cumsum(np.frombuffer(row["words"], "<i4"), dtype=np.int64)))
-            lengths = np.where(is_whole, asked["r2"][which], depth)
-            gone = later & (is_whole | (sums[np.minimum(place + lengths, n)] - sums[place] >= long_words))
-            gone = np.frombuffer(row["gone"], np.uint8).astype(bool) | _covered(n, place[gone], lengths[gone])
-            value = {x: row[x] for x in _schema(CHUNKS).names}
-            value |= {"ranks": ranks.astype("<i8").tobytes(), "gone": gone.astype(np.uint8).tobytes()}
-            yield pa.RecordBatch.from_pylist([value], schema=_schema(CHUNKS))
-
-    return _meet(table, answers).mapInArrow(run, CHUNKS)
+        part, local, shared, out = TaskContext.get().partitionId(), 0, 0, _Replies()
+        key, held, here, gone, first = None, [], 0, 0, -1
+
+        def close() -> Iterator[pa.RecordBatch]:
+            nonlocal local, shared
+            if here and here + gone > 1:
+                shared += here
+                for i, chunk in enumerate(held):
+                    rows = np.tile(np.array([*key, part, local, here + gone, here, -1], np.int64), (len(chunk), 1))
+                    if i == 0:
+                        rows[0, -1] = first
+                    yield from out.add(chunk, rows)
+            local += here
 
+        for batch in batches_of(batches):
+            r1, r2, chunk, place, n, w = (batch.column(x).to_numpy() for x in ("r1", "r2", "chunk", "place", "n", "w"))
+            new = np.concatenate(([key != (r1[0], r2[0])], (r1[1:] != r1[:-1]) | (r2[1:] != r2[:-1])))
+            at = np.flatnonzero(new)
+            head = int(at[0]) if len(at) else len(r1)
+            if head:
+                held.append(chunk[:head])
+                here, gone = here + int(n[:head].sum()), gone + int(w[:head].sum())
+            if not len(at):
+                continue
+            if key is not None:
+                yield from close()
+            a, b = head, int(at[-1])
+            if a < b:
+                start = at[:-1] - a
+                size = np.diff(np.concatenate((start, [b - a])))
+                members, others = np.add.reduceat(n[a:b], start), np.add.reduceat(w[a:b], start)
+                ok = (members > 0) & (members + others > 1)
+                number = local + np.cumsum(members) - members
+                firsts = np.full(b - a, -1, np.int64)
+                firsts[start] = place[a:b][start]
+                each = lambda x: np.repeat(x, size)
+                keep = each(ok)
+                columns = r1[a:b], r2[a:b], np.full(b - a, part), each(number), each(members + others), each(members), firsts
+                yield from out.add(chunk[a:b][keep], np.stack(columns, 1)[keep])
+                local, shared = local + int(members.sum()), shared + int(members[ok].sum())
+            key, held, here, gone, first = (r1[b], r2[b]), [chunk[b:]], int(n[b:].sum()), int(w[b:].sum()), int(place[b])
+        if key is not None:
+            yield from close()
+        yield from out.flush()
+        if local:
+            yield _batch([{"chunk": -1, "range": part, "count": local, "shared": shared}], REPLIES)
+
+    dealt = asked.repartitionById(parts, F.col("range")).sortWithinPartitions(*ORDER)
+    return dealt.mapInArrow(run, REPLIES)
+
+
+class Exchange:
+    """A finished exchange: its stored replies, where each range's numbers begin, and how many suffixes share a pair."""
+
+    def __init__(self, asked: DataFrame, parts: int):
+        self.rows = stored(replies(asked, parts), "line-replies")
+        self.starts, self.total, self.shared = np.zeros(parts, np.int64), 0, 0
+        for part, n, shared in sorted(self.rows.where("chunk = -1").select("range", "count", "shared").collect()):
+            self.starts[part], self.total, self.shared = self.total, self.total + n, self.shared + shared
+
+
+def meet(frames: dict[int, DataFrame], run: Callable[[dict[int, list[dict]]], dict | list | pa.RecordBatch | None], schema: str) -> DataFrame:
+    """``run`` on each chunk's rows by kind; it gives a row, rows, or None: the chunk has nothing to say any more."""
+
+    known = tuple(frames)
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in grouped(batches, "chunk"):
+            kinds: dict[int, list[dict]] = {k: [] for k in known}
+            for r in rows:
+                kinds[r["kind"]].append(r)
+            value = run(kinds)
+            if value is not None:
+                yield value if isinstance(value, pa.RecordBatch) else _batch(value if isinstance(value, list) else [value], schema)
+
+    both = None
+    for kind, frame in frames.items():
+        own = frame.withColumn("kind", F.lit(kind))
+        own = own.where("chunk >= 0").drop("range", "count", "shared") if kind == ANSWERS else own
+        both = own if both is None else both.unionByName(own, allowMissingColumns=True)
+    dealt = both.repartition(_parts(both), "chunk").sortWithinPartitions("chunk", "kind")
+    return dealt.mapInArrow(each, schema)
+
+
+def _answered(r1: np.ndarray, r2: np.ndarray, answers: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which of the pairs have an answer, the row of each of these, and all rows."""
+    rows = np.concatenate([_numbers(a["data"], FIELDS) for a in answers] or [np.zeros((0, FIELDS), np.int64)])
+    a = np.concatenate((r1, rows[:, 0]))
+    b = np.concatenate((r2, rows[:, 1]))
+    order = np.lexsort((b, a))
+    code = np.empty(len(a), np.int64)
+    code[order] = np.cumsum(np.concatenate(([True], (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])))[: len(a)])
+    row_of = np.full(len(a) + 1, -1, np.int64)
+    row_of[code[len(r1) :]] = np.arange(len(rows))
+    which = row_of[code[: len(r1)]]
+    return np.flatnonzero(which >= 0), which[which >= 0], rows
+
+
+def levelled(source: DataFrame, exchange: Exchange, offset: int | None, whole: int = 0) -> DataFrame:
+    """The next level: shared places, their ranks, their intervals' sizes, and which are first of their interval.
+
+    ``offset`` None: the first level, from the lines themselves; ``wholes``: later copies of short documents.
+    """
+    starts, kind = exchange.starts, BODY if offset is None else LEVEL
+
+    def run(kinds: dict[int, list[dict]]) -> dict | None:
+        if not kinds[kind] or not kinds[ANSWERS]:
+            return None
+        row = kinds[kind][0]
+        pairs = _first_pairs(row, whole) if offset is None else _pairs(row, offset)
+        place, r1, r2 = pairs[:3]
+        at, which, rows = _answered(r1, r2, kinds[ANSWERS])
+        lines = r2[at] == 0 if offset is None else np.ones(len(at), bool)
+        first = rows[which, 6] == place[at]
+        by = np.argsort(place[at[lines]], kind="stable")
+        at_lines, own = at[lines][by], which[lines][by]
+        return {
+            **{x: row[x] for x in ("chunk", "ids", "ties", "ends")},
+            "places": _bytes(place[at_lines]),
+            "ranks": _bytes(starts[rows[own, 2]] + rows[own, 3]),
+            "sizes": _bytes(rows[own, 4]),
+            "firsts": _bytes(first[lines][by]),
+            "wholes": _bytes(np.stack((place[at], r2[at]), 1)[~lines & ~first]),
+        }
+
+    keep = ("chunk", "ids", "ties", "ends", "hashes") if offset is None else ("chunk", "ids", "ties", "ends", "places", "ranks", "sizes")
+    return meet({kind: source.select(*keep), ANSWERS: exchange.rows}, run, LEVELS)
+
+
+def _dense(row: dict, n: int) -> np.ndarray:
+    out = np.full(n + 1, -1, np.int64)
+    out[_numbers(row["places"])] = _numbers(row["ranks"])
+    return out
+
+
+def _next_ranks(row: dict, dense: np.ndarray, ends: np.ndarray, width: int) -> np.ndarray:
+    """The rank behind each (place, length, ...): -1 where the document ends before or the rank is not shared."""
+    x = _numbers(row, width)
+    after = x[:, 0] + x[:, 1]
+    end = ends[np.searchsorted(ends, x[:, 0], side="right")] if len(x) else after
+    return np.where(after < end, dense[np.minimum(after, len(dense) - 1)], -1)
+
+
+def state_asks(state: DataFrame, level: DataFrame, parts: int) -> DataFrame:
+    """(interval, rank behind it) of all suffixes in the state and of the witnesses."""
+
+    def run(kinds: dict[int, list[dict]]) -> pa.RecordBatch | None:
+        if not kinds[STATE] or not kinds[LEVEL]:
+            return None
+        row, ends = kinds[STATE][0], _numbers(kinds[STATE][0]["ends"])
+        dense = _dense(kinds[LEVEL][0], int(ends[-1]))
+        at, stays = _numbers(row["at"], 4), _numbers(row["stays"], 4)
+        both = np.concatenate((at, stays))
+        r2 = np.concatenate([_next_ranks(row[x], dense, ends, 4) for x in ("at", "stays")])
+        ok = r2 >= 0
+        present = np.arange(len(both)) < len(at)
+        n, w = present.astype(np.int64)[ok], np.where(present, 0, both[:, 3])[ok]
+        r1, r2, place = both[ok, 2], r2[ok], both[ok, 0]
+        last = np.where(n > 0, 0, LAST)
+        first, n, w = _gathered([r1, r2], [last, place], n, w)
+        ranges = mix(mix(r1[first].astype(np.uint64)) + r2[first].astype(np.uint64)) % np.uint64(parts)
+        return _asks(row["chunk"], ranges.astype(np.int64), r1[first], r2[first], last[first], last[first], place[first], n, w)
+
+    frames = {STATE: state, LEVEL: level.select("chunk", "places", "ranks")}
+    return meet(frames, run, ASKS)
+
+
+def descend(state: DataFrame | None, exchange: Exchange | None, level: DataFrame, deeper: DataFrame | None, k: int, enter: bool) -> DataFrame:
+    """The state after depth 2^k: (place, length, interval, members) of each suffix, and its witnesses
+    (place, length, interval, members that the place stands for).
+
+    Suffixes whose pair is shared move on by 2^k lines into the pair's interval; the first of them stays behind as a
+    witness for all. With ``enter`` those that share just 2^k lines come in, and the first of every interval of twice as
+    many lines is a witness in its interval here.
+    """
+    starts = exchange.starts if exchange else np.zeros(0, np.int64)
+
+    def run(kinds: dict[int, list[dict]]) -> dict | None:
+        source = (kinds.get(STATE) or kinds[LEVEL] or [None])[0]
+        if source is None:
+            return None
+        ends = _numbers(source["ends"])
+        n = int(ends[-1])
+        row = kinds[LEVEL][0] if kinds[LEVEL] else None
+        at, stays = np.zeros((0, 4), np.int64), np.zeros((0, 4), np.int64)
+        if kinds.get(STATE):
+            old = kinds[STATE][0]
+            at, stays = _numbers(old["at"], 4).copy(), _numbers(old["stays"], 4)
+            if kinds.get(ANSWERS) and row:
+                dense = _dense(row, n)
+                r2 = [_next_ranks(old[x], dense, ends, 4) for x in ("at", "stays")]
+                hit, which, rows = _answered(at[:, 2], r2[0], kinds[ANSWERS])
+                name = lambda i: (starts[rows[i, 2]] + rows[i, 3]) * TAGS + TAGS // 2 + k
+                own = rows[which, 6] == at[hit, 0]
+                left = np.column_stack((at[hit[own], :3], rows[which[own], 5]))
+                moved, of, rows_of = _answered(stays[:, 2], r2[1], kinds[ANSWERS])
+                more = np.column_stack((stays[moved, 0], stays[moved, 1] + (1 << k), name(of), stays[moved, 3]))
+                at[hit] = np.column_stack((at[hit, 0], at[hit, 1] + (1 << k), name(which), rows[which, 4]))
+                stays = np.concatenate((stays, left, more))
+        if enter and row:
+            places, ranks, sizes = (_numbers(row[x]) for x in ("places", "ranks", "sizes"))
+            new = ~np.isin(places, at[:, 0])
+            come = np.column_stack((places, np.full(len(places), 1 << k), ranks * TAGS + k, sizes))[new]
+            if kinds.get(DEEPER):
+                below = kinds[DEEPER][0]
+                first = _numbers(below["firsts"]) > 0
+                where = _numbers(below["places"])[first]
+                left = np.column_stack((where, np.full(len(where), 1 << k), _dense(row, n)[where] * TAGS + k, _numbers(below["sizes"])[first]))
+                stays = np.concatenate((stays, left))
+            at = np.concatenate((at, come))
+        if not len(at):
+            return None
+        return {"chunk": source["chunk"], "ends": source["ends"], "at": _bytes(at), "stays": _bytes(stays)}
+
+    frames = {LEVEL: level.select("chunk", "ends", "places", "ranks", "sizes")}
+    if state is not None:
+        frames |= {STATE: state, ANSWERS: exchange.rows}
+    if deeper is not None and enter:
+        frames[DEEPER] = deeper.select("chunk", "places", "sizes", "firsts")
+    return meet(frames, run, STATES)
+
+
+def later(level: DataFrame, exchange: Exchange, offset: int) -> DataFrame:
+    """The places of each chunk whose run of a depth between two levels has an earlier copy."""
+
+    def run(kinds: dict[int, list[dict]]) -> dict | None:
+        if not kinds[LEVEL] or not kinds[ANSWERS]:
+            return None
+        row = kinds[LEVEL][0]
+        place, r1, r2, _, _ = _pairs(row, offset)
+        at, which, rows = _answered(r1, r2, kinds[ANSWERS])
+        return {"chunk": row["chunk"], "places": _bytes(place[at][rows[which, 6] != place[at]])}
+
+    frames = {LEVEL: level.select("chunk", "ids", "ties", "ends", "places", "ranks", "sizes"), ANSWERS: exchange.rows}
+    return meet(frames, run, "chunk bigint, places binary")
 
-RESULT = "doc_id bigint, n_lines bigint, n_removed bigint, removed string, n_repeats bigint, repeats string"
 
+def _covered(n: int, places: np.ndarray, lengths: np.ndarray | int) -> np.ndarray:
+    marks = np.zeros(n + 1, np.int64)
+    np.add.at(marks, places, 1)
+    np.add.at(marks, places + lengths, -1)
+    return np.cumsum(marks[:-1]) > 0
 
-def deletions(table: DataFrame, answers: DataFrame, offset: int, min_run: int) -> DataFrame:
-    """Per document: its lines, those deleted, and their line numbers as start:end spans; then with shorter runs."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, asked in _chunks_met(batches):
-            out = {x: [] for x in _schema(RESULT).names}
-            numbers = np.frombuffer(row["numbers"], "<i4")
-            place, which, _ = _found(row, asked, offset)
-            gone = _covered(len(numbers), place[asked["first"][which] != place], min_run)
-            every = gone | np.frombuffer(row["gone"], np.uint8).astype(bool)
-            begin = 0
-            for doc_id, end in zip(row["doc_ids"], row["ends"], strict=True):
-                values = [doc_id, end - begin]
-                for own in (gone[begin:end], every[begin:end]):
-                    spans = ""
-                    if own.any():
-                        cover = np.zeros(int(numbers[end - 1]) + 1, bool)
-                        cover[numbers[begin:end][own]] = True
-                        spans = ",".join(f"{a}:{b}" for a, b in _spans(cover))
-                    values += [int(own.sum()), spans]
-                for name, value in zip(out, values, strict=True):
-                    out[name].append(value)
-                begin = end
-            yield pa.RecordBatch.from_pydict(out, _schema(RESULT))
-
-    return _meet(table, answers).mapInArrow(run, RESULT)
+RESULT = (
+    "doc_id bigint, n_lines bigint, n_removed bigint, removed string, n_repeats bigint, repeats string, n_runs bigint,"
+    " longest_run bigint, runs string"
+)
+
+
+def _line_spans(gone: np.ndarray, numbers: np.ndarray) -> str:
+    if not gone.any():
+        return ""
+    cover = np.zeros(int(numbers[-1]) + 1, bool)
+    cover[numbers[gone]] = True
+    return ",".join(f"{a}:{b}" for a, b in _spans(cover))
+
+
+def reported(body: DataFrame, judged: DataFrame, state: DataFrame | None, *, min_run: int, long_words: int) -> DataFrame:
+    """Per document: its lines, those deleted, those of shorter copies too, and its maximal repeated runs."""
+
+    def run(kinds: dict[int, list[dict]]) -> list[dict] | None:
+        row = kinds[BODY][0]
+        numbers, words, ends = np.frombuffer(row["numbers"], "<i4"), np.frombuffer(row["words"], "<i4"), _numbers(row["ends"])
+        n = len(numbers)
+        sums = np.concatenate(([0], np.cumsum(words, dtype=np.int64)))
+        gone, every = np.zeros(n, bool), np.zeros(n, bool)
+        for j in kinds[JUDGED]:
+            places, depth = _numbers(j["places"]), j["depth"]
+            if j["firsts"] is not None:
+                places = places[_numbers(j["firsts"]) == 0]
+            if depth == min_run:
+                gone |= _covered(n, places, depth)
+            else:
+                every |= _covered(n, places[sums[places + depth] - sums[places] >= long_words], depth)
+            wholes = _numbers(j["wholes"], 2)
+            every |= _covered(n, wholes[:, 0], wholes[:, 1])
+        every |= gone
+        length, members = np.zeros(n + 1, np.int64), np.zeros(n + 1, np.int64)
+        if kinds.get(STATE):
+            at = _numbers(kinds[STATE][0]["at"], 4)
+            length[at[:, 0]], members[at[:, 0]] = at[:, 1], at[:, 3]
+        begins = np.concatenate(([0], ends[:-1]))
+        fresh = np.zeros(n + 1, bool)
+        fresh[begins] = True
+        maximal = (length >= min_run) & (fresh | (np.concatenate(([0], length[:-1])) != length + 1))
+        out = []
+        for doc_id, a, b in zip(row["doc_ids"], begins.tolist(), ends.tolist(), strict=True):
+            runs = a + np.flatnonzero(maximal[a:b])
+            texts_of = [f"{numbers[p]}:{numbers[p + length[p] - 1] + 1}:{members[p]}" for p in runs.tolist()]
+            value = [doc_id, b - a]
+            for own in (gone[a:b], every[a:b]):
+                value += [int(own.sum()), _line_spans(own, numbers[a:b])]
+            value += [len(runs), int(length[runs].max()) if len(runs) else 0, ",".join(texts_of)]
+            out.append(dict(zip(_schema(RESULT).names, value, strict=True)))
+        return out
+
+    keep = ("chunk", "doc_ids", "ends", "numbers", "words")
+    frames = {BODY: body.select(*keep), JUDGED: judged} | ({STATE: state.select("chunk", "at")} if state is not None else {})
+    return meet(frames, run, RESULT)
 
 
 def repeated_runs(docs: DataFrame, *, min_run: int = 3, long_words: int = 50, chunk_lines: int = 200_000) -> DataFrame:
-    """One row per document with the lines that later copies of runs of ``min_run`` lines or more give up (``removed``),
-    and with those of shorter runs of ``long_words`` words and of short whole documents too (``repeats``)."""
-    table = stored(chunks(docs, chunk_lines=chunk_lines), "line-chunks")
-    depth, offset, whole = 1, 0, min_run - 1
-    while True:
-        answers = stored(ranked(pairs(table, offset, whole)), "line-ranks")
-        if depth == min_run:
-            return deletions(table, answers, offset, min_run)
-        starts, total = {}, 0
-        for part, n in sorted(answers.groupBy("part").agg(F.sum("n")).collect()):
-            starts[part], total = total, total + n
-        marked = doubled(table, answers, starts, offset, whole=whole, depth=depth, long_words=long_words)
-        table = stored(marked, "line-chunks")
-        depth, offset, whole = depth + 1, 1, 0
+    """One row per document: the lines that later copies of runs of ``min_run`` lines or more give up (``removed``), with
+    those of shorter runs of ``long_words`` words and of short whole documents too (``repeats``), and the maximal runs of
+    ``min_run`` lines or more that occur elsewhere too, as first line:end:copies (``runs``, ``n_runs``, ``longest_run``)."""
+    body = stored(chunks(docs, chunk_lines=chunk_lines), "line-chunks")
+    parts, whole = _parts(docs), min_run - 1
+    exchange = Exchange(first_asks(body, parts, whole), parts)
+    level = stored(levelled(body, exchange, None, whole), "line-level")
+    levels, totals = [level], [exchange.total]
+    while exchange.shared:
+        offset = 1 << (len(levels) - 1)
+        exchange = Exchange(next_asks(levels[-1], parts, offset, totals[-1]), parts)
+        if exchange.shared:
+            levels.append(stored(levelled(levels[-1], exchange, offset), "line-level"))
+            totals.append(exchange.total)
+    judged = None
+    for depth in range(1, min_run + 1):
+        k = depth.bit_length() - 1
+        if k >= len(levels):
+            break
+        if depth == 1 << k:
+            rows = levels[k].select("chunk", "places", "firsts", "wholes")
+        else:
+            offset = depth - (1 << k)
+            own = Exchange(next_asks(levels[k], parts, offset, totals[k]), parts)
+            rows = later(levels[k], own, offset).select("chunk", "places", F.lit(None).cast("binary").alias("firsts"), F.lit(None).cast("binary").alias("wholes"))
+        rows = rows.withColumn("depth", F.lit(depth).cast("long"))
+        judged = rows if judged is None else judged.unionByName(rows)
+    state = None
+    for k in reversed(range(len(levels))):
+        enter = (2 << k) - 1 >= min_run  # others cannot reach min_run lines
+        if state is None and not enter:
+            break
+        deeper = levels[k + 1] if k + 1 < len(levels) else None
+        own = Exchange(state_asks(state, levels[k], parts), parts) if state is not None else None
+        state = stored(descend(state, own, levels[k], deeper, k, enter), "line-intervals")
+    return reported(body, judged, state, min_run=min_run, long_words=long_words)
 
 
 def without(text: str | None, removed: str) -> str:
