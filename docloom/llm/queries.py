@@ -38,7 +38,7 @@ def op3_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = line_dedup.repeated_runs(table(spark, sf_dir, "documents"))
-    return rows.select("doc_id", "n_lines", "n_removed", "removed")
+    return rows.select("doc_id", "n_lines", "n_removed", "removed", "n_runs", "longest_run", "runs")
 
 
 def line_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -220,7 +220,7 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(n.n AS BIGINT) AS n_repea
   s.spans AS spans, coalesce(t.spans, '') AS copied_spans
 FROM n JOIN d USING (rid) JOIN s USING (rid) LEFT JOIN t USING (rid)""",
     "op4_line_runs": r"""
-WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
 l AS (SELECT rid, doc_id, i, line, row_number() OVER (PARTITION BY rid ORDER BY i) AS p FROM
   (SELECT rid, doc_id, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i, unnest(string_split(text, chr(10))) AS line FROM d)
   WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
@@ -231,10 +231,23 @@ gone AS (SELECT DISTINCT l.rid, l.i FROM later JOIN l ON l.rid = later.rid AND l
 s AS (SELECT rid, sum(n) AS n, string_agg(concat(a, ':', b), ',' ORDER BY a) AS removed FROM
   (SELECT rid, count(*) AS n, min(i) AS a, max(i) + 1 AS b FROM
     (SELECT rid, i, i - row_number() OVER (PARTITION BY rid ORDER BY i) AS g FROM gone) GROUP BY rid, g) GROUP BY rid),
-n AS (SELECT rid, count(*) AS n FROM l GROUP BY rid)
+n AS (SELECT rid, count(*) AS n FROM l GROUP BY rid),
+grow AS (
+  SELECT rid, p, k, 1 AS size, copies FROM (SELECT rid, p, md5(line) AS k, count(*) OVER (PARTITION BY line) AS copies FROM l) WHERE copies > 1
+  UNION ALL
+  SELECT rid, p, k, size, copies FROM (SELECT g.rid, g.p, md5(g.k || l.line) AS k, g.size + 1 AS size,
+      count(*) OVER (PARTITION BY md5(g.k || l.line)) AS copies
+    FROM grow g JOIN l ON l.rid = g.rid AND l.p = g.p + g.size) WHERE copies > 1),
+best AS (SELECT rid, p, max(size) AS size, arg_max(copies, size) AS copies FROM grow GROUP BY rid, p),
+maximal AS (SELECT b.rid, b.p, b.size, b.copies, x.i AS a, y.i + 1 AS b FROM best b
+  LEFT JOIN best o ON o.rid = b.rid AND o.p = b.p - 1 AND o.size = b.size + 1
+  JOIN l x ON x.rid = b.rid AND x.p = b.p JOIN l y ON y.rid = b.rid AND y.p = b.p + b.size - 1
+  WHERE b.size >= 3 AND o.rid IS NULL),
+m AS (SELECT rid, count(*) AS n, max(size) AS longest, string_agg(concat(a, ':', b, ':', copies), ',' ORDER BY a) AS runs FROM maximal GROUP BY rid)
 SELECT doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_lines, CAST(coalesce(s.n, 0) AS BIGINT) AS n_removed,
-  coalesce(removed, '') AS removed
-FROM d LEFT JOIN n USING (rid) LEFT JOIN s USING (rid)""",
+  coalesce(removed, '') AS removed, CAST(coalesce(m.n, 0) AS BIGINT) AS n_runs,
+  CAST(coalesce(longest, 0) AS BIGINT) AS longest_run, coalesce(runs, '') AS runs
+FROM d LEFT JOIN n USING (rid) LEFT JOIN s USING (rid) LEFT JOIN m USING (rid)""",
     "line_repeats": r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
 l AS (SELECT rid, doc_id, i, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words,
