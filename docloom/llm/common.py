@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType, NullType
+from pyspark.sql.types import IntegralType, LongType, NullType
 
 ASCII_LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 # A-Z to a-z; all other ASCII but digits and letters to a space, so that split() leaves the words.
@@ -75,6 +75,27 @@ def integer_id(df: DataFrame, name: str = "doc_id") -> Column:
     return F.col(name).cast("long").alias(name)
 
 
+def looked_up(rows: DataFrame, keyed: DataFrame, key: str, count: str, *, share: int = 1_000_000) -> DataFrame:
+    """``rows`` with the columns of ``keyed(key, count, ...)``, a row for each key with the number of ``rows`` that hold it.
+
+    Keys that hold more than a millionth of all rows (1,000 at least), so a million keys at most, are broadcast and found
+    where the rows are. The others meet by a shuffle, in which no key is heavy; rows that were found spread over it.
+    """
+    names = [c for c in keyed.columns if c not in (key, count)]
+    total = keyed.agg(F.sum(count)).first()[0] or 0
+    heavy = F.col(count) > max(1000, total // share)
+    hot = F.broadcast(keyed.where(heavy).select(F.col(key).alias("_hot"), F.struct(*names).alias("_of_hot")))
+    rest = keyed.where(~heavy).select(F.col(key).alias("_key"), F.struct(*names).alias("_of_key"))
+    first = rows.join(hot, F.col(key) == F.col("_hot"), "left")
+    anywhere = F.xxhash64(*rows.columns)  # should it be a key, the row has found its own already
+    if not isinstance(rows.schema[key].dataType, LongType):
+        anywhere = anywhere.cast("string").cast(rows.schema[key].dataType)
+    spread = F.when(F.col("_hot").isNull(), F.col(key)).otherwise(anywhere)
+    both = first.withColumn("_spread", spread).join(rest, F.col("_spread") == F.col("_key"), "left")
+    found = F.coalesce("_of_hot", "_of_key")
+    return both.select(*rows.columns, *[found[n].alias(n) for n in names])
+
+
 def id_and_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Just (doc_id long, text string), so that no other column's name can clash."""
     return df.select(integer_id(df, id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))

@@ -3,14 +3,18 @@
 Texts with equal shingle sets are one node with a number of copies, so copies never meet in pairs. Nodes that agree in
 one of ``BANDS`` bands of ``ROWS`` MinHash values each are candidates (a pair at the threshold is missed with
 probability (1 - 0.8^5)^40, about 1e-7); they are linked through the smallest node of their bucket, and the connected
-groups are compared inside, a large group in blocks of a bounded size, block against block. A comparison takes the
+groups are compared inside, a large group in blocks of a bounded size, block against block. In a group of more than
+``MOST_BLOCKS`` blocks, which chains what is far from alike, only nodes that share a bucket are compared, each pair in
+the first bucket that it shares. A comparison takes the
 MinHash values step by step and drops a pair once the posterior probability (uniform prior) that its Jaccard reaches
 the threshold falls below ``TOLERANCE``; the rest is verified exactly on the 64-bit shingle hashes. No pair is ever a
 row: a node's links are counted, and a spanning tree of its class is kept.
 
 Words are lower-case runs of letters and digits. A text of fewer than five words is one shingle; a text without words
 (null, empty) has none and links to nothing. A null doc_id links to nothing and has a null class. Rows that share an id
-each give a row. Empty tables give empty results.
+each give a row, with the class of their own text; equal rows are copies. A class takes its smallest doc_id, so there are
+no ties. Very long texts are one set, however large; a block holds such a set alone. Only doc_id (an integer) and text are
+read, so other columns may have any name. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -21,10 +25,10 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import Vocab, batches_of, gram_hashes, id_and_text, mix, sorted_unique, stored, texts
+from docloom.llm.common import Vocab, batches_of, gram_hashes, id_and_text, looked_up, mix, sorted_unique, stored, texts
 from docloom.llm.decontamination import words_of
 from docloom.llm.graph import components
 
@@ -33,6 +37,7 @@ STEP, TOLERANCE = 40, 1e-9
 FACTORS = mix(np.arange(1, 1 + BANDS * ROWS)) | np.uint64(1)
 SHIFTS = mix(np.arange(10_001, 10_001 + BANDS * ROWS))
 BLOCK_NODES, BLOCK_SHINGLES = 1024, 2_000_000
+MOST_BLOCKS = BANDS  # a component of more blocks is compared by its buckets: a text then travels BANDS times at most
 
 
 def word_hashes(words: list[list[bytes]]) -> np.ndarray:
@@ -145,10 +150,13 @@ class Forest:
         self.up[max(i, j)] = min(i, j)
 
 
-def compare(sets: list[np.ndarray], copies: np.ndarray, sides: np.ndarray, threshold: float) -> tuple[np.ndarray, list]:
+def compare(
+    sets: list[np.ndarray], copies: np.ndarray, sides: np.ndarray, threshold: float, band: int = -1
+) -> tuple[np.ndarray, list]:
     """Links of each node (copies counted) and its root among the sets, which are sorted by node.
 
-    ``sides``: 0 or 1; if both occur, only pairs of both sides are compared.
+    ``sides``: 0 or 1; if both occur, only pairs of both sides are compared. ``band``: only pairs whose first common band
+    it is; the others meet in the bucket of that band.
     """
     n, fewest, share = len(sets), least_agreement(threshold), Fraction(str(threshold))
     sizes = np.array([len(x) for x in sets])
@@ -164,6 +172,9 @@ def compare(sets: list[np.ndarray], copies: np.ndarray, sides: np.ndarray, thres
             others = others[sides[i + 1 :] != sides[i]]
         a, b = np.minimum(sizes[i], sizes[others]), np.maximum(sizes[i], sizes[others])
         others = others[a * share.denominator >= b * share.numerator]
+        if band >= 0:
+            same = (table[others].reshape(-1, BANDS, ROWS) == table[i].reshape(BANDS, ROWS)).all(axis=2)
+            others = others[same[:, band] & ~same[:, :band].any(axis=1)]
         agree = np.zeros(len(others), np.int64)
         for k, least in enumerate(fewest):
             part = slice(k * STEP, (k + 1) * STEP)
@@ -191,7 +202,7 @@ VERIFIED_ARROW = pa.schema([("node", pa.binary()), ("root", pa.binary()), ("link
 
 
 def verify(members: DataFrame, threshold: float, width: int = WIDTH) -> DataFrame:
-    """``members(component, i, j, side, node, copies, text)``: comparisons inside each (component, i, j).
+    """``members(component, i, j, side, band, node, copies, text)``: comparisons inside each (component, i, j).
 
     A row may bring a text of another node (ids that occur twice); it is recognised and dropped.
     """
@@ -199,19 +210,19 @@ def verify(members: DataFrame, threshold: float, width: int = WIDTH) -> DataFram
     def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list]]:
         key, rows = None, []
         for batch in batches_of(batches):
-            columns = [batch.column(x).to_pylist() for x in ("component", "i", "j", "side", "node", "copies")]
-            for component, i, j, side, node, copies, text in zip(*columns, texts(batch), strict=True):
-                if (component, i, j) != key:
+            columns = [batch.column(x).to_pylist() for x in ("component", "i", "j", "band", "side", "node", "copies")]
+            for component, i, j, band, side, node, copies, text in zip(*columns, texts(batch), strict=True):
+                if (component, i, j, band) != key:
                     if rows:
                         yield key, rows
-                    key, rows = (component, i, j), []
+                    key, rows = (component, i, j, band), []
                 rows.append((node, side, copies, text))
         if rows:
             yield key, rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: dict[str, list] = {x: [] for x in VERIFIED_ARROW.names}
-        for (_, i, _), rows in groups(batches):
+        for (_, i, _, band), rows in groups(batches):
             own = {}
             for (node, side, copies, _), s in zip(rows, shingles([words_of(r[3]) for r in rows], width), strict=True):
                 if node_of(s) == node:
@@ -220,7 +231,7 @@ def verify(members: DataFrame, threshold: float, width: int = WIDTH) -> DataFram
             if not names:
                 continue
             sets, sides, copies = zip(*(own[x] for x in names), strict=True)
-            links, roots = compare(list(sets), np.array(copies), np.array(sides), threshold)
+            links, roots = compare(list(sets), np.array(copies), np.array(sides), threshold, band)
             out["node"] += names
             out["root"] += [names[r] for r in roots]
             out["links"] += links.tolist()
@@ -233,27 +244,54 @@ def verify(members: DataFrame, threshold: float, width: int = WIDTH) -> DataFram
     return members.mapInArrow(run, VERIFIED)
 
 
-def blocks_of(nodes: DataFrame) -> DataFrame:
-    """``nodes(node, component, n_shingles, ...)``, once for each block pair (component, i, j) in which it stands.
+def blocks_of(nodes: DataFrame, blocks: Column) -> DataFrame:
+    """``nodes(node, component, ...)``, once for each block pair (component, i, j) in which it stands.
 
     i = -1: the component is one block.
     """
-    sizes = nodes.groupBy("component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("all"))
-    need = F.greatest(F.ceil(F.col("n") / BLOCK_NODES), F.ceil(F.col("all") / BLOCK_SHINGLES)).cast("int")
-    joined = nodes.join(sizes.select("component", need.alias("blocks")), "component")
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    pairs = F.when(F.col("blocks") > 1, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(F.lit(-1)))
-    each = joined.withColumn("own", own).withColumn("k", F.explode(pairs))
-    one = F.col("k") < 0
+    own = F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int")
+    pairs = F.when(F.col("_blocks") > 1, F.sequence(F.lit(0), F.col("_blocks") - 1)).otherwise(F.array(F.lit(-1)))
+    each = nodes.withColumn("_blocks", blocks).withColumn("_own", own).withColumn("_k", F.explode(pairs))
+    one = F.col("_k") < 0
     return each.select(
-        "*",
-        F.when(one, -1).otherwise(F.least("own", "k")).alias("i"),
-        F.when(one, -1).otherwise(F.greatest("own", "k")).alias("j"),
-        F.when(one, 0).otherwise((F.col("own") > F.col("k")).cast("int")).alias("side"),
-    ).drop("blocks", "own", "k")
+        *nodes.columns,
+        F.when(one, -1).otherwise(F.least("_own", "_k")).alias("i"),
+        F.when(one, -1).otherwise(F.greatest("_own", "_k")).alias("j"),
+        F.when(one, 0).otherwise((F.col("_own") > F.col("_k")).cast("int")).alias("side"),
+    )
+
+
+def _blocks() -> Column:
+    return F.greatest(F.ceil(F.col("n") / BLOCK_NODES), F.ceil(F.col("all") / BLOCK_SHINGLES)).cast("int").alias("blocks")
 
 
-def classes(docs: DataFrame, *, threshold: float = 0.8, width: int = WIDTH) -> DataFrame:
+def dealt_out(members: DataFrame, keys: DataFrame, most_blocks: int) -> DataFrame:
+    """``members(node, component, n_shingles, rep, copies)`` in the groups in which they are compared.
+
+    A component of up to ``most_blocks`` blocks is compared whole, block against block. A larger one is a chain of many
+    buckets whose ends have little in common: there only nodes that share a bucket (``keys(node, band, key)``) are
+    compared, in the bucket of their first common band, blocks again where a bucket is large. No pair is lost: all
+    candidates share a bucket.
+    """
+    sizes = members.groupBy("component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("all"))
+    sized = looked_up(members, stored(sizes.select("component", "n", _blocks()), "component-sizes"), "component", "n")
+    columns = ["component", "i", "j", "side", "band", "node", "rep", "copies"]
+    whole = blocks_of(sized.where(F.col("blocks") <= most_blocks), F.col("blocks")).withColumn("band", F.lit(-1))
+    large = sized.where(F.col("blocks") > most_blocks).select("node", "n_shingles", "rep", "copies")
+    if not large.head(1):
+        return whole.select(*columns)
+    bucket = F.concat_ws(":", "band", "key").cast("binary").alias("component")
+    rows = large.join(keys, "node").select("node", "n_shingles", "rep", "copies", "band", bucket)
+    sizes = rows.groupBy("component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("all")).where("n > 1")
+    found = looked_up(rows, stored(sizes.select("component", "n", _blocks()), "bucket-sizes"), "component", "n")
+    placed = blocks_of(found.where("blocks is not null"), F.col("blocks"))
+    inside = placed.withColumn("i", F.greatest("i", F.lit(0))).withColumn("j", F.greatest("j", F.lit(0)))
+    return whole.select(*columns).unionByName(inside.select(*columns))
+
+
+def classes(
+    docs: DataFrame, *, threshold: float = 0.8, width: int = WIDTH, most_blocks: int = MOST_BLOCKS
+) -> DataFrame:
     """Per document: doc_id, class_id (smallest doc_id of its class), n_links (documents at the threshold or above,
     copies included) and n_shingles."""
     rows = stored(sketches(docs, width), "sketches")
@@ -262,16 +300,17 @@ def classes(docs: DataFrame, *, threshold: float = 0.8, width: int = WIDTH) -> D
         F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("n_shingles").alias("n_shingles")
     )
     nodes = stored(nodes, "nodes")
-    keys = known.groupBy("node").agg(F.first("bands").alias("bands")).select("node", F.explode("bands").alias("key"))
+    keys = known.groupBy("node").agg(F.first("bands").alias("bands")).select("node", F.posexplode("bands").alias("band", "key"))
     leaders = keys.groupBy("key").agg(F.min("node").alias("leader"), F.count("*").alias("n")).where("n > 1")
-    edges = keys.join(leaders, "key").where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b"))
+    met = looked_up(keys.select("node", "key"), stored(leaders, "buckets"), "key", "n").where("node <> leader")
+    edges = met.select(F.col("node").alias("a"), F.col("leader").alias("b"))
     candidates = components(edges)
     members = candidates.join(nodes, "node").select("node", "component", "n_shingles", "rep", "copies")
     body = id_and_text(docs).where("doc_id is not null").withColumnRenamed("doc_id", "rep")
-    placed = blocks_of(members)
+    placed = dealt_out(stored(members, "members"), keys, most_blocks)
     n = _parts(docs)
-    dealt = placed.join(body, "rep").select("component", "i", "j", "side", "node", "copies", "text")
-    dealt = dealt.repartition(n, "component", "i", "j").sortWithinPartitions("component", "i", "j")
+    dealt = placed.join(body, "rep").select("component", "i", "j", "side", "band", "node", "copies", "text")
+    dealt = dealt.repartition(n, "component", "i", "j").sortWithinPartitions("component", "i", "j", "band")
     found = stored(verify(dealt, threshold, width), "verified")
     alone = found.where("whole").select("node", F.col("root").alias("class"))
     split = found.where("not whole").select(F.col("node").alias("a"), F.col("root").alias("b"))
