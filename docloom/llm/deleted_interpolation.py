@@ -9,10 +9,15 @@ Counting and look-up are one exchange. Documents become chunks of about a millio
 folder). A chunk sends each distinct key (a word's or pair's 64-bit hash) once, with its counts, to the key's range;
 a range adds up and answers every chunk with the totals in the order in which it asked. So a word that makes up a
 third of all tokens is one key a chunk, nothing is broadcast but the weights, and all counts are exact but for
-collisions of 64-bit hashes. The driver sees sums and one histogram of a bounded number of bins.
-
-A null text is the end token alone. A null doc_id counts as held out. Rows that share an id each give a row. Without
-training documents all weight is uniform. An empty table gives an empty result.
+collisions of 64-bit hashes. The driver sees sums and one histogram of a bounded number of bins: estimates are rounded to
+an eighth of a doubling, with exact means in each bin, so learned weights differ a little from those of an EM over every
+token (scores by less than 0.2 % in the tests; given the weights, scores are exact). A document's first word follows a
+start of its own, seen as often as the end token.
+
+A null text is the end token alone. A null doc_id counts as held out. Rows that share an id each give a row, and repeated
+rows count as often as they stand there. A very long text is one document, never cut, in a chunk that it closes. Only
+doc_id (an integer) and text are read, so other columns may have any name. Without training documents all weight is
+uniform. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -146,6 +151,15 @@ def bounds_of(keys: np.ndarray, ranges: int) -> np.ndarray:
     return np.concatenate(([0], np.searchsorted(keys, np.array(edges, np.uint64)), [len(keys)])).astype(np.int64)
 
 
+def ranges_for(df: DataFrame, keys: int, range_keys: int) -> int:
+    """Ranges of about ``range_keys`` keys, one for each shuffle partition at least and 16 at most.
+
+    A chunk sends a message to each range, so their number must not grow with the data as chunks do: it follows the
+    session's number of shuffle partitions, which is chosen for the size of the data.
+    """
+    return min(max(_parts(df), -(-keys // range_keys)), 16 * _parts(df))
+
+
 def ask(table: DataFrame, ranges: int) -> DataFrame:
     """What each chunk sends to each range of the keys. The top 32 bits of keys travel apart: they compress."""
 
@@ -222,18 +236,18 @@ def answer(asked: DataFrame) -> DataFrame:
             word = (cat[order][at] & np.uint64(1)) == 0
             n = [int(x) for t in totals for x in (t[word].sum(), (t[word] > 0).sum())]
             ends = np.cumsum(sizes)
+            out: dict[str, list] = {x: [] for x in ANSWER_ARROW.names}
             for r, a, b in zip(rows, ends - sizes, ends, strict=True):
-                value = {
-                    "chunk": r["chunk"],
-                    "kind": r["kind"],
-                    "range": r["range"],
-                    "train": _shrunk(totals[0][group[a:b]]),
-                    "rest": _shrunk(totals[1][group[a:b]]) if r["kind"] == TUNING else None,
-                    "n": n if a == 0 else None,
-                }
-                yield pa.RecordBatch.from_pylist([value], schema=ANSWER_ARROW)
-
-    dealt = asked.repartition(_parts(asked), "range").sortWithinPartitions("range")
+                tuning = _shrunk(totals[1][group[a:b]]) if r["kind"] == TUNING else None
+                values = r["chunk"], r["kind"], r["range"], _shrunk(totals[0][group[a:b]]), tuning, n if a == 0 else None
+                for name, value in zip(out, values, strict=True):
+                    out[name].append(value)
+                if b == ends[-1] or len(out["chunk"]) >= 1000:
+                    yield pa.RecordBatch.from_pydict(out, ANSWER_ARROW)
+                    out = {x: [] for x in out}
+
+    n = _parts(asked)
+    dealt = asked.repartitionById(n, F.pmod("range", F.lit(n)).cast("int")).sortWithinPartitions("range")
     return dealt.mapInArrow(run, ANSWER)
 
 
@@ -332,17 +346,21 @@ RESULT = (
 )
 
 
-def score(docs: DataFrame, *, chunk_tokens: int = 1_000_000, range_keys: int = 2_000_000) -> DataFrame:
-    """The model's and the base's log10 probability of every document."""
+def score(
+    docs: DataFrame, *, chunk_tokens: int = 1_000_000, range_keys: int = 2_000_000, weights: np.ndarray | None = None
+) -> DataFrame:
+    """The model's and the base's log10 probability of every document. ``weights``: (pair, word, uniform) of 65 buckets;
+    they are learned where none are given."""
     table = stored(chunks(docs, chunk_tokens=chunk_tokens), "chunks", row_group=16 << 20)
     tokens = table.agg(F.sum(F.octet_length("tokens") / 4).cast("long")).first()[0] or 0
-    ranges = max(1, -(-tokens // range_keys))
+    ranges = ranges_for(docs, tokens, range_keys)
     answers = stored(answer(ask(table, ranges)), "answers", row_group=16 << 20)
     sums = [F.coalesce(F.sum(F.col("n")[i]), F.lit(0)) for i in range(4)]
     n, v, n_rest, v_rest = answers.where("n is not null").agg(*sums).first()
-    weights = learn(histogram(table, answers, n_rest, v_rest).collect())
+    if weights is None:
+        weights = learn(histogram(table, answers, n_rest, v_rest).collect())
     if not n:
-        weights[:] = 0, 0, 1
+        weights = np.tile([0.0, 0.0, 1.0], (65, 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema(
