@@ -7,20 +7,25 @@ bounded size, to every segment: a phrase starts from its rarest term there, and
 moved by the term's offset in the phrase, are intersected from rare to frequent.
 
 Nulls and empty texts have no words; benchmark rows without an id or without words match nothing; rows that share an
-id each give a row; an empty benchmark hits nothing; an empty document table gives an empty result.
+id each give a row, and equal benchmark rows count once; whole texts are indexed, however long, each in one segment; only
+doc_id (an integer), text and item_id are read, so other columns may have any name; an empty benchmark hits nothing; an
+empty document table gives an empty result.
 """
 
 from __future__ import annotations
 
 import hashlib
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import WORD_TABLE, Vocab, batches_of, id_and_text, stored, texts
+from docloom.llm.common import WORD_TABLE, Vocab, batches_of, id_and_text, shared_dir, stored, texts
+from docloom.llm.shared_files import read_file, write_file
 
 SEGMENT = "doc_ids array<bigint>, ends array<bigint>, terms binary, counts binary, postings binary"
 SEGMENT_ARROW = pa.schema(
@@ -103,26 +108,46 @@ def _phrases(rows: list[tuple[str, bytes]], width: int) -> dict:
     return {"terms": list(vocab), "matrix": matrix, "items": [sorted(x) for x in phrases.values()]}
 
 
-def query_blocks(benchmark: DataFrame, *, width: int, block_bytes: int = 8_000_000) -> list:
-    """The benchmark's phrases as broadcast blocks: a block's share of the texts is about ``block_bytes`` at most."""
-    spark = benchmark.sparkSession
+def query_blocks(benchmark: DataFrame, *, width: int, block_bytes: int = 8_000_000) -> list[str]:
+    """The benchmark's phrases as files in the shared folder, of about ``block_bytes`` of text each; returns their names.
+
+    Tasks build and read the blocks; the driver sees names alone.
+    """
     rows = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text"))
     rows = rows.where("item is not null and text is not null")
     size = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    n = -(-size // block_bytes) if size else 0
-    blocks = []
-    for i in range(n):
-        part = rows if n == 1 else rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == i)
-        texts_of = [(r["item"], r["text"].encode()) for r in part.toLocalIterator()]
-        blocks.append(spark.sparkContext.broadcast(_phrases(texts_of, width)))
-    return blocks
+    if not size:
+        return []
+    n = -(-size // block_bytes)
+    folder = shared_dir(benchmark.sparkSession, "phrases")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = [x for b in batches_of(batches) for x in zip(b.column("item").to_pylist(), texts(b), strict=True)]
+        if own:
+            task = TaskContext.get()
+            name = f"block-{task.partitionId():06d}-{task.taskAttemptId()}"
+            write_file(folder, name, pickle.dumps(_phrases(own, width)))
+            yield pa.RecordBatch.from_pydict({"file": [f"{folder}/{name}"]})
+
+    dealt = rows.repartitionById(n, F.pmod(F.xxhash64("item", "text"), F.lit(n)).cast("int"))
+    return sorted(r["file"] for r in dealt.mapInArrow(run, "file string").collect())
+
+
+_BLOCKS: dict[str, dict] = {}  # the last block that this Python worker read
+
+
+def _block(path: str) -> dict:
+    if path not in _BLOCKS:
+        _BLOCKS.clear()
+        _BLOCKS[path] = pickle.loads(read_file(path))
+    return _BLOCKS[path]
 
 
-def search(index: DataFrame, blocks: list, *, slop: int = 0) -> DataFrame:
+def search(index: DataFrame, blocks: list[str], *, slop: int = 0) -> DataFrame:
     """Exact and near matches of the blocks' phrases in an index, one row per document.
 
-    A phrase matches exactly at s if each of its terms stands at s plus its offset. It matches nearly at s if s is
-    where its rarest term puts its start, and each term stands within ``slop`` words of its place, in one document.
+    A phrase matches exactly at s if each of its terms stands at s plus its offset. It matches nearly at s if each term
+    stands within ``slop`` words of that place, all in one document (s itself may lie before it).
     n_hit counts words in exact matches, n_near those in near ones (exact ones included).
     """
 
@@ -134,7 +159,7 @@ def search(index: DataFrame, blocks: list, *, slop: int = 0) -> DataFrame:
     return index.mapInArrow(run, RESULT)
 
 
-def _search_segment(row: dict, blocks: list, slop: int) -> pa.RecordBatch:
+def _search_segment(row: dict, blocks: list[str], slop: int) -> pa.RecordBatch:
     ends = np.array(row["ends"], np.int64)
     begins = np.concatenate(([0], ends[:-1]))
     n = int(ends[-1])
@@ -143,8 +168,8 @@ def _search_segment(row: dict, blocks: list, slop: int) -> pa.RecordBatch:
     terms = {w: i for i, w in enumerate(row["terms"].split(b" "))} if row["terms"] else {}
     cover = {kind: np.zeros(n + 1, np.int32) for kind in ("exact", "near")}
     items: dict[str, dict[int, set]] = {"exact": {}, "near": {}}
-    for block in blocks:
-        query = block.value
+    for path in blocks:
+        query = _block(path)
         own = np.array([terms.get(w, -1) for w in query["terms"]] + [-1], np.int64)
         matrix = own[query["matrix"]]
         used = query["matrix"] >= 0
@@ -153,13 +178,18 @@ def _search_segment(row: dict, blocks: list, slop: int) -> pa.RecordBatch:
             at = matrix[k, :size]
             order = np.argsort(counts[at], kind="stable")
             first = int(order[0])
-            starts = postings[offsets[at[first]] : offsets[at[first] + 1]].astype(np.int64) - first
+            anchors = postings[offsets[at[first]] : offsets[at[first] + 1]].astype(np.int64)
+            doc = np.searchsorted(ends, anchors, side="right")
+            starts = anchors - first
+            if slop:  # every start that the rarest term may stand near
+                starts = (starts[:, None] + np.arange(-slop, slop + 1)).ravel()
+                doc = np.repeat(doc, 2 * slop + 1)
+                new = np.unique(np.stack((doc, starts)), axis=1)
+                doc, starts = new[0], new[1]
             exact = np.ones(len(starts), bool)
-            doc = np.searchsorted(ends, starts + first, side="right")
-            for j in order[1:]:
+            for j in order if slop else order[1:]:
                 places = postings[offsets[at[j]] : offsets[at[j] + 1]]
-                low = np.maximum(starts + int(j) - slop, begins[doc])
-                i = np.searchsorted(places, low)
+                i = np.searchsorted(places, np.maximum(starts + int(j) - slop, begins[doc]))
                 found = places[np.minimum(i, len(places) - 1)]
                 near = (i < len(places)) & (found <= starts + int(j) + slop) & (found < ends[doc])
                 if slop:
@@ -175,10 +205,8 @@ def _search_segment(row: dict, blocks: list, slop: int) -> pa.RecordBatch:
                 s, d = starts[keep], doc[keep]
                 np.add.at(cover[kind], np.maximum(s, begins[d]), 1)
                 np.add.at(cover[kind], np.minimum(s + size, ends[d]), -1)
-                for x in d.tolist():
+                for x in np.unique(d).tolist():
                     items[kind].setdefault(x, set()).update(query["items"][k])
-        if len(blocks) > 1:  # one block at a time in memory
-            del block._value
     hit = {kind: np.concatenate(([0], np.cumsum(np.cumsum(c[:n]) > 0))) for kind, c in cover.items()}
     found = {kind: [sorted(items[kind].get(i, ())) for i in range(len(ends))] for kind in items}
     return pa.RecordBatch.from_pydict(

@@ -10,8 +10,10 @@ high parts in unary, a bit set at high + i for number i: about 2 + log2(u / n) b
 bit follow (32 bits each); ``select`` finds number i from them and a count of bits within a few bytes. Files are read
 through it: no table of 64-bit offsets exists.
 
-Null texts are empty documents (the end id alone); null doc_ids come first; equal doc_ids follow each other by text.
-An empty table writes no file and gives no row.
+Null texts are empty documents (the end id alone); null doc_ids come first; equal doc_ids follow each other by text
+and are dealt by its first characters, so that very many of them need not meet in one task; equal rows each are a
+document. A very long text is one document, never cut. Only doc_id (an integer) and text are read, so other columns may have any name. An empty
+table writes no file and gives no row.
 """
 
 from __future__ import annotations
@@ -28,10 +30,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from docloom.llm.common import batches_of, id_and_text, shared_dir
-from docloom.llm.shared_files import write_file
+from docloom.llm.common import batches_of, id_and_text, shared_dir, stored
+from docloom.llm.shared_files import read_file, write_file
 
 MAGIC = b"DLTOKEN2"
 HEADER = struct.Struct("<2QqQ4Q")
@@ -263,37 +266,41 @@ def tokenizer_of(path: str) -> CachedTokenizer:
     return _TOKENIZERS[path]
 
 
-WRITTEN = "file string, n_docs bigint, n_ids bigint"
-WRITTEN_ARROW = pa.schema([("file", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())])
+WRITTEN = "file string, part bigint, number bigint, n_docs bigint, n_ids bigint"
+WRITTEN_ARROW = pa.schema([("file", pa.string()), *((x, pa.int64()) for x in ("part", "number", "n_docs", "n_ids"))])
+BLOCK_PARTS = 4096
+HEAD = 64  # characters by which texts of one doc_id are dealt
 RESULT = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
 RESULT_ARROW = pa.schema([(x, pa.int64()) for x in ("doc_id", "start", "n_tokens", "ids_crc32")])
 
 
 def write_tokens(
     docs: DataFrame, folder: str, vocabulary: str, *, end_id: int = 2, part_bytes: int = 16 << 20, file_ids: int = 8 << 20
-) -> list[tuple[str, int, int]]:
-    """Writes ``docs(doc_id, text)`` as token files under ``folder``; returns (file, documents, ids) in order.
+) -> DataFrame:
+    """Writes ``docs(doc_id, text)`` as token files under ``folder``; returns their manifest: file, n_docs, n_ids, and
+    ``start``, the ids of all files before it.
 
     Rows are dealt by doc_id ranges of about ``part_bytes`` of text; a partition starts a new file after ``file_ids``
-    ids. What comes to the driver is one short row for each file.
+    ids. The manifest is a table in the shared folder that holds what accepted task attempts wrote. Starts are added up
+    within blocks of ``BLOCK_PARTS`` partitions and over the blocks.
     """
     rows = id_and_text(docs)
     size = rows.agg(F.sum(F.octet_length("text")).alias("n"), F.count("*").alias("rows")).first()
     parts = max(1, -(-((size["n"] or 0) + 16 * size["rows"]) // part_bytes))
-    rows = rows.repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(
-        F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first()
-    )
+    first, then, head = (c.asc_nulls_first() for c in (F.col("doc_id"), F.col("text"), F.substring("text", 1, HEAD)))
+    rows = rows.repartitionByRange(parts, first, head).sortWithinPartitions(first, then)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, part, k = tokenizer_of(vocabulary), TaskContext.get().partitionId(), 0
+        tokenizer, task, k = tokenizer_of(vocabulary), TaskContext.get(), 0
         end = np.array([end_id], tokenizer.dtype).tobytes()
         names, ids, total = [], [], 0
 
         def flush() -> pa.RecordBatch:
-            name = f"part-{part:06d}-{k:04d}.tok"
+            name = f"part-{task.partitionId():06d}-{k:04d}-{task.taskAttemptId()}.tok"
             write_file(folder, name, pack(names, ids, tokenizer.width))
             n = sum(map(len, ids)) // tokenizer.width
-            return pa.RecordBatch.from_pylist([{"file": name, "n_docs": len(ids), "n_ids": n}], schema=WRITTEN_ARROW)
+            value = {"file": f"{folder}/{name}", "part": task.partitionId(), "number": k, "n_docs": len(ids), "n_ids": n}
+            return pa.RecordBatch.from_pylist([value], schema=WRITTEN_ARROW)
 
         for batch in batches_of(batches):
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
@@ -306,31 +313,27 @@ def write_tokens(
         if ids:
             yield flush()
 
-    written = rows.mapInArrow(run, WRITTEN).collect()
-    return sorted((r["file"], r["n_docs"], r["n_ids"]) for r in written)
+    written = stored(rows.mapInArrow(run, WRITTEN), "token-manifest").withColumn("block", F.floor(F.col("part") / BLOCK_PARTS))
+    before = lambda x, w: F.coalesce(F.sum(x).over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    blocks = written.groupBy("block").agg(F.sum("n_ids").alias("n")).select("block", before("n", W.orderBy("block")).alias("base"))
+    inside = written.withColumn("inside", before("n_ids", W.partitionBy("block").orderBy("part", "number")))
+    return inside.join(blocks, "block").select("file", "part", "n_docs", "n_ids", (F.col("base") + F.col("inside")).alias("start"))
 
 
-def read_tokens(docs: DataFrame, folder: str, written: list[tuple[str, int, int]]) -> DataFrame:
-    """A row for each document of the files: doc_id, start (ids before it), n_tokens, ids_crc32."""
-    spark = docs.sparkSession
-    starts, total = {}, 0
-    for name, _, n in written:
-        starts[name] = total
-        total += n
-    if not written:
-        return spark.createDataFrame([], RESULT)
+def read_tokens(manifest: DataFrame) -> DataFrame:
+    """A row for each document of the manifest's files: doc_id, start (ids before it), n_tokens, ids_crc32."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches_of(batches):
-            for path, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
-                base, file = starts[path.rsplit("/", 1)[1]], TokenFile(content.as_py())
-                yield pa.RecordBatch.from_pydict(rows_of(file, base), RESULT_ARROW)
+            for path, base in zip(batch.column("file").to_pylist(), batch.column("start").to_pylist(), strict=True):
+                yield pa.RecordBatch.from_pydict(rows_of(TokenFile(read_file(path)), base), RESULT_ARROW)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.tok").load(folder)
-    return files.select("path", "content").mapInArrow(run, RESULT)
+    n = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    files = manifest.repartitionById(n, F.pmod("part", F.lit(n)).cast("int"))
+    return files.select("file", "start").mapInArrow(run, RESULT)
 
 
 def round_trip(docs: DataFrame, vocabulary: str, *, end_id: int = 2, **sizes: int) -> DataFrame:
     """Writes the token files and reads them back."""
     folder = shared_dir(docs.sparkSession, "tokens")
-    return read_tokens(docs, folder, write_tokens(docs, folder, vocabulary, end_id=end_id, **sizes))
+    return read_tokens(write_tokens(docs, folder, vocabulary, end_id=end_id, **sizes))

@@ -6,8 +6,9 @@ checks the version line, the needed headers, Content-Length against the block, t
 
 Records with equal payloads: the one with the smallest page_id is a response with the payload, the others are
 revisits that refer to it and carry headers alone. Records with equal payload and equal smallest page_id are each a
-response. A null html is an empty payload; a null page_id counts as larger than all others; an empty table writes no
-archive and gives no row.
+response, so repeated rows each are a record. A null html is an empty payload; a null url is an empty header; a null
+page_id counts as larger than all others; a very long html is one record, held in memory one at a time; only page_id (an
+integer), url and html are read, so other columns may have any name; an empty table writes no archive and gives no row.
 """
 
 from __future__ import annotations
@@ -20,11 +21,11 @@ from collections.abc import Iterator
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import batches_of, integer_id, shared_dir, texts
-from docloom.llm.shared_files import write_file
+from docloom.llm.common import batches_of, integer_id, looked_up, shared_dir, stored, texts
+from docloom.llm.shared_files import read_file, write_file
 
 DICT_MAGIC = 0x184D2A5D
 ZSTD_MAGIC = b"\x28\xb5\x2f\xfd"
@@ -147,26 +148,24 @@ def _page(uri: str) -> int | None:
     return int(number) if number else None
 
 
-def write_archives(pages: DataFrame, folder: str, *, archive_bytes: int = 16 << 20, level: int = 3) -> set[str]:
-    """Writes ``pages(page_id, url, html)`` as archives of about ``archive_bytes`` under ``folder``; returns their names.
+def write_archives(pages: DataFrame, folder: str, *, archive_bytes: int = 16 << 20, level: int = 3) -> DataFrame:
+    """Writes ``pages(page_id, url, html)`` as archives of about ``archive_bytes`` under ``folder``; returns their
+    manifest (``file``), a table in the shared folder that holds what accepted task attempts wrote.
 
-    A name holds the task's attempt: files that a lost attempt left behind are not among those returned.
-
-    Who refers to whom is found on digests alone (a pre-aggregated minimum for each digest); the payloads move once, to
-    the join with it, which Spark may split where one payload has very many copies.
+    Who refers to whom is found on digests alone (a pre-aggregated minimum for each digest, stored); the payloads move
+    once, and a payload that very many pages hold is found where they are (``looked_up``).
     """
     rows = pages.select(
         integer_id(pages, "page_id"),
         F.col("url").cast("string").alias("url"),
         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"),
     ).withColumn("sha", F.sha1("html"))
-    first = rows.groupBy("sha").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
-    repeated = first.where("n > 1").select("sha", "first")
+    first = stored(rows.groupBy("sha").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1"), "warc-digests")
     dictionary = COMMON.encode()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, names = TaskContext.get(), []
-        stem = f"part-{task.partitionId():06d}-{task.attemptNumber():02d}"
+        stem = f"part-{task.partitionId():06d}-{task.taskAttemptId()}"
         known = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         encoder = zstandard.ZstdCompressor(level=level, dict_data=known, write_checksum=True)
         out, size = [dictionary_frame(dictionary)], 0
@@ -187,24 +186,20 @@ def write_archives(pages: DataFrame, folder: str, *, archive_bytes: int = 16 <<
                     out, size = out[:1], 0
         if len(out) > 1:
             close()
-        yield pa.RecordBatch.from_pydict({"file": names}, pa.schema([("file", pa.string())]))
+        yield pa.RecordBatch.from_pydict({"file": [f"{folder}/{x}" for x in names]}, pa.schema([("file", pa.string())]))
 
-    joined = rows.join(repeated, "sha", "left").select("page_id", "url", "html", "first")
-    return {r["file"] for r in joined.mapInArrow(run, "file string").collect()}
+    joined = looked_up(rows, first, "sha", "n").select("page_id", "url", "html", "first")
+    return stored(joined.mapInArrow(run, "file string"), "warc-manifest")
 
 
-def read_archives(spark: SparkSession, folder: str, names: set[str]) -> DataFrame:
-    """A row for each record of the named archives under ``folder``."""
-    if not names:
-        return spark.createDataFrame([], RESULT)
+def read_archives(manifest: DataFrame) -> DataFrame:
+    """A row for each record of the manifest's archives."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches_of(batches):
-            for path, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
-                if path.rsplit("/", 1)[1] not in names:
-                    continue
+            for path in batch.column("file").to_pylist():
                 out: dict[str, list] = {x: [] for x in RESULT_ARROW.names}
-                for headers, block in read_records(content.as_py()):
+                for headers, block in read_records(read_file(path)):
                     kind = headers["warc-type"]
                     n = len(block) if kind == "response" else int(headers["x-payload-length"])
                     out["page_id"].append(_page(headers["warc-record-id"]))
@@ -215,10 +210,9 @@ def read_archives(spark: SparkSession, folder: str, names: set[str]) -> DataFram
                     out["url"].append(headers.get("warc-target-uri") or None)
                 yield pa.RecordBatch.from_pydict(out, RESULT_ARROW)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder)
-    return files.select("path", "content").mapInArrow(run, RESULT)
+    n = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return manifest.repartition(n).mapInArrow(run, RESULT)
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
-    folder = shared_dir(pages.sparkSession, "warc")
-    return read_archives(pages.sparkSession, folder, write_archives(pages, folder))
+    return read_archives(write_archives(pages, shared_dir(pages.sparkSession, "warc")))
