@@ -3,11 +3,13 @@
 Every historical version of a path is content-addressed: its blob is the SHA-256 of its text. The ledger remembers
 which rules (name and version) have seen which blob, and what they found. A run scans a blob once, however many paths
 and versions share it, and only by rules that have not seen it in their present version; findings then go back to all
-paths that hold the blob.
+paths that hold the blob, and to every version of a path where ``report`` is told the version's column.
 
 ``scans``: blob, rules array<string> ("name@version"). ``findings``: blob, rule ("name@version"), start, end (code
 points, end exclusive). A null text is an empty one; a blob without findings is in ``scans`` alone; repeated rows and
-null paths are rows like others; empty tables give empty results.
+null paths are rows like others, and there are no ties: spans that start together are ordered by their rule. Texts are
+scanned whole, however long. Only the path, version and text columns are read, so others may have any name; doc_id is an
+integer. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from docloom.llm.common import integer_id, shared_dir
+from docloom.llm.common import integer_id, looked_up, shared_dir, stored
 
 
 @dataclass(frozen=True)
@@ -54,7 +56,7 @@ MORE_RULES = (
     Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
 )
 RULES = BASE_RULES + MORE_RULES
-SALTS = 16
+FEW_BLOBS = 100_000  # 64 bytes each: pending hashes that are broadcast
 SCANS = "blob string, rules array<string>"
 FINDINGS = "blob string, rule string, start bigint, end bigint"
 
@@ -65,16 +67,22 @@ def blob_of(text: Column) -> Column:
 
 @dataclass
 class Ledger:
-    """The tables of a ledger; ``folder`` is where ``update`` appends to them."""
+    """The tables of a ledger. All of its state is in ``folder``: a ledger on a folder that another run has filled goes on
+    where that run ended."""
 
     spark: SparkSession
     folder: str
-    started: bool = False
 
     @classmethod
     def new(cls, spark: SparkSession) -> Ledger:
         return cls(spark, shared_dir(spark, "ledger"))
 
+    @property
+    def started(self) -> bool:
+        """Has a run ended here? Scans are written last, and Spark marks a finished write."""
+        mark = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/scans/_SUCCESS")
+        return mark.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(mark)
+
     def scans(self) -> DataFrame:
         return self._read("scans", SCANS)
 
@@ -92,28 +100,34 @@ class Ledger:
         Findings are written before scans: a run that is cut between the two scans those blobs anew, and ``findings``
         then holds some rows twice, which readers drop.
         """
-        unseen = self.pending(versions, rules)
-        found = positions(unseen, rules)
-        found.write.mode("append").parquet(f"{self.folder}/findings")
-        done = self.pending(versions.select("text"), rules, texts=False).select("blob", F.col("pending").alias("rules"))
-        done.write.mode("append").parquet(f"{self.folder}/scans")
-        self.started = True
-
-    def pending(self, versions: DataFrame, rules: tuple[Rule, ...], *, texts: bool = True) -> DataFrame:
-        """Blobs with rules that have not seen them: blob, pending array<string>, and text.
+        todo = stored(self.pending(versions, rules), "ledger-pending")
+        positions(self.unseen(versions, todo), rules).write.mode("append").parquet(f"{self.folder}/findings")
+        todo.select("blob", F.col("pending").alias("rules")).write.mode("append").parquet(f"{self.folder}/scans")
 
-        Copies meet before the shuffle as far as one task holds them, so a blob of very many paths stays small.
-        """
-        text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-        rows = versions.select(blob_of(F.col("text")).alias("blob"), *([text.alias("text")] if texts else []))
-        blobs = rows.groupBy("blob").agg(F.first("text").alias("text")) if texts else rows.distinct()
+    def pending(self, versions: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
+        """Blobs with rules that have not seen them: blob, pending array<string>. Hashes travel, texts do not."""
+        blobs = versions.select(blob_of(F.col("text")).alias("blob")).distinct()
         names = F.array(*[F.lit(r.name) for r in rules])
         if not self.started:
             return blobs.withColumn("pending", names)
         seen = self.scans().select("blob", F.explode("rules").alias("rule")).groupBy("blob")
         seen = seen.agg(F.collect_set("rule").alias("seen"))  # as many as there are rules
-        todo = F.array_except(names, F.coalesce("seen", F.array().cast("array<string>")))
-        return blobs.join(seen, "blob", "left").withColumn("pending", todo).drop("seen").where(F.size("pending") > 0)
+        left = F.array_except(names, F.coalesce("seen", F.array().cast("array<string>")))
+        return blobs.join(seen, "blob", "left").withColumn("pending", left).drop("seen").where(F.size("pending") > 0)
+
+    def unseen(self, versions: DataFrame, todo: DataFrame) -> DataFrame:
+        """The texts of the pending blobs: blob, text, pending.
+
+        The first run takes all texts. Later ones drop those that are not pending where they are read: by a broadcast of
+        the pending hashes where Spark finds them small, else by a Bloom filter of them before the join. Copies meet
+        before the shuffle as far as one task holds them, so a blob of very many paths stays small.
+        """
+        text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+        rows = versions.select(blob_of(F.col("text")).alias("blob"), text.alias("text"))
+        if self.started:
+            bits = todo.agg(F.count("*")).first()[0]
+            rows = rows.join(F.broadcast(todo.select("blob")), "blob", "left_semi") if bits <= FEW_BLOBS else rows.join(todo.select("blob"), "blob", "left_semi")
+        return rows.groupBy("blob").agg(F.first("text").alias("text")).join(todo, "blob")
 
 
 def positions(unseen: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
@@ -153,20 +167,22 @@ def digest(spans: Column, kinds: tuple[str, ...]) -> Column:
     return F.array_join(F.transform(own, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-def report(versions: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = RULES, path: str = "doc_id") -> DataFrame:
-    """All versions' paths with the findings of their blobs: path, blob, spans (sorted structs).
-
-    A blob of very many paths is dealt to ``SALTS`` tasks; its findings, a row, go to each of them.
-    """
+def report(
+    versions: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = RULES, path: str = "doc_id", version: str | None = None
+) -> DataFrame:
+    """All versions' paths with the findings of their blobs: path, version (if a column is named), blob, spans (sorted
+    structs). A blob of very many paths is found where its rows are (``looked_up``)."""
     ranks = F.create_map(*[F.lit(x) for r in enumerate(rules) for x in (r[1].name, r[0])])
     found = ledger.findings().where(F.col("rule").isin(*[r.name for r in rules])).distinct()
     span = F.struct("start", ranks[F.col("rule")].alias("rank"), "end", kind_of(F.col("rule")).alias("kind"))
     found = found.groupBy("blob").agg(F.array_sort(F.collect_list(span)).alias("spans"))
-    rows = versions.select(F.col(path).alias("path"), blob_of(F.col("text")).alias("blob"))
-    rows = rows.withColumn("salt", F.pmod(F.xxhash64("path"), F.lit(SALTS)).cast("int"))
-    found = found.withColumn("salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
+    names = [F.col(path).alias("path"), *([F.col(version).alias("version")] if version else [])]
+    rows = versions.select(*names, blob_of(F.col("text")).alias("blob"))
+    paths = rows.groupBy("blob").agg(F.count("*").alias("n"))
+    found = stored(found.join(paths, "blob"), "ledger-report")
     none = F.array().cast("array<struct<start:bigint,rank:int,end:bigint,kind:string>>")
-    return rows.join(found, ["blob", "salt"], "left").select("path", "blob", F.coalesce("spans", none).alias("spans"))
+    out = looked_up(rows, found, "blob", "n")
+    return out.select(*rows.columns, F.coalesce("spans", none).alias("spans"))
 
 
 def scan_documents(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
