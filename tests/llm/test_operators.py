@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -123,6 +124,72 @@ def test_counts_and_base_scores_are_exact_and_the_model_beats_them(spark):
     assert len(rows) == len(ROWS) and sum(r["score"] for r in rows) > sum(r["base_score"] for r in rows)
 
 
+def interpolated(tokens, weights=None):
+    """The model by its formulas: (score of each document, the weights). EM runs over every tuning token."""
+    kind = lambda i: 0 if i is None else min(2, zlib.crc32(str(i).encode()) % 10)
+
+    def counted(kinds):
+        uni, bi = Counter(), Counter()
+        for i, ws in tokens:
+            if kind(i) in kinds:
+                uni.update(ws)
+                bi.update(zip([None, *ws], ws, strict=False))
+        return uni, bi
+
+    def parts(ws, uni, bi, n, v):
+        for h, w in zip([None, *ws], ws, strict=False):
+            c = uni["\n" if h is None else h]  # a document's first word follows its start, seen once a document
+            bucket = 0 if c == 0 else int(math.floor(math.log2(c))) + 1
+            yield bucket, bi[h, w] / max(1, c), uni[w] / max(1, n), 1 / (v + 1)
+
+    uni, bi = counted({2})
+    n, v = sum(uni.values()), len(uni)
+    if weights is None:
+        seen = defaultdict(list)
+        for i, ws in tokens:
+            if kind(i) == 1:
+                for b, *p in parts(ws, uni, bi, n, v):
+                    seen[b].append(p)
+        weights = np.full((65, 3), np.nan)
+        for b, rows in seen.items():
+            p, w = np.array(rows), np.ones(3) / 3
+            for _ in range(100):
+                share = p * w / (p * w).sum(axis=1, keepdims=True)
+                w = np.maximum(share.mean(axis=0), 1e-6)
+                w /= w.sum()
+            weights[b] = w
+        known = sorted(seen)
+        for b in range(65):
+            if b not in seen:
+                weights[b] = weights[min(known, key=lambda k: abs(k - b))]
+        if 0 not in seen:
+            weights[0] = [0, *(weights[0, 1:] / weights[0, 1:].sum())]
+    uni, bi = counted({1, 2})
+    n, v = sum(uni.values()), len(uni)
+    scores = [sum(math.log10(np.dot(weights[b], p)) for b, *p in parts(ws, uni, bi, n, v)) for _, ws in tokens]
+    return scores, weights
+
+
+def many_rows():
+    rng = random.Random(7)
+    line = lambda: " ".join(f"w{min(int(rng.expovariate(0.08)), 90)}" for _ in range(rng.randint(5, 60)))
+    return [*ROWS, *[(1000 + i, line(), "s") for i in range(300)]]
+
+
+def test_scores_are_the_formulas(spark):
+    rows = many_rows()
+    tokens = [(i, [lower(w) for w in BLANK.findall(t or "")] + ["\n"]) for i, t, _ in rows]
+    fixed = np.array([[0, 0.7, 0.3], *[[0.1 + 0.01 * b, 0.6 - 0.01 * b, 0.3] for b in range(64)]])
+    for weights in (fixed, None):
+        want, learned = interpolated(tokens, weights)
+        got = deleted_interpolation.score(odd_docs(spark, rows), chunk_tokens=700, range_keys=500, weights=weights).collect()
+        mine = sorted((repr(r["doc_id"]), r["n_tokens"], r["score"]) for r in got)
+        theirs = sorted((repr(i), len(ws), s) for (i, ws), s in zip(tokens, want, strict=True))
+        assert [x[:2] for x in mine] == [x[:2] for x in theirs]
+        error = max(abs(a[2] - b[2]) / max(1, abs(b[2])) for a, b in zip(mine, theirs, strict=True))
+        assert error < (1e-9 if weights is not None else 2e-3)  # bins of an eighth of a doubling
+
+
 def test_model_probabilities_sum_to_one():
     weights = deleted_interpolation.learn([{"bucket": 3, "q2": 1, "q1": 1, "n": 10, "r2": 40.0, "r1": 20.0}, {"bucket": 3, "q2": 0, "q1": 0, "n": 5, "r2": 0.0, "r1": 2.0}])
     assert weights.shape == (65, 3) and np.allclose(weights.sum(axis=1), 1) and (weights[:, 2] > 0).all() and weights[0, 0] == 0
@@ -212,6 +279,53 @@ def test_short_runs_of_long_lines_and_short_copies_go(spark, k, long_words):
         assert spans == {500: "", 501: "1:2", 502: "", 503: "2:4", 504: "", 505: "0:1", 506: "", 507: "1:2,3:4", 508: "", 509: ""}
 
 
+def maximal_runs(rows, least):
+    """(doc_id, runs): every run of ``least`` lines or more that occurs elsewhere, as long as it can be, with its copies."""
+    docs = [[(n, x) for n, x in enumerate((t or "").split("\n")) if BLANK.search(x)] for _, t, _ in rows]
+    plain, longest, copies, depth = [[x for _, x in own] for own in docs], {}, {}, 1
+    while True:
+        places = defaultdict(list)
+        for d, own in enumerate(plain):
+            for p in range(len(own) - depth + 1):
+                places[tuple(own[p : p + depth])].append((d, p))
+        shared = [at for at in places.values() if len(at) > 1]
+        if not shared:
+            break
+        for at in shared:
+            for x in at:
+                longest[x], copies[x] = depth, len(at)
+        depth += 1
+    out = []
+    for d, own in enumerate(docs):
+        runs = []
+        for p in range(len(own)):
+            n = longest.get((d, p), 0)
+            if n >= least and (p == 0 or longest.get((d, p - 1), 0) != n + 1):
+                runs.append((own[p][0], own[p + n - 1][0] + 1, copies[d, p], n))
+        text = ",".join(f"{a}:{b}:{c}" for a, b, c, _ in runs)
+        out.append((rows[d][0], len(runs), max((r[3] for r in runs), default=0), text))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize(("k", "seed"), [(1, 1), (2, 2), (3, 3), (3, 4), (5, 5)])
+def test_maximal_runs_of_lines_are_found_with_their_copies(spark, k, seed):
+    rng = random.Random(seed)
+    rows = [*ROWS, (400, "\n".join(["same"] * 37), ""), (401, "x\n\nsame\nsame\n \nsame\ny", "")]
+    shared = [f"line {i}" for i in range(70)]
+    for i in range(30):
+        a, b = rng.randint(0, 60), rng.randint(0, 60)
+        body = [rng.choice("abcd") for _ in range(rng.randint(0, 12))] + shared[a : a + rng.randint(1, 40)] + [f"own {i}"] + shared[b : b + rng.randint(1, 9)]
+        rows.append((500 + i, "\n".join(body), ""))
+    got = line_dedup.repeated_runs(odd_docs(spark, rows), min_run=k, chunk_lines=60)
+    assert collected(got.select("doc_id", "n_runs", "longest_run", "runs")) == maximal_runs(rows, k)
+
+
+def test_line_copies_do_not_depend_on_the_layout(spark):
+    rows = [(1, "a\nb\nc\nd", ""), (1, "e\na\nb\nc", ""), (1, "a\nb\nc\nd", ""), (None, "a\nb\nc", ""), (0, None, "")]
+    got = [collected(line_dedup.repeated_runs(odd_docs(spark, rows).repartition(n), chunk_lines=n)) for n in (1, 2, 5)]
+    assert got[0] == got[1] == got[2] and sum(r[2] for r in got[0]) == 10
+
+
 def test_lines_are_deleted_by_number():
     assert line_dedup.without("a\nb\n\nc", "1:3") == "a\nc" and line_dedup.without(None, "") == ""
 
