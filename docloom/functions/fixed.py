@@ -147,7 +147,6 @@ BANNERS = (
     r"دامنه\s*ایمیل",
     r"email\s*domain",
     r"new\s*domain",
-    r"mbe\.mapnagroup\.com",
 )
 BANNER_LINES = (*BANNERS, r"چنانچه\s*فرستنده", r"از\s*باز\s*کردن", r"خودداری\s*کرده")
 VALEDICTIONS = (
@@ -163,9 +162,11 @@ MIDDLE_TITLES = "[-–—/]\\s*(?:جناب|سرکار)[\\s‌]+(?:آقای|خا
 COURTESY = "^احترامـ*اً?([،,]\\s*|\\s+|$)"
 BULLET = r"^\s*(\d+[\.\-)]|\*|-|•)\s+\S"
 SIGNATURE_WORDS = (
-    r"مپنا|mapna|شرکت|company|co\.|corp|expert|کارشناس|مدیر|manager|engineer|engineering|پروژه|project|فردوسی|"
-    r"ferdowsi|dept|department|office|دفتر|senior|lead|supervisor"
+    r"شرکت|company|co\.|corp|expert|کارشناس|مدیر|manager|engineer|engineering|پروژه|project|dept|department|office|دفتر|"
+    r"senior|lead|supervisor"
 )
+# A line that is a job title: bounds of its characters and words, what it has, and what it has not.
+SIGNATURE_TITLE = {"chars": (45, 80), "words": (1, 7), "with": SIGNATURE_WORDS, "without": "[،,.!؟?؛:]"}
 SUBJECT_WARNING = r"\[WARNING[^\]]*\]\s*"
 SUBJECT_PREFIXES = r"^(?:(?:re|fw|fwd|پاسخ|بازفرست)\s*[:：]\s*|\s*\[warning[^\]]*\]\s*)+"
 MAIL_LINKS = (r"[<\[](?i:mailto):[^>\]]*[>\]]", r"<[^<>\n]*?@[^<>\n]*?>", r"<(?i:https?)://[^>]*>", r"<\s*>")
@@ -189,7 +190,8 @@ SENT_FORMATS_PYTHON = (
     "%B %d, %Y %H:%M", "%d/%b/%Y %H:%M", "%Y-%m-%d %H:%M",
 )
 
-# References in reports. The code patterns are one customer's and parameters everywhere.
+# References in reports.
 REFERENCE = r"(?i)(?<![\p{L}\p{N}_])(?:E-[0-9a-f]{20}|A-[0-9a-f]{20}(?:-T-[0-9a-f]{12})?)(?![\p{L}\p{N}_])"
-CORRESPONDENCE_CODES = r"(?i)\b(?:TOUS-\d+|S\d+-FERDOWSI)\b"
-DRAWING_CODES = r"\bMD1-[A-Za-z0-9.-]+"
+# Codes of letters and drawings are each archive's own; these are examples of their usual form.
+CORRESPONDENCE_CODES = r"(?i)\b[A-Z]{3,5}-\d+\b"
+DRAWING_CODES = r"\b[A-Z]{2}\d-[A-Za-z0-9.-]+"

@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 from docloom.functions import fixed
 
 WORD = r"[^\p{L}\p{N}_]"  # what is not a word character
+TWO_WORD_CHARS = r"[\p{L}\p{N}_][^\p{L}\p{N}_]*[\p{L}\p{N}_]"
+# Fixed: Unicode's white space.
+WHITE = "\t\n\x0b\x0c\r\x20\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 LINE_ENDS = r"\R|[\x1c-\x1e]"
 
 
 def strip(text: Column) -> Column:
     """Without white space (of any script) at both ends."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    return F.trim(text, F.lit(WHITE))
 
 
 def lines(text: Column) -> Column:
@@ -24,7 +27,12 @@ def lines(text: Column) -> Column:
 
 
 def word_chars(text: Column) -> Column:
-    return F.length(F.regexp_replace(text, WORD, ""))
+    return F.length(F.regexp_replace(text, WORD + "+", ""))
+
+
+def has_words(text: Column) -> Column:
+    """Two word characters or more? The search ends at the second one."""
+    return text.rlike(TWO_WORD_CHARS)
 
 
 def count_words(text: Column) -> Column:
@@ -127,12 +135,13 @@ def without_links(text: Column) -> Column:
     return text
 
 
-def without_banners(body: Column) -> Column:
+def without_banners(body: Column, hosts: tuple[str, ...] = ()) -> Column:
     """Security banners go: a short paragraph whole, of a long one the lines that match.
 
-    Paragraphs end at blank lines.
+    Paragraphs end at blank lines. ``hosts``: mail hosts whose name alone marks a banner.
     """
-    banner, banner_line = (f"(?iU){'|'.join(p)}" for p in (fixed.BANNERS, fixed.BANNER_LINES))
+    own_hosts = tuple(map(re.escape, hosts))
+    banner, banner_line = (f"(?iU){'|'.join((*p, *own_hosts))}" for p in (fixed.BANNERS, fixed.BANNER_LINES))
     paragraphs = F.split(body, r"\n(?:[ \t]*\n)+")
 
     def judged(p: Column) -> Column:
@@ -145,14 +154,15 @@ def without_banners(body: Column) -> Column:
 
 
 def is_signature_title(line: Column) -> Column:
-    """A job title in a signature: of some length, few words, no punctuation, a keyword."""
-    length = F.length(line)
-    return (
-        length.between(45, 80)
-        & (count_words(line) <= 7)
-        & ~line.rlike("[،,.!؟?؛:]")
-        & line.rlike("(?iU)" + fixed.SIGNATURE_WORDS)
-    )
+    """A job title in a signature, by the bounds and patterns of ``fixed.SIGNATURE_TITLE``."""
+    rule = fixed.SIGNATURE_TITLE
+    checks = {
+        "chars": F.length(line).between(*rule["chars"]),
+        "words": count_words(line).between(*rule["words"]),
+        "with": line.rlike("(?iU)" + rule["with"]),
+        "without": ~line.rlike(rule["without"]),
+    }
+    return F.array_min(F.array(*checks.values()))
 
 
 def keep_attachment(name: Column, size: Column, hidden: Column) -> Column:

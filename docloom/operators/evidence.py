@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docloom.functions import text as X
 
-#: Codes that may be broadcast to all texts at once; more are dealt in blocks.
+#: Codes that go to all texts at once; more are dealt in blocks.
 CODE_BLOCK = 2000
 
 
@@ -23,18 +28,49 @@ def cited_codes(reports: DataFrame, report: str, text: str, pattern: str) -> Dat
 def containing(texts: DataFrame, text: Column, codes: DataFrame, code: Column) -> DataFrame:
     """Rows of ``texts`` with each code that their text contains, ignoring case.
 
-    A containment join has no key. The codes are the stated queries: they go to every row in blocks of at most
-    ``CODE_BLOCK``, each broadcast, so no side of unknown size is.
+    A containment join has no key. The codes are the stated queries: they go to the tasks in blocks of at most about
+    ``CODE_BLOCK``, each an automaton that reads a text once for all its codes; a (row, code) that is found then meets the
+    rows of ``codes`` by equality. Texts are lower-cased once, below. A null text or code contains nothing and is
+    contained in nothing; an empty code is in every text.
     """
-    wanted = codes.select(code.alias("_code"), *[c for c in codes.columns]).distinct()
-    n = wanted.count()
-    blocks = -(-n // CODE_BLOCK)
+    spark = texts.sparkSession
+    wanted = codes.select(F.lower(code).alias("_code"), *codes.columns).where("_code is not null").distinct()
+    each = wanted.select("_code").distinct()
+    blocks = max(1, -(-each.count() // CODE_BLOCK))
+    lowered = texts.select(*texts.columns, F.lower(text).alias("_low")).where("_low is not null")
+    schema = T.StructType([*texts.schema.fields, T.StructField("_code", T.StringType())])
     out = None
-    for i in range(max(1, blocks)):
-        own = wanted if blocks <= 1 else wanted.where(F.pmod(F.xxhash64("_code"), F.lit(blocks)) == i)
-        part = texts.join(F.broadcast(own), F.contains(F.lower(text), F.lower("_code")))
+    for i in range(blocks):
+        own = each if blocks == 1 else each.where(F.pmod(F.xxhash64("_code"), F.lit(blocks)) == i)
+        block = spark.sparkContext.broadcast([r["_code"] for r in own.toLocalIterator()])
+        found = lowered.mapInArrow(_finder(block), schema)
+        here = wanted if blocks == 1 else wanted.where(F.pmod(F.xxhash64("_code"), F.lit(blocks)) == i)
+        part = found.join(F.broadcast(here), "_code").drop("_code")
         out = part if out is None else out.unionByName(part)
-    return out.drop("_code")
+    return out
+
+
+def _finder(block: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows once for each code of the block in their last column, which gives way to the code."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ahocorasick
+
+        always, patterns = [c for c in block.value if not c], ahocorasick.Automaton()
+        for c in filter(None, block.value):
+            patterns.add_word(c, c)
+        patterns.make_automaton()
+        for batch in batches:
+            rows, found = [], []
+            for i, low in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
+                own = {c for _, c in patterns.iter(low)} if len(patterns) else set()
+                rows += [i] * (len(own) + len(always))
+                found += [*own, *always]
+            taken = batch.take(pa.array(rows, pa.int64()))
+            columns = [*taken.columns[:-1], pa.array(found, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], "_code"])
+
+    return run
 
 
 def tight(value: Column) -> Column:

@@ -18,51 +18,54 @@ RANK = {"PASS": 0, "WARNING": 1, "FAIL": 2}
 
 
 def metrics(text: Column) -> Column:
-    """Struct of counts over the text without embedded images."""
-    clean = X.without_images(text)
-    lines = X.lines(clean)
-    return F.struct(
-        F.length(clean).alias("characters"),
-        X.count_words(clean).alias("tokens"),
-        X.word_chars(clean).alias("word_chars"),
-        F.size(lines).alias("lines"),
-        F.size(F.filter(lines, lambda x: X.word_chars(x) <= 1)).alias("single_lines"),
-        X.count_matches(clean, r"([A-Za-z])\1{4,}").alias("repeats"),
-        X.count_matches(clean, r"[\^~<>\\{}]").alias("symbols"),
-        X.count_matches(clean, "[؀-ۿ]").alias("persian"),
-        clean.rlike("(?iu)" + "|".join(fixed.TABLE_WORDS)).alias("tabular"),
-    )
+    """Struct of counts over the text without embedded images. The text is cleaned and cut into lines once."""
+
+    def counted(clean: Column, lines: Column) -> Column:
+        return F.struct(
+            F.length(clean).alias("characters"),
+            X.count_words(clean).alias("tokens"),
+            X.word_chars(clean).alias("word_chars"),
+            F.size(lines).alias("lines"),
+            F.size(F.filter(lines, lambda x: ~X.has_words(x))).alias("single_lines"),
+            X.count_matches(clean, r"([A-Za-z])\1{4,}").alias("repeats"),
+            X.count_matches(clean, r"[\^~<>\\{}]").alias("symbols"),
+            X.count_matches(clean, "[؀-ۿ]").alias("persian"),
+            clean.rlike("(?iu)" + "|".join(fixed.TABLE_WORDS)).alias("tabular"),
+        )
 
+    return let(X.without_images(text), lambda clean: let(X.lines(clean), lambda lines: counted(clean, lines)))
 
-def status(m: Column) -> Column:
-    """PASS, WARNING or FAIL from ``metrics``; shares are compared as products of counts."""
+
+def _findings(m: Column) -> dict[str, Column]:
+    """What the checks of a text find, from ``metrics``; shares are compared as products of counts."""
     many = m["lines"] > 15
-    fail = (
-        (m["word_chars"] < 30)
-        | ((2 * m["single_lines"] > m["lines"]) & many)
+    noisy = (
+        ((2 * m["single_lines"] > m["lines"]) & many)
         | (m["repeats"] >= 3)
         | (100 * m["symbols"] > 12 * F.greatest(m["characters"], F.lit(1)))
     )
-    warning = ((4 * m["single_lines"] > m["lines"]) & many) | (m["repeats"] > 0) | m["tabular"]
-    return F.when(fail, "FAIL").when(warning, "WARNING").otherwise("PASS")
+    return {
+        "too_little_text": m["word_chars"] < 30,
+        "noise": noisy,
+        "suspect_structure": ~noisy & (((4 * m["single_lines"] > m["lines"]) & many) | (m["repeats"] > 0)),
+        "table_or_drawing": m["tabular"],
+    }
+
+
+def status(m: Column) -> Column:
+    """PASS, WARNING or FAIL from ``metrics``, which are computed once."""
+
+    def judged(own: Column) -> Column:
+        found = _findings(own)
+        fail, warning = found["too_little_text"] | found["noise"], found["suspect_structure"] | found["table_or_drawing"]
+        return F.when(fail, "FAIL").when(warning, "WARNING").otherwise("PASS")
+
+    return let(m, judged)
 
 
 def reasons(m: Column) -> Column:
     """Codes of the findings behind a status, in the order of the checks."""
-    many = m["lines"] > 15
-    noisy = (
-        ((2 * m["single_lines"] > m["lines"]) & many)
-        | (m["repeats"] >= 3)
-        | (100 * m["symbols"] > 12 * F.greatest(m["characters"], F.lit(1)))
-    )
-    suspect = ~noisy & (((4 * m["single_lines"] > m["lines"]) & many) | (m["repeats"] > 0))
-    found = (
-        F.when(m["word_chars"] < 30, "too_little_text"),
-        F.when(noisy, "noise"),
-        F.when(suspect, "suspect_structure"),
-        F.when(m["tabular"], "table_or_drawing"),
-    )
-    return F.array_compact(F.array(*found))
+    return let(m, lambda own: F.array_compact(F.array(*[F.when(found, name) for name, found in _findings(own).items()])))
 
 
 def _known(anchors: tuple[str, ...]) -> Column:
@@ -128,33 +131,44 @@ def routing(raw: Column, text: Column, image_ratio: Column, turned: Column, span
     ``text`` is ``raw`` after ``messages.page_text``; ``turned``: its text surely runs another way; ``span_text``: the
     whole text layer, normalised.
     """
-    m = metrics(text)
-    persian = F.regexp_extract_all(F.regexp_replace(text, "‌", ""), F.lit("[؀-ۿ]+"), F.lit(0))
     known = F.array(*[F.lit(w) for w in fixed.PERSIAN_WORDS])
-    normal = F.size(F.filter(persian, lambda w: F.array_contains(known, w)))
-    backward = F.size(
-        F.filter(persian, lambda w: F.array_contains(known, F.reverse(w)) & ~F.array_contains(known, w))
-    )
-    latin = F.regexp_extract_all(text, F.lit("[A-Za-z]{2,}"), F.lit(0))
     english = F.array(*[F.lit(w) for w in fixed.ENGLISH_WORDS])
-    lines = X.lines(text)
-    short = F.size(F.filter(lines, lambda x: X.word_chars(x) <= 2))
-    rules = {
-        "health": status(m) == "FAIL",
-        "structure": (status(m) != "FAIL") & F.array_contains(reasons(m), "suspect_structure"),
-        "glyphs": raw.rlike("�|\\x00|\\(cid:\\d+\\)"),
-        "image": image_ratio >= 0.05,
-        "reversed": (backward >= 3) & (backward > normal),
-        "unknown_persian": (F.size(persian) >= 15) & (10 * normal < F.size(persian)),
-        "unknown_latin": (F.size(persian) == 0)
-        & (F.size(latin) >= 15)
-        & ~F.exists(latin, lambda w: F.array_contains(english, F.lower(w))),
-        "fragments": (F.size(lines) >= 10) & (10 * short > 4 * F.size(lines)),
-        "turned": F.coalesce(turned, F.lit(False)),
-        "lost_text": (F.length(span_text) > 100) & (10 * F.length(text) < 8 * F.length(span_text)),
-        "little_text": X.word_chars(text) < 30,
-    }
-    return F.array_compact(F.array(*[F.when(F.coalesce(rule, F.lit(False)), F.lit(k)) for k, rule in rules.items()]))
+
+    def judged(p: Column) -> Column:
+        m, persian, latin, lines = p["m"], p["persian"], p["latin"], p["lines"]
+        normal = F.size(F.filter(persian, lambda w: F.array_contains(known, w)))
+        backward = F.size(F.filter(persian, lambda w: F.array_contains(known, F.reverse(w)) & ~F.array_contains(known, w)))
+        short = F.size(F.filter(lines, lambda x: X.word_chars(x) <= 2))
+        rules = {
+            "health": status(m) == "FAIL",
+            "structure": (status(m) != "FAIL") & F.array_contains(reasons(m), "suspect_structure"),
+            "glyphs": p["glyphs"],
+            "image": p["image"] >= 0.05,
+            "reversed": (backward >= 3) & (backward > normal),
+            "unknown_persian": (F.size(persian) >= 15) & (10 * normal < F.size(persian)),
+            "unknown_latin": (F.size(persian) == 0)
+            & (F.size(latin) >= 15)
+            & ~F.exists(latin, lambda w: F.array_contains(english, F.lower(w))),
+            "fragments": (F.size(lines) >= 10) & (10 * short > 4 * F.size(lines)),
+            "turned": p["turned"],
+            "lost_text": (p["span"] > 100) & (10 * p["length"] < 8 * p["span"]),
+            "little_text": p["word_chars"] < 30,
+        }
+        return F.array_compact(F.array(*[F.when(F.coalesce(rule, F.lit(False)), F.lit(k)) for k, rule in rules.items()]))
+
+    parts = F.struct(
+        metrics(text).alias("m"),
+        F.regexp_extract_all(F.regexp_replace(text, "‌", ""), F.lit("[؀-ۿ]+"), F.lit(0)).alias("persian"),
+        F.regexp_extract_all(text, F.lit("[A-Za-z]{2,}"), F.lit(0)).alias("latin"),
+        X.lines(text).alias("lines"),
+        raw.rlike("�|\\x00|\\(cid:\\d+\\)").alias("glyphs"),
+        F.length(span_text).alias("span"),
+        F.length(text).alias("length"),
+        X.word_chars(text).alias("word_chars"),
+        image_ratio.alias("image"),
+        F.coalesce(turned, F.lit(False)).alias("turned"),
+    )
+    return let(parts, judged)
 
 
 def scan_like(text: Column, image_ratio: Column) -> Column:

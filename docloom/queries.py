@@ -535,13 +535,13 @@ def retained_reports(spark, d):
 
 # ---- evidence
 
-CITING_SQL = """r AS (SELECT source AS report, string_agg(concat('see e-', substr(sha256(CAST(doc_id AS VARCHAR)), 1, 20), ' and TOUS-', doc_id % 40, ' MD1-', lang, '.', doc_id % 9, ';'), ' ' ORDER BY doc_id) AS text FROM documents GROUP BY source)"""
+CITING_SQL = """r AS (SELECT source AS report, string_agg(concat('see e-', substr(sha256(CAST(doc_id AS VARCHAR)), 1, 20), ' and LTR-', doc_id % 40, ' DW1-', lang, '.', doc_id % 9, ';'), ' ' ORDER BY doc_id) AS text FROM documents GROUP BY source)"""
 
 
 def _reports(spark, d):
     part = F.concat(
-        F.lit("see e-"), F.substring(F.sha2(F.col("doc_id").cast("string"), 256), 1, 20), F.lit(" and TOUS-"), (F.col("doc_id") % 40).cast("string"),
-        F.lit(" MD1-"), "lang", F.lit("."), (F.col("doc_id") % 9).cast("string"), F.lit(";"),
+        F.lit("see e-"), F.substring(F.sha2(F.col("doc_id").cast("string"), 256), 1, 20), F.lit(" and LTR-"), (F.col("doc_id") % 40).cast("string"),
+        F.lit(" DW1-"), "lang", F.lit("."), (F.col("doc_id") % 9).cast("string"), F.lit(";"),
     )
     own = t(spark, d, "documents").groupBy(F.col("source").alias("report")).agg(F.array_sort(F.collect_list(F.struct("doc_id", part.alias("p")))).alias("p"))
     return own.select("report", F.array_join(F.transform("p", lambda x: x["p"]), " ").alias("text"))
@@ -552,8 +552,8 @@ def reference_extract(spark, d):
     return evidence.cited(_reports(spark, d), "report", "text")
 
 
-@query(f"""WITH {CITING_SQL} SELECT report, code FROM (SELECT DISTINCT report, unnest(regexp_extract_all(text, 'TOUS-[0-9]+')) AS code FROM r)
-UNION ALL SELECT report, code FROM (SELECT DISTINCT report, unnest(regexp_extract_all(text, 'MD1-[A-Za-z0-9.-]+')) AS code FROM r)""")
+@query(f"""WITH {CITING_SQL} SELECT report, code FROM (SELECT DISTINCT report, unnest(regexp_extract_all(text, 'LTR-[0-9]+')) AS code FROM r)
+UNION ALL SELECT report, code FROM (SELECT DISTINCT report, unnest(regexp_extract_all(text, 'DW1-[A-Za-z0-9.-]+')) AS code FROM r)""")
 def code_extract(spark, d):
     rows = _reports(spark, d)
     return evidence.cited_codes(rows, "report", "text", fixed.CORRESPONDENCE_CODES).unionByName(
