@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from docloom.functions import fixed
 from docloom.functions import text as X
 from docloom.operators import bundles, chunking, dedup, evidence, search
-from docloom.plans import flows
+from docloom.plans import archive, flows
 from docloom.sources import files, mail, office
 
 
@@ -39,27 +39,51 @@ def chunks(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def bundle(spark: SparkSession, a: argparse.Namespace) -> None:
-    """Markdown e-mails to bundles of bounded size, with a manifest."""
-    rows = files.read_markdown(spark, a.input)
+    """Datasets (or folders of Markdown e-mails alone) to bundles of bounded size, with a manifest."""
+    folders = a.input.split(",")
+    limits = {"max_words": a.max_words, "max_bytes": int(a.max_mb * 1e6)}
+    if any(files.exists(spark, f"{x}/attachment_manifest.json") for x in folders):
+        archive.bundle(spark, folders, a.output, layout=a.layout, **limits)
+        return
+    files.check_new(spark, a.output, folders)
+    rows = files.read_markdown(spark, folders[0])
     key = lambda k: X.header_field(F.col("header"), fixed.KEYS[k])
     emails = rows.select(
         dedup.email_id(F.col("file")).alias("id"), F.col("file").alias("source"), key("subject").alias("subject"), key("message_id").alias("message_id"),
         F.coalesce(F.nullif(key("jalali_date"), F.lit("")), F.lit(fixed.UNKNOWN)).alias("date"), "header", "body", F.array().cast("array<string>").alias("attachments"),
     )
     none = spark.createDataFrame([], "aid string, raw_id string, names array<string>, raws array<string>, header string, body string")
-    sections = bundles.assigned(bundles.email_sections(emails, none), ["date", "source"], max_words=a.max_words, max_bytes=int(a.max_mb * 1e6)).persist()
-    bundles.bundle_texts(sections).write.parquet(f"{a.output}/bundles")
-    lines = bundles.line_ranges(sections.withColumn("order", F.struct("date", "source")), "bundle", "order", "section")
-    named = lines.join(emails.select("id", "message_id", "attachments"), "id").withColumn("file", F.format_string("part_%03d.md", "bundle"))
-    files.write_jsonl(bundles.manifest(named), f"{a.output}/manifest")
+    sections = bundles.assigned(bundles.email_sections(emails, none), ["date", "source"], **limits).persist()
+    bundles.bundle_texts(sections).withColumn("file", bundles.file_of(F.col("bundle"))).write.parquet(f"{a.output}/bundles")
+    lines = bundles.email_lines(spark.read.parquet(f"{a.output}/bundles"))
+    named = sections.join(emails.select("id", "message_id", "attachments"), "id").join(lines, ["bundle", "id"])
+    files.write_jsonl(bundles.manifest(named.withColumn("file", bundles.file_of(F.col("bundle")))), f"{a.output}/manifest")
 
 
 def collect(spark: SparkSession, a: argparse.Namespace) -> None:
-    """Ids and codes that DOCX reports cite."""
-    found = office.converted(files.scan(spark, a.input, "*.docx")).where("error is null")
-    refs = evidence.cited(found, "name", "body").withColumn("kind", F.lit("id"))
-    codes = evidence.cited_codes(found, "name", "body", a.codes).select("report", F.col("code").alias("ref"), F.lit("code").alias("kind"))
-    files.write_jsonl(refs.unionByName(codes), a.output)
+    """The originals that DOCX reports cite, copied below the output; without --datasets only the cited ids and codes."""
+    docx = files.scan(spark, a.input, "*.docx").where("name not like '~$%'")
+    found = office.converted(docx).where("error is null")
+    if not a.datasets:
+        refs = evidence.cited(found, "name", "body").withColumn("kind", F.lit("id"))
+        codes = evidence.cited_codes(found, "name", "body", a.codes).select("report", F.col("code").alias("ref"), F.lit("code").alias("kind"))
+        files.write_jsonl(refs.unionByName(codes), a.output)
+        return
+    files.check_paths(a.input, a.output)
+    folders = a.datasets.split(",")
+    data = archive.read(spark, folders[0])
+    for folder in folders[1:]:
+        data = data.union(archive.read(spark, folder))
+    emails, attachments = archive.linked(data)
+    emails = emails.withColumn("source_name", X.header_field(F.col("header"), fixed.KEYS["source_name"])).persist()
+    messages = files.scan(spark, a.messages or a.input, "*.eml")
+    index = mail.index(mail.with_nested(messages))[0]
+    lines = X.lines(F.col("body"))
+    reports = docx.select(F.col("name").alias("report"), "path", F.sha2("content", 256).alias("sha256")).join(
+        found.select(F.col("name").alias("report"), evidence.report_title(lines, F.col("name")).alias("title"), F.col("body").alias("text")), "report"
+    )
+    state = archive.collect(reports, emails, attachments, index, data.raws, a.output, codes=a.codes, drawings=a.drawings)
+    state.show(1000, truncate=60)
 
 
 def nearest(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -81,8 +105,12 @@ def main(args: list[str] | None = None) -> None:
         if f is bundle:
             p.add_argument("--max-words", type=int, default=fixed.BUNDLE_WORDS)
             p.add_argument("--max-mb", type=float, default=fixed.BUNDLE_BYTES / 1e6)
+            p.add_argument("--layout", choices=("inline", "appendix"), default="inline")
         if f is collect:
             p.add_argument("--codes", default=fixed.CORRESPONDENCE_CODES)
+            p.add_argument("--drawings", default=fixed.DRAWING_CODES)
+            p.add_argument("--datasets", help="dataset folders, separated by commas")
+            p.add_argument("--messages", help="folder of original messages")
         if f is nearest:
             p.add_argument("--key", default="vec_id")
             p.add_argument("--id", required=True)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -60,35 +62,25 @@ def inverse_manifest(edges: DataFrame, child: str, parent: str) -> DataFrame:
 def numbered_names(df: DataFrame, name: str, order: str, *, out: str = "unique_name", style: str = "_{n}") -> DataFrame:
     """Names told apart, ignoring case: the second of a name gets number 2, and so on.
 
-    A number that would make a name that is there as itself is passed over. What the first pass makes is checked against all
-    names in one join, and only clashes move on, until none is left.
+    A number that would make a name that is there as itself is passed over: the names that are there say which numbers of
+    which name are taken, and each row counts up past them, so one pass is enough. Only names and order are numbered; the
+    other columns stay where they are until the numbers are joined to them.
     """
     before, after = style.split("{n}")
     ending = X.extension(F.col(name)) if style.startswith("_") else F.lit("")
     base = F.substring(F.col(name), F.lit(1), F.length(name) - F.length(ending))
-    number = F.row_number().over(W.partitionBy(F.lower(name)).orderBy(order))
-
-    def made(n: Column) -> Column:
-        return F.when(n == 1, F.col(name)).otherwise(
-            F.concat(base, F.lit(before), n.cast("string"), F.lit(after), _tail(name, ending))
-        )
-
-    rows = df.withColumn("_n", number)
-    taken = df.select(F.lower(name).alias("_taken")).distinct()
-    while True:
-        rows = rows.withColumn("_made", made(F.col("_n")))
-        clash = rows.where("_n > 1").join(taken, F.lower("_made") == F.col("_taken"), "left_semi")
-        if not clash.head(1):
-            return rows.withColumn(out, F.col("_made")).drop("_n", "_made")
-        marks = clash.select(F.col(order).alias("_order"), F.lit(1).alias("_up"))
-        own = W.partitionBy(F.lower(name)).orderBy(order)
-        rows = rows.join(marks, rows[order] == F.col("_order"), "left").drop("_order", "_made")
-        rows = rows.withColumn("_n", F.col("_n") + F.when(F.col("_n") > 1, F.coalesce(F.max("_up").over(own), F.lit(0))).otherwise(0))
-        rows = rows.drop("_up")
-
-
-def _tail(name: str, ending: Column) -> Column:
-    return F.substring(F.col(name), F.length(name) - F.length(ending) + 1, F.length(ending))
+    form = rf"(?s)^(.*){re.escape(before)}([1-9][0-9]{{0,8}}){re.escape(after)}$"
+    owner, number = F.regexp_extract(base, form, 1), F.regexp_extract(base, form, 2).try_cast("int")
+    taken = df.select(F.lower(F.concat(owner, ending)).alias("_lower"), number.alias("_k")).where("_k > 1")
+    taken = taken.groupBy("_lower").agg(F.array_sort(F.collect_set("_k")).alias("_taken"))
+    narrow = df.select(F.lower(name).alias("_lower"), F.col(order).alias("_order"))
+    n = F.row_number().over(W.partitionBy("_lower").orderBy("_order"))
+    counted = narrow.withColumn("_n", n).where("_n > 1").join(taken, "_lower", "left")
+    free = F.aggregate(F.coalesce("_taken", F.array().cast("array<int>")), F.col("_n"), lambda v, k: v + (k <= v).cast("int"))
+    rows = df.join(counted.select("_lower", "_order", free.alias("_n")), (F.lower(name) == F.col("_lower")) & (F.col(order) == F.col("_order")), "left")
+    tail = F.substring(F.col(name), F.length(name) - F.length(ending) + 1, F.length(ending))
+    made = F.concat(base, F.lit(before), F.col("_n").cast("string"), F.lit(after), tail)
+    return rows.withColumn(out, F.coalesce(made, F.col(name))).drop("_lower", "_order", "_n")
 
 
 def numbered_ids(df: DataFrame, column: str, order: str) -> DataFrame:

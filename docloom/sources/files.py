@@ -54,6 +54,48 @@ def check_paths(source: str, target: str) -> None:
         raise ValueError(f"{source} and {target} overlap")
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def kept(df: DataFrame, folder: str, name: str) -> DataFrame:
+    """``df`` as a table below ``folder``: what follows reads it, and its plan starts there."""
+    path = f"{folder}/{name}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def check_new(spark: SparkSession, target: str, sources: list[str]) -> None:
+    """Distinct sources, and a target that is not there and lies apart from them."""
+    if not sources or len(set(sources)) != len(sources):
+        raise ValueError("sources must be there and differ")
+    if exists(spark, target):
+        raise ValueError(f"{target} is there already; nothing was written")
+    for source in sources:
+        check_paths(source, target)
+
+
+def replace_json(df: DataFrame, path: str) -> None:
+    """JSON lines in place of those at ``path``: written beside them, then renamed."""
+    spark, new = df.sparkSession, f"{path}.new"
+    df.write.mode("overwrite").json(new)
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = fs_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    old = fs_path(f"{path}.old")
+    fs.delete(old, True)
+    if fs.exists(fs_path(path)) and not fs.rename(fs_path(path), old):
+        raise OSError(f"{path} could not be set aside")
+    if not fs.rename(fs_path(new), fs_path(path)):
+        raise OSError(f"{new} could not be renamed")
+    fs.delete(old, True)
+
+
 def contained(path: str, root: str) -> str:
     """A path that stays below its root."""
     import posixpath

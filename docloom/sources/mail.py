@@ -85,7 +85,9 @@ def parsed(files: DataFrame, parser: Callable[[bytes], dict] = parse_rfc822) ->
 def with_nested(files: DataFrame, parser: Callable[[bytes], dict] = parse_rfc822, *, suffixes: tuple[str, ...] = (".msg", ".eml")) -> DataFrame:
     """Messages of the files and of the messages attached to them, each content once, level by level until no new content
     is found."""
-    level = parsed(files.dropDuplicates(["content"]), parser).persist()
+    one = files.withColumn("_sha", F.sha2("content", 256))
+    first = one.groupBy("_sha").agg(F.min("path").alias("path"))  # hashes travel, contents do not
+    level = parsed(one.join(first, ["_sha", "path"], "left_semi").drop("_sha"), parser).persist()
     out = level
     while True:
         inner = level.where("error is null").select(F.col("path").alias("_from"), "modified", F.inline("attachments"))
