@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,15 +13,19 @@ from docloom.llm import decontamination, deleted_interpolation, jaccard_join, li
 from docloom.llm.common import table
 
 
-def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return rows.selectExpr("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "n_hit > 0 AS contaminated")
-
-
 #: Words that a term of a benchmark phrase may stand from its place in near matches.
 NEAR_SLOP = 2
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact phrases decide; words and items of near matches stand beside them."""
+    docs, bench = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    rows = decontamination.decontaminate(docs, bench, slop=NEAR_SLOP)
+    return rows.selectExpr(
+        "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "n_hit > 0 AS contaminated", "n_near", "CAST(size(near_items) AS BIGINT) AS n_near_items"
+    )
+
+
 def near_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As op1_decontamination, with near matches: words covered and items."""
     docs, bench = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -36,6 +41,17 @@ def op3_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deleted_interpolation.score(table(spark, sf_dir, "documents"))
 
 
+#: Weights (pair, word, uniform) of the query whose model SQL can follow: those that the paper's example would start from.
+FIXED_WEIGHTS = (0.5, 0.4, 0.1)
+
+
+def fixed_weight_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As op3_deleted_interpolation with given weights in place of learned ones, so that SQL can follow every score."""
+    weights = np.tile(FIXED_WEIGHTS, (65, 1))
+    rows = deleted_interpolation.score(table(spark, sf_dir, "documents"), weights=weights)
+    return rows.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 5).alias("base_score"), F.round("score", 5).alias("score"))
+
+
 def op4_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = line_dedup.repeated_runs(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "n_lines", "n_removed", "removed", "n_runs", "longest_run", "runs")
@@ -86,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_jaccard_join,
         line_repeats,
         near_decontamination,
+        fixed_weight_scores,
     )
 }
 
@@ -93,6 +110,10 @@ LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghij
 WORDS = rf"regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 BLANK_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+# The checksum of doc_id as text: its bytes and, after each, eight steps (-1) of the polynomial.
+CRC32 = """xor(4294967295, list_reduce(flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: [CAST(ord(x) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])),
+  lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, 4294967295))"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_decontamination": rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {WORDS} AS w FROM documents),
@@ -108,11 +129,25 @@ hits AS (SELECT rid, item_id, i, h.size FROM windows h JOIN phrases p ON h.size
 words AS (SELECT rid, count(DISTINCT p) AS n FROM
   (SELECT rid, unnest(generate_series(i, i + size - 1)) AS p FROM hits) GROUP BY rid),
 items AS (SELECT rid, count(*) AS n, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
-  FROM (SELECT DISTINCT rid, item_id FROM hits) GROUP BY rid)
+  FROM (SELECT DISTINCT rid, item_id FROM hits) GROUP BY rid),
+texts AS (SELECT phrase, size, string_split(phrase, ' ') AS w FROM (SELECT DISTINCT phrase, size FROM phrases)),
+terms AS (SELECT phrase, size, j, w[j + 1] AS term FROM (SELECT phrase, size, w, unnest(generate_series(0, size - 1)) AS j FROM texts)),
+tokens AS (SELECT rid, k, w[k + 1] AS term FROM (SELECT rid, w, unnest(generate_series(0, len(w) - 1)) AS k FROM d WHERE len(w) > 0)),
+freq AS (SELECT term, count(*) AS n FROM tokens GROUP BY term),
+rarest AS (SELECT phrase, size, arg_min(j, struct_pack(n := coalesce(n, 0), j := j)) AS j, min(coalesce(n, 0)) AS n
+  FROM terms LEFT JOIN freq USING (term) GROUP BY phrase, size),
+start AS (SELECT DISTINCT rid, phrase, size, k - j + delta AS s FROM rarest JOIN terms USING (phrase, size, j) JOIN tokens USING (term),
+  (SELECT unnest(generate_series(-2, 2)) AS delta) WHERE n > 0),
+near AS (SELECT start.rid, start.phrase, start.size, s FROM start JOIN terms USING (phrase)
+  LEFT JOIN tokens ON tokens.rid = start.rid AND tokens.term = terms.term AND k BETWEEN s + j - 2 AND s + j + 2
+  GROUP BY ALL HAVING count(DISTINCT j) FILTER (k IS NOT NULL) = start.size),
+near_words AS (SELECT rid, count(DISTINCT p) AS n FROM (SELECT near.rid, unnest(generate_series(greatest(s, 0), least(s + size, len(w)) - 1)) AS p
+  FROM near JOIN d ON d.rid = near.rid) GROUP BY rid),
+near_items AS (SELECT rid, count(DISTINCT item_id) AS n FROM near JOIN phrases USING (phrase, size) GROUP BY rid)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(words.n, 0) AS BIGINT) AS n_hit,
   CAST(coalesce(items.n, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
-  coalesce(words.n, 0) > 0 AS contaminated
-FROM d LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)""",
+  coalesce(words.n, 0) > 0 AS contaminated, CAST(coalesce(near_words.n, 0) AS BIGINT) AS n_near, CAST(coalesce(near_items.n, 0) AS BIGINT) AS n_near_items
+FROM d LEFT JOIN words USING (rid) LEFT JOIN items USING (rid) LEFT JOIN near_words USING (rid) LEFT JOIN near_items USING (rid)""",
     "op2_secret_ledger": rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
 rules(kind, rank, pattern, grp, least) AS (VALUES
@@ -219,6 +254,20 @@ n AS (SELECT rid, count(*) AS n, count(*) FILTER (later) AS c FROM cov GROUP BY
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(n.n AS BIGINT) AS n_repeated, CAST(n.c AS BIGINT) AS n_copied,
   s.spans AS spans, coalesce(t.spans, '') AS copied_spans
 FROM n JOIN d USING (rid) JOIN s USING (rid) LEFT JOIN t USING (rid)""",
+    "fixed_weight_scores": rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, list_concat(regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+'), [chr(10)]) AS w,
+  {CRC32} % 10 = 0 AS held_out FROM documents),
+t AS (SELECT rid, held_out, i, w[i] AS word, CASE WHEN i > 1 THEN w[i - 1] END AS before FROM
+  (SELECT rid, held_out, w, unnest(generate_series(1, len(w))) AS i FROM d)),
+c AS (SELECT word, count(*) AS c FROM t WHERE NOT held_out GROUP BY word),
+p AS (SELECT before, word, count(*) AS c FROM t WHERE NOT held_out GROUP BY before, word),
+n AS (SELECT sum(c) AS n, count(*) AS v FROM c),
+s AS (SELECT rid, count(*) AS n_tokens, count(c.c) AS n_known, sum(log10((coalesce(c.c, 0) + 0.1) / (n + 0.1 * (v + 1)))) AS base_score,
+  sum(log10({FIXED_WEIGHTS[0]} * coalesce(p.c, 0) / greatest(1, coalesce(h.c, 0)) + {FIXED_WEIGHTS[1]} * coalesce(c.c, 0) / n + {FIXED_WEIGHTS[2]} / (v + 1))) AS score
+  FROM t LEFT JOIN c USING (word) LEFT JOIN c h ON h.word = coalesce(t.before, chr(10))
+  LEFT JOIN p ON p.word = t.word AND p.before IS NOT DISTINCT FROM t.before, n GROUP BY rid)
+SELECT doc_id, held_out, n_tokens, n_known, CAST((SELECT n FROM n) AS BIGINT) AS train_tokens, round(base_score, 5) AS base_score, round(score, 5) AS score
+FROM d JOIN s USING (rid)""",
     "op4_line_runs": r"""
 WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
 l AS (SELECT rid, doc_id, i, line, row_number() OVER (PARTITION BY rid ORDER BY i) AS p FROM

@@ -458,7 +458,7 @@ def _spans(cover: np.ndarray) -> list[tuple[int, int]]:
 
 
 def repeats(
-    docs: DataFrame, *, chunk_tokens: int = 1_000_000, range_suffixes: int = 100_000, hot_run: int = 2_000
+    docs: DataFrame, *, chunk_tokens: int = 1_000_000, range_suffixes: int = 100_000, hot_run: int = 250
 ) -> DataFrame:
     """Documents with repeated passages: their words, those in repeats, those in later copies, and the word spans."""
     table = stored(chunks(docs, chunk_tokens=chunk_tokens), "suffix-chunks", row_group=16 << 20)
