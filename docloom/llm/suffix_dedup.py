@@ -145,13 +145,14 @@ def chunks(docs: DataFrame, *, chunk_tokens: int = 1_000_000) -> DataFrame:
 
 
 def _suffixes(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words of a chunk, its minimisers' places and their runs' hashes."""
+    """Words of a chunk, its minimisers' places and their runs' hashes, mixed anew: minimisers have low hashes, and ranges
+    of those would be uneven."""
     hashes, tokens = np.frombuffer(row["hashes"], "<u4").astype(np.uint64), np.frombuffer(row["tokens"], "<i4")
     words, places = hashes[tokens], np.frombuffer(row["places"], "<i4").astype(np.int64)
     key = np.zeros(len(places), np.uint64)
     for j in range(K):
         key = key * FACTOR + words[places + j]
-    return words, places, mix(key)
+    return words, places, mix(mix(key))
 
 
 ASK = "range bigint, chunk string, keys binary, counts binary"
