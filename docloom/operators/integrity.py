@@ -79,6 +79,11 @@ def new_or_changed(current: DataFrame, done: DataFrame, key: str, content: str)
     return current.join(done.select(key, content), [key, content], "left_anti")
 
 
+def appended(edges: DataFrame, more: DataFrame) -> DataFrame:
+    """Edges with more of them, each once."""
+    return edges.unionByName(more).distinct()
+
+
 def retained(previous: DataFrame, current: DataFrame, key: str) -> DataFrame:
     """Earlier rows that no current one replaces, then the current ones."""
     return previous.join(current.select(key), key, "left_anti").unionByName(current, allowMissingColumns=True)

