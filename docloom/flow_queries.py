@@ -72,6 +72,32 @@ def response_parts(spark, d):
     return t(spark, d, "documents").select("doc_id", F.array_join(parts, "|").alias("parts"))
 
 
+def _routed(rows, raw, text, *rules, ratio=0.0, turned=False, span=""):
+    as_column = lambda x: F.lit(x) if isinstance(x, (bool, float, str)) else x
+    why = quality.routing(raw, text, as_column(ratio), as_column(turned), as_column(span))
+    return rows.select("doc_id", F.array_join(F.filter(why, lambda r: r.isin(*rules)), ",").alias("reasons"))
+
+
+@query(f"""WITH {METRICS_SQL} SELECT doc_id, CASE WHEN status = 'FAIL' THEN 'health' WHEN (4 * single_lines > lines AND lines > 15) OR repeats > 0 THEN 'structure' ELSE '' END AS reasons FROM s""")
+def routing_by_health(spark, d):
+    return _routed(t(spark, d, "documents"), F.col("text"), F.col("text"), "health", "structure")
+
+
+@query("""SELECT doc_id, concat_ws(',', CASE WHEN doc_id % 5 = 0 THEN 'reversed' END, CASE WHEN doc_id % 5 IN (0, 1) THEN 'unknown_persian' END, CASE WHEN doc_id % 7 = 0 THEN 'turned' END,
+CASE WHEN doc_id % 3 = 0 AND 2 * length(text) > 100 THEN 'lost_text' END) AS reasons FROM (SELECT doc_id, concat(text, repeat('x', 60)) AS text FROM documents)""")
+def routing_by_layers(spark, d):
+    """Reversed and unknown Persian words, turned pages, and pages that lost most of their text layer."""
+    case = F.col("doc_id") % 5
+    known, strange = fixed.PERSIAN_WORDS[0], "بلابلا"
+    words = F.when(case == 0, F.repeat(F.lit(f" {known[::-1]}"), 15)).when(case == 1, F.repeat(F.lit(f" {strange}"), 16))
+    words = F.coalesce(words, F.when(case == 2, F.repeat(F.lit(f" {known}"), 16)), F.lit(""))
+    own = F.concat("text", F.repeat(F.lit("x"), 60))
+    span = F.when(F.col("doc_id") % 3 == 0, F.repeat(F.concat(own, words), 2)).otherwise(own)
+    rows = t(spark, d, "documents")
+    rules = ("reversed", "unknown_persian", "turned", "lost_text")
+    return _routed(rows, own, F.concat(own, words), *rules, turned=F.col("doc_id") % 7 == 0, span=span)
+
+
 # ---- names and lines
 
 

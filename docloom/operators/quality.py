@@ -92,6 +92,13 @@ def with_anchors(state: Column, missing: Column, n_anchors: Column) -> Column:
     return F.when(n == 0, state).when(fail | (state == "FAIL"), "FAIL").otherwise("WARNING")
 
 
+def with_anchor_counts(state: Column, anchors: Column) -> Column:
+    """``with_anchors`` from the counts of ``anchor_counts``."""
+    n, missing = anchors["n"], anchors["missing"]
+    fail = anchors["critical"] | ((missing >= 2) & (2 * missing >= F.greatest(n, F.lit(1))))
+    return F.when(missing == 0, state).when(fail | (state == "FAIL"), "FAIL").otherwise("WARNING")
+
+
 def anchors_of(source: Column, anchors: tuple[str, ...] = fixed.ANCHORS) -> Column:
     def having(own: Column) -> Column:
         return F.transform(F.filter(_known(anchors), lambda a: F.contains(own, a["key"])), lambda a: a["name"])

@@ -145,17 +145,16 @@ def _compact_sql(x: str) -> str:
 p AS (SELECT o.doc_id, o.text AS src, n.text AS out FROM documents o JOIN documents n ON n.doc_id = o.doc_id + 1),
 x AS (SELECT doc_id, count(*) FILTER (contains({_compact_sql('src')}, c)) AS n_anchors,
   count(*) FILTER (contains({_compact_sql('src')}, c) AND NOT contains({_compact_sql('out')}, c)) AS n_missing FROM p, a GROUP BY doc_id)
-SELECT doc_id, n_anchors, n_missing, CASE WHEN n_missing = 0 THEN 'PASS'
-WHEN n_missing >= 2 AND 2 * n_missing >= n_anchors THEN 'FAIL' ELSE 'WARNING' END AS status FROM x""")
+SELECT doc_id, n_anchors, n_missing, CASE WHEN n_missing = 0 THEN CASE WHEN doc_id % 9 = 0 THEN 'FAIL' ELSE 'PASS' END
+WHEN doc_id % 9 = 0 OR (n_missing >= 2 AND 2 * n_missing >= n_anchors) THEN 'FAIL' ELSE 'WARNING' END AS status FROM x""")
 def anchor_check(spark, d):
     docs = t(spark, d, "documents").select("doc_id", "text")
     after = docs.select((F.col("doc_id") - 1).alias("doc_id"), F.col("text").alias("out"))
     rows = docs.join(after, "doc_id")
     counts = quality.anchor_counts(rows, "text", "out", t(spark, d, "benchmark").select("text"))
-    n, missing = F.col("anchors.n"), F.col("anchors.missing")
-    fail = F.col("anchors.critical") | ((missing >= 2) & (2 * missing >= n))
-    state = F.when(missing == 0, "PASS").when(fail, "FAIL").otherwise("WARNING")
-    return counts.select("doc_id", n.alias("n_anchors"), missing.alias("n_missing"), state.alias("status"))
+    before = F.when(F.col("doc_id") % 9 == 0, "FAIL").otherwise("PASS")
+    state = quality.with_anchor_counts(before, F.col("anchors"))
+    return counts.select("doc_id", F.col("anchors.n").alias("n_anchors"), F.col("anchors.missing").alias("n_missing"), state.alias("status"))
 
 
 @query(r"""SELECT doc_id, concat_ws(',', CASE WHEN regexp_matches(text, '\x{FFFD}|\(cid:\d+\)') THEN 'glyphs' END,
@@ -474,16 +473,18 @@ def coverage_report(spark, d):
     return quality_report(covered).drop("json")
 
 
-@query("""WITH r AS (SELECT doc_id AS name, source AS stem FROM documents WHERE doc_id % 2 = 0), c AS (SELECT n_chars, doc_id AS path, source AS stem, CASE WHEN doc_id % 3 = 0 THEN doc_id - doc_id % 2 END AS declared FROM documents WHERE doc_id % 10 < 2),
-p AS (SELECT r.name, path, declared, count(*) OVER (PARTITION BY r.stem, path) AS sib FROM r LEFT JOIN c USING (stem)),
-x AS (SELECT name, count(*) FILTER (path IS NOT NULL AND CASE WHEN declared IS NOT NULL THEN declared = name ELSE sib = 1 END) AS n,
-min(path) FILTER (CASE WHEN declared IS NOT NULL THEN declared = name ELSE sib = 1 END) AS path, bool_or(path IS NOT NULL AND declared IS NULL AND sib > 1) AS unclear FROM p GROUP BY name)
+@query("""WITH r AS (SELECT doc_id AS name, concat(lang, doc_id // 3) AS stem FROM documents),
+c AS (SELECT doc_id AS path, concat(lang, (doc_id + doc_id % 2) // 3) AS stem, CASE WHEN doc_id % 4 < 2 THEN doc_id + doc_id % 2 END AS declared FROM documents),
+s AS (SELECT stem, count(*) AS n FROM r GROUP BY stem), o AS (SELECT stem, count(*) AS n, min(path) AS path FROM c WHERE declared IS NULL GROUP BY stem),
+k AS (SELECT stem, declared AS name, count(*) AS n, min(path) AS path FROM c WHERE declared IS NOT NULL GROUP BY ALL),
+x AS (SELECT r.name, coalesce(k.n, 0) + CASE WHEN s.n = 1 THEN coalesce(o.n, 0) ELSE 0 END AS n, least(k.path, CASE WHEN s.n = 1 THEN o.path END) AS path, coalesce(o.n, 0) > 0 AND s.n > 1 AS unclear
+  FROM r JOIN s USING (stem) LEFT JOIN o USING (stem) LEFT JOIN k USING (stem, name))
 SELECT name, CASE WHEN unclear OR n > 1 THEN 'ambiguous' WHEN n = 1 THEN 'matched' ELSE 'none' END AS state, CASE WHEN NOT unclear AND n = 1 THEN path END AS path FROM x""")
 def text_matching(spark, d):
-    docs = t(spark, d, "documents")
-    raw = docs.where("doc_id % 2 = 0").select(F.col("doc_id").alias("name"), F.col("source").alias("stem"))
-    declared = F.when(F.col("doc_id") % 3 == 0, F.col("doc_id") - F.col("doc_id") % 2)
-    texts = docs.where("doc_id % 10 < 2").select(F.col("doc_id").alias("path"), F.col("source").alias("stem"), declared.alias("declared"))
+    docs, own = t(spark, d, "documents"), F.col("doc_id") + F.col("doc_id") % 2
+    stem = lambda n: F.concat("lang", F.floor(n / 3).cast("string")).alias("stem")
+    raw = docs.select(F.col("doc_id").alias("name"), stem(F.col("doc_id")))
+    texts = docs.select(F.col("doc_id").alias("path"), stem(own), F.when(F.col("doc_id") % 4 < 2, own).alias("declared"))
     return integrity.matched_texts(raw, texts)
 
 
@@ -692,14 +693,14 @@ def retry_budget(spark, d):
     return pages.retried(t(spark, d, "documents").where("n_chars % 2 = 0").select("source", "doc_id"), "source", "doc_id")
 
 
-@query("""SELECT conv_id, conv_id % 3 = 0 AS complete, conv_id % 3 <> 2 OR n <= 1 AS ordered FROM (SELECT conv_id, count(*) AS n FROM conversations GROUP BY 1)
+@query("""SELECT conv_id, conv_id % 3 = 0 OR (conv_id % 3 = 2 AND n <= 1) AS complete, conv_id % 3 <> 2 OR n <= 1 AS ordered FROM (SELECT conv_id, count(*) AS n FROM conversations GROUP BY 1)
 WHERE NOT (conv_id % 3 = 1 AND n <= 1 AND false)""")
 def page_order(spark, d):
     own = t(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.col("turn").cast("string"))).alias("markers"))
     case = F.col("conv_id") % 3
     seen = own.select("conv_id", F.when(case == 0, F.col("markers")).when(case == 1, F.slice("markers", 2, 1000)).otherwise(F.concat(F.reverse("markers"), F.array(F.lit("x")))).alias("markers"))
     seen = seen.withColumn("markers", F.when(case == 2, F.filter("markers", lambda m: m != "x")).otherwise(F.col("markers")))
-    return pages.in_order(own, seen, "conv_id").select("conv_id", F.when(case == 2, F.lit(False)).otherwise(F.col("complete")).alias("complete"), "ordered")
+    return pages.in_order(own, seen, "conv_id")
 
 
 # ---- search
