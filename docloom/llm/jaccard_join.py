@@ -36,8 +36,8 @@ WIDTH, BANDS, ROWS = 5, 40, 5
 STEP, TOLERANCE = 40, 1e-9
 FACTORS = mix(np.arange(1, 1 + BANDS * ROWS)) | np.uint64(1)
 SHIFTS = mix(np.arange(10_001, 10_001 + BANDS * ROWS))
-BLOCK_NODES, BLOCK_SHINGLES = 1024, 2_000_000
-MOST_BLOCKS = BANDS  # a component of more blocks is compared by its buckets: a text then travels BANDS times at most
+BLOCK_NODES, BLOCK_SHINGLES = 512, 2_000_000
+MOST_BLOCKS = BANDS  # a component of more blocks is compared by its buckets where that sends fewer texts
 
 
 def word_hashes(words: list[list[bytes]]) -> np.ndarray:
@@ -268,25 +268,34 @@ def _blocks() -> Column:
 def dealt_out(members: DataFrame, keys: DataFrame, most_blocks: int) -> DataFrame:
     """``members(node, component, n_shingles, rep, copies)`` in the groups in which they are compared.
 
-    A component of up to ``most_blocks`` blocks is compared whole, block against block. A larger one is a chain of many
+    A component of up to ``most_blocks`` blocks is compared whole, block against block. A larger one may be a chain of many
     buckets whose ends have little in common: there only nodes that share a bucket (``keys(node, band, key)``) are
-    compared, in the bucket of their first common band, blocks again where a bucket is large. No pair is lost: all
-    candidates share a bucket.
+    compared, in the bucket of their first common band, blocks again where a bucket is large, if fewer texts travel that
+    way. No pair is lost either way: all candidates share a bucket. ``most_blocks`` 0: all go by buckets.
     """
-    sizes = members.groupBy("component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("all"))
-    sized = looked_up(members, stored(sizes.select("component", "n", _blocks()), "component-sizes"), "component", "n")
     columns = ["component", "i", "j", "side", "band", "node", "rep", "copies"]
-    whole = blocks_of(sized.where(F.col("blocks") <= most_blocks), F.col("blocks")).withColumn("band", F.lit(-1))
-    large = sized.where(F.col("blocks") > most_blocks).select("node", "n_shingles", "rep", "copies")
+    sizes = members.groupBy("component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("all"))
+    sizes = stored(sizes.select("component", "n", _blocks()), "component-sizes")
+    large = sizes.where(F.col("blocks") > most_blocks)
     if not large.head(1):
-        return whole.select(*columns)
-    bucket = F.concat_ws(":", "band", "key").cast("binary").alias("component")
-    rows = large.join(keys, "node").select("node", "n_shingles", "rep", "copies", "band", bucket)
-    sizes = rows.groupBy("component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("all")).where("n > 1")
-    found = looked_up(rows, stored(sizes.select("component", "n", _blocks()), "bucket-sizes"), "component", "n")
-    placed = blocks_of(found.where("blocks is not null"), F.col("blocks"))
-    inside = placed.withColumn("i", F.greatest("i", F.lit(0))).withColumn("j", F.greatest("j", F.lit(0)))
-    return whole.select(*columns).unionByName(inside.select(*columns))
+        sized = looked_up(members, sizes, "component", "n")
+        return blocks_of(sized, F.col("blocks")).withColumn("band", F.lit(-1)).select(*columns)
+    inside = members.join(large.select("component"), "component", "left_semi")
+    bucket = F.concat_ws(":", "band", "key").cast("binary").alias("bucket")
+    rows = stored(inside.join(keys, "node").select("node", "component", "n_shingles", "rep", "copies", "band", bucket), "bucket-members")
+    own = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("all"), F.first("component").alias("of")).where("n > 1")
+    own = stored(own.select("bucket", "n", "of", _blocks()), "bucket-sizes")
+    cost = own.groupBy(F.col("of").alias("component")).agg(F.sum(F.col("n") * F.col("blocks")).alias("cost"))
+    split = large.join(cost, "component", "left").where((F.lit(most_blocks) == 0) | (F.col("cost") < F.col("n") * F.col("blocks")))
+    split = stored(split.select("component", F.lit(True).alias("split")), "split-components")
+    marked = stored(sizes.join(split, "component", "left").select("component", "n", "blocks", F.coalesce("split", F.lit(False)).alias("split")), "component-sizes")
+    sized = looked_up(members, marked, "component", "n")
+    whole = blocks_of(sized.where("not split"), F.col("blocks")).withColumn("band", F.lit(-1))
+    chosen = own.join(split.select(F.col("component").alias("of")), "of", "left_semi").select("bucket", "n", "blocks")
+    found = looked_up(rows.drop("component"), stored(chosen, "bucket-sizes"), "bucket", "n").where("blocks is not null")
+    placed = blocks_of(found.withColumnRenamed("bucket", "component"), F.col("blocks"))
+    placed = placed.withColumn("i", F.greatest("i", F.lit(0))).withColumn("j", F.greatest("j", F.lit(0)))
+    return whole.select(*columns).unionByName(placed.select(*columns))
 
 
 def classes(
