@@ -48,42 +48,56 @@ def nearest(vectors: DataFrame, query: list[float], *, key: str = "vec_id", vect
     return scored.where("similarity is not null").orderBy(F.col("similarity").desc(), F.col(key)).limit(k)
 
 
+#: Queries that one scan of the vectors answers, and those that are multiplied at once.
+SCAN_QUERIES, BLOCK_QUERIES = 65_536, 512
+
+
+def _best(scores: np.ndarray, keys: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k best scores of each row and their keys, ties by key: only what reaches the k-th score is sorted."""
+    n = scores.shape[1]
+    limits = np.partition(scores, n - k, axis=1)[:, n - k] if n > k else np.full(len(scores), -np.inf)
+    best_scores, best_keys = np.full((len(scores), k), -np.inf), np.zeros((len(scores), k), keys.dtype)
+    for i, (own, limit) in enumerate(zip(scores, limits, strict=True)):
+        at = np.flatnonzero(own >= limit)
+        at = at[np.lexsort((keys[at], -own[at]))[:k]]
+        best_scores[i, : len(at)], best_keys[i, : len(at)] = own[at], keys[at]
+    return best_scores, best_keys
+
+
 def nearest_to_all(vectors: DataFrame, queries: DataFrame, *, key: str = "vec_id", vector: str = "embedding", k: int = 4) -> DataFrame:
     """The k rows most similar to each row of ``queries(query_id, vector)``, exactly.
 
-    Queries are taken in blocks (a matrix of some MB, broadcast one after the other). Each task multiplies its rows with
-    the block and keeps k for each query; those alone travel.
+    A scan of the vectors answers up to ``SCAN_QUERIES`` queries, which are broadcast (some MB). Each task multiplies its
+    rows with them, ``BLOCK_QUERIES`` at a time, and keeps k for each query to its end; those alone travel.
     """
     spark, rows = vectors.sparkSession, queries.select("query_id", F.col("vector").alias("v"))
-    n = rows.count()
-    blocks, size = max(1, -(-n // 4096)), None
+    scans = max(1, -(-rows.count() // SCAN_QUERIES))
     out = None
-    for i in range(blocks):
-        own = rows if blocks == 1 else rows.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == i)
+    for i in range(scans):
+        own = rows if scans == 1 else rows.where(F.pmod(F.xxhash64("query_id"), F.lit(scans)) == i)
         local = own.toPandas()
-        size = size or len(local)
         matrix = np.array(local["v"].tolist(), "float64").reshape(len(local), -1)
         norms = np.linalg.norm(matrix, axis=1, keepdims=True)
-        held = spark.sparkContext.broadcast((local["query_id"].tolist(), matrix / np.where(norms > 0, norms, 1)))
+        held = spark.sparkContext.broadcast((local["query_id"].to_numpy(), matrix / np.where(norms > 0, norms, 1)))
 
         def run(frames: Iterator[pd.DataFrame], held=held) -> Iterator[pd.DataFrame]:
             ids, unit = held.value
+            scores, keys = np.full((len(ids), k), -np.inf), np.zeros((len(ids), k), np.int64)
             for pdf in frames:
-                m = np.array(pdf["v"].tolist(), "float64").reshape(len(pdf), -1)
                 if not len(ids) or not len(pdf):
                     continue
+                m = np.array(pdf["v"].tolist(), "float64").reshape(len(pdf), -1)
                 length = np.linalg.norm(m, axis=1)
                 keep = length > 0
-                scores = unit @ (m[keep] / length[keep, None]).T
-                keys = pdf["key"].to_numpy()[keep]
-                best = np.stack([np.lexsort((keys, -s))[:k] for s in scores])
-                yield pd.DataFrame(
-                    {
-                        "query_id": np.repeat(ids, best.shape[1]),
-                        "key": keys[best].ravel(),
-                        "similarity": np.take_along_axis(scores, best, axis=1).ravel(),
-                    }
-                )
+                here, names = (m[keep] / length[keep, None]).T, pdf["key"].to_numpy()[keep]
+                for a in range(0, len(ids) if len(names) else 0, BLOCK_QUERIES):
+                    part = slice(a, a + BLOCK_QUERIES)
+                    new = _best(unit[part] @ here, names, k)
+                    both, of = np.hstack((scores[part], new[0])), np.hstack((keys[part], new[1]))
+                    order = np.lexsort((of, -both), axis=1)[:, :k]
+                    scores[part], keys[part] = np.take_along_axis(both, order, 1), np.take_along_axis(of, order, 1)
+            found = np.isfinite(scores)
+            yield pd.DataFrame({"query_id": np.repeat(ids, found.sum(axis=1)), "key": keys[found], "similarity": scores[found]})
 
         pairs = vectors.select(F.col(key).alias("key"), F.col(vector).alias("v")).mapInPandas(
             run, "query_id long, key long, similarity double"
