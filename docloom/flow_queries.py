@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from docloom.functions import fixed, messages
 from docloom.functions import text as X
-from docloom.operators import bundles, integrity, pages, quality
+from docloom.operators import bundles, chunking, integrity, pages, quality
 from docloom.plans import archive
 from docloom.queries import BODY_SQL, METRICS_SQL, ORACLE_SQL, query, t
 from docloom.sources import files
@@ -72,6 +72,67 @@ def response_parts(spark, d):
     return t(spark, d, "documents").select("doc_id", F.array_join(parts, "|").alias("parts"))
 
 
+@query("""SELECT doc_id, sha256(concat('v1:RGB:(', 1 + doc_id % 100, ', ', length(lang), ')', text)) AS key FROM documents""")
+def pixel_keys(spark, d):
+    key = pages.pixel_key("v1", F.lit("RGB"), 1 + F.col("doc_id") % 100, F.length("lang"), F.encode("text", "utf-8"))
+    return t(spark, d, "documents").select("doc_id", key.alias("key"))
+
+
+def _read_pages(contents):
+    return [bytes(c).decode() for c in contents]
+
+
+def _read_batch(contents, token):
+    """A batch's answer; that of every third loses a mark."""
+    marked = [f"{token} {n} BEGIN\n{text}\n{token} {n} END\n" for n, text in enumerate(_read_pages(contents), 1)]
+    return "".join(marked if len(contents[0]) % 3 else marked[1:])
+
+
+@query(f"""SELECT doc_id AS page, source AS doc, sha256(trim(text, {BLANK})) AS sha256 FROM documents""")
+def page_engine(spark, d):
+    """Every page's text comes back, whether its batch was accepted or it was read alone."""
+    jobs = t(spark, d, "documents").select(F.col("source").alias("doc"), F.col("doc_id").alias("page"), F.sha2("text", 256).alias("key"), F.encode("text", "utf-8").alias("content"))
+    found = pages.recognised_in_batches(jobs, _read_pages, _read_batch)
+    return found.select("page", "doc", F.sha2(X.strip(F.col("text")), 256).alias("sha256"))
+
+
+@query(f"""WITH {METRICS_SQL} SELECT doc_id AS doc, doc_id % 4 IN (0, 3) AS complete, doc_id % 4 <> 1 AS ordered,
+CASE WHEN doc_id % 4 = 1 OR status = 'FAIL' THEN 'FAIL' WHEN doc_id % 4 = 3 THEN 'WARNING' ELSE status END AS status, sha256(clean) AS sha256 FROM s JOIN documents USING (doc_id)""")
+def marker_states(spark, d):
+    """First pages of marked texts: whole, out of order, with a mark too few, and scanned."""
+    case = F.col("doc_id") % 4
+    part = lambda n, x: F.concat(F.lit(f"\nRAGPAGE 000{n} BEGIN\n"), x, F.lit(f"\nRagPage 000{n} "))
+    one, two = F.concat(part(1, F.col("text")), F.lit("END\n")), part(2, F.col("source"))
+    raw = F.when(case == 1, F.concat(two, F.lit("END"), one)).when(case == 2, F.concat(one, F.lit("RAGPAGE0002BEGIN"))).otherwise(F.concat(one, two, F.lit("END")))
+    page = F.struct((case == 3).alias("scan"), F.lit(0).cast("long").alias("chars"), F.array().cast("array<string>").alias("anchors"))
+    docs = t(spark, d, "documents").select(F.col("doc_id").alias("doc"), raw.alias("raw"), F.array(page, page).alias("pages"))
+    found = pages.checked_markers(docs).where("number = 1")
+    return found.select("doc", "complete", "ordered", "status", F.sha2("text", 256).alias("sha256"))
+
+
+@query("""SELECT count(*) AS eligible, count(*) FILTER (doc_id % 6 = 0) AS converted, count(*) FILTER (doc_id % 6 = 1) AS existing, count(*) FILTER (doc_id % 6 = 2) AS digital,
+count(*) FILTER (doc_id % 6 = 3) AS noise, count(*) FILTER (doc_id % 6 >= 4) AS error, CAST(2 AS INTEGER) AS exit_code FROM documents""")
+def run_counters(spark, d):
+    names = F.array(*[F.lit(x) for x in ("converted", "existing", "digital", "noise", "error", "error")])
+    return pages.file_counters(t(spark, d, "documents").select("doc_id", F.get(names, (F.col("doc_id") % 6).cast("int")).alias("outcome")))
+
+
+@query("""SELECT source AS file, count(*) AS pages, count(*) FILTER (doc_id % 3 = 0) AS local, count(*) FILTER (doc_id % 3 = 1) AS ocr, count(*) FILTER (doc_id % 3 = 2) AS cache,
+count(*) FILTER (doc_id % 4 < 2) AS pass, count(*) FILTER (doc_id % 4 = 2) AS warning, count(*) FILTER (doc_id % 4 = 3) AS fail, CAST(sum(n_chars) AS BIGINT) AS characters FROM documents GROUP BY source""")
+def document_summaries(spark, d):
+    pick = lambda n, *x: F.get(F.array(*map(F.lit, x)), (F.col("doc_id") % n).cast("int"))
+    rows = t(spark, d, "documents").select(
+        F.col("source").alias("file"), pick(3, "local", "ocr", "cache").alias("method"), pick(4, "PASS", "PASS", "WARNING", "FAIL").alias("status"), F.col("n_chars").cast("long").alias("characters")
+    )
+    return pages.document_summary(rows)
+
+
+@query("""SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS number FROM documents WHERE n_chars % 3 <> 0""")
+def success_numbers(spark, d):
+    rows = t(spark, d, "documents").select("doc_id", "n_chars")
+    return chunking.success_numbers(rows, "doc_id", F.col("n_chars") % 3 != 0).select("doc_id", "number")
+
+
 def _routed(rows, raw, text, *rules, ratio=0.0, turned=False, span=""):
     as_column = lambda x: F.lit(x) if isinstance(x, (bool, float, str)) else x
     why = quality.routing(raw, text, as_column(ratio), as_column(turned), as_column(span))

@@ -190,6 +190,9 @@ SENT_FORMATS_PYTHON = (
     "%B %d, %Y %H:%M", "%d/%b/%Y %H:%M", "%Y-%m-%d %H:%M",
 )
 
+# Marks that a page's text stands between.
+PAGE_MARK = r"(?i)RAGPAGE\s*([0-9]{4})\s*(BEGIN|END)"
+
 # References in reports.
 REFERENCE = r"(?i)(?<![\p{L}\p{N}_])(?:E-[0-9a-f]{20}|A-[0-9a-f]{20}(?:-T-[0-9a-f]{12})?)(?![\p{L}\p{N}_])"
 # Codes of letters and drawings are each archive's own; these are examples of their usual form.

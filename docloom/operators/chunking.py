@@ -129,3 +129,16 @@ def numbered(df: DataFrame, group: str, order: str) -> DataFrame:
     own = W.partitionBy(group)
     rows = df.withColumn("number", F.row_number().over(own.orderBy(order))).withColumn("of", F.count("*").over(own))
     return rows.withColumn("is_last", F.col("number") == F.col("of"))
+
+
+def success_numbers(df: DataFrame, order: str, ok: Column) -> DataFrame:
+    """The rows that succeeded, numbered from 1 in their order over the whole table; failures take no number.
+
+    Ranges of the order number their own rows, and the ranges' counts (a row each) say where each begins.
+    """
+    dealt = df.where(ok).repartitionByRange(order).sortWithinPartitions(order).withColumn("_range", F.spark_partition_id()).persist()
+    counts = dealt.groupBy("_range").agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    local = F.row_number().over(W.partitionBy("_range").orderBy(order))
+    joined = dealt.withColumn("_local", local).join(counts.select("_range", before.alias("_before")), "_range")
+    return joined.withColumn("number", F.col("_before") + F.col("_local")).drop("_range", "_local", "_before")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -62,6 +62,154 @@ def recognised(pages: DataFrame, ocr: Callable[[pd.Series], pd.Series], *, key:
     return made.withColumn("status", F.when(status == "PASS", "WARNING").otherwise(status))
 
 
+def pixel_key(version: str, mode: Column, width: Column, height: Column, pixels: Column) -> Column:
+    """The key of a rendered page: a hash of its mode, size and pixels, not of a compressed file."""
+    head = F.format_string(f"{version}:%s:(%d, %d)", mode, width, height)
+    return F.sha2(F.concat(F.encode(head, "utf-8"), pixels), 256)
+
+
+ENGINE = "doc string, page bigint, key string, text string, method string, requests int, bytes bigint, fallback boolean, error string"
+
+
+def recognised_in_batches(
+    jobs: DataFrame,
+    ocr: Callable[[list[bytes]], list[str]],
+    ocr_batch: Callable[[list[bytes], str], str],
+    usable: Callable[[str], bool] = bool,
+    *,
+    most: int = 5,
+    max_bytes: int = 9 * (2 << 20) // 10,
+    bundle_bytes: int = 2 << 20,
+    retries: int = 2,
+) -> DataFrame:
+    """``jobs(doc, page, key, content)``, each distinct page once, through the batch service: a row a page (``ENGINE``).
+
+    Pages of a document go in batches (``batched``). ``ocr_batch(contents, token)`` answers a batch in one text with
+    numbered marks; a batch above ``bundle_bytes`` is halved until it fits. A text counts only if every mark is there once,
+    in order, with nothing outside, and the page's part is ``usable``; any other page goes to ``ocr`` alone, which is asked
+    once more if it fails, ``retries`` times a document at most. ``requests`` and ``bytes`` of a batch fall to its first page.
+    """
+    from docloom.functions.messages import split_response
+
+    sized = jobs.withColumn("_size", F.octet_length("content").cast("long"))
+    dealt = batched(sized.select("doc", "page", "_size"), "doc", "page", "_size", most=most, max_bytes=max_bytes)
+    rows = jobs.join(dealt.select("doc", "page", "batch"), ["doc", "page"])
+
+    def document(pdf: pd.DataFrame) -> pd.DataFrame:
+        budget, out = retries, []
+
+        def alone(job, fallback: bool, requests: int, sent: int) -> None:
+            nonlocal budget
+            error, text = None, ""
+            for attempt in range(2):
+                if attempt:
+                    if not budget:
+                        break
+                    budget -= 1
+                requests, sent = requests + 1, sent + len(job.content)
+                try:
+                    text = ocr([bytes(job.content)])[0] or ""
+                    if usable(text):
+                        error = None
+                        break
+                    text, error = "", "the text is not usable"
+                except Exception as e:
+                    text, error = "", f"{type(e).__name__}: {e}"
+            out.append((job.doc, job.page, job.key, text or None, "single", requests, sent, fallback, error))
+
+        def group(items: list) -> None:
+            size = sum(len(x.content) for x in items)
+            if len(items) > 1 and size > bundle_bytes:
+                group(items[: len(items) // 2])
+                group(items[len(items) // 2 :])
+                return
+            if len(items) == 1:
+                alone(items[0], False, 0, 0)
+                return
+            token = f"{items[0].key[:12]}".upper()
+            try:
+                parts = split_response(ocr_batch([bytes(x.content) for x in items], token), token, len(items))
+            except Exception:
+                parts = None
+            for i, job in enumerate(items):
+                requests, sent = (1, size) if i == 0 else (0, 0)
+                if parts is not None and usable(parts[i]):
+                    out.append((job.doc, job.page, job.key, parts[i], "batch", requests, sent, False, None))
+                else:
+                    alone(job, True, requests, sent)
+
+        ordered = sorted(pdf.itertuples(index=False), key=lambda x: (x.batch, x.page))
+        for number in sorted({x.batch for x in ordered}):
+            group([x for x in ordered if x.batch == number])
+        return pd.DataFrame(out, columns=[x.split()[0] for x in ENGINE.split(", ")])
+
+    return rows.groupBy("doc").applyInPandas(document, ENGINE)
+
+
+def engine_totals(results: DataFrame) -> DataFrame:
+    """One row: pages, requests, bytes, batch and single pages, fallbacks, failures."""
+    n = lambda c: F.count(F.when(c, 1))
+    return results.agg(
+        F.count("*").alias("pages"), F.sum("requests").alias("requests"), F.sum("bytes").alias("bytes"), n(F.col("method") == "batch").alias("batch_pages"),
+        n(F.col("method") == "single").alias("single_pages"), n(F.col("fallback")).alias("fallbacks"), n(F.col("error").isNotNull()).alias("failures"),
+    )
+
+
+def file_counters(files: DataFrame) -> DataFrame:
+    """``files(name, outcome)`` of a batch run: one row with a count for each outcome and the run's exit code."""
+    names = ("converted", "existing", "digital", "noise", "error")
+    counts = [F.count(F.when(F.col("outcome") == n, 1)).alias(n) for n in names]
+    row = files.agg(F.count("*").alias("eligible"), *counts)
+    code = F.when(F.col("error") == 0, 0).when(F.col("error") < F.col("eligible"), 2).otherwise(1)
+    return row.withColumn("exit_code", code)
+
+
+def document_summary(pages: DataFrame) -> DataFrame:
+    """``pages(file, number, method, status, characters)``: a row a document, its pages by method and status."""
+    n = lambda c: F.count(F.when(c, 1))
+    return pages.groupBy("file").agg(
+        F.count("*").alias("pages"), n(F.col("method") == "local").alias("local"), n(F.col("method") == "ocr").alias("ocr"), n(F.col("method") == "cache").alias("cache"),
+        *[n(F.col("status") == s).alias(s.lower()) for s in ("PASS", "WARNING", "FAIL")], F.sum("characters").alias("characters"),
+    )
+
+
+def checked_markers(docs: DataFrame) -> DataFrame:
+    """``docs(doc, raw, pages array<struct<scan:boolean,chars:bigint,anchors:array<string>>>)`` with the texts between page
+    marks, judged page by page: (doc, number, text, bounded, complete, ordered, status, reasons).
+
+    A page's text stands between its begin and end mark, each there once. Missing anchors lower the status; a scanned page
+    is a warning at best; so is a text of less than 40 % of a source text of more than 300 characters. Marks that are not
+    in order fail all pages.
+    """
+    mark = F.regexp_extract_all("raw", F.lit(fixed.PAGE_MARK), F.lit(0))
+    parsed = F.transform(mark, lambda m: F.concat(F.regexp_extract(m, fixed.PAGE_MARK, 1).cast("int").cast("string"), F.upper(F.regexp_extract(m, fixed.PAGE_MARK, 2))))
+    numbers = F.when(F.size("pages") > 0, F.sequence(F.lit(1), F.size("pages"))).otherwise(F.array().cast("array<int>"))
+    expected = F.flatten(F.transform(numbers, lambda n: F.array(F.concat(n.cast("string"), F.lit("BEGIN")), F.concat(n.cast("string"), F.lit("END")))))
+    rows = docs.withColumns({"_seen": parsed, "_expected": expected, "_parts": F.split("raw", fixed.PAGE_MARK)})
+    ordered = F.filter("_expected", lambda e: F.array_contains("_seen", e)) == F.col("_seen")
+    each = rows.select("doc", (F.col("_seen") == F.col("_expected")).alias("complete"), ordered.alias("ordered"), "_seen", "_parts", F.posexplode("pages").alias("_i", "page"))
+    each = each.withColumn("number", F.col("_i") + 1)
+    begin, end = (F.concat(F.col("number").cast("string"), F.lit(k)) for k in ("BEGIN", "END"))
+    at = lambda m: F.array_position("_seen", m)
+    once = lambda m: F.size(F.filter("_seen", lambda x: x == m)) == 1
+    bounded = once(begin) & once(end) & (at(begin) < at(end))
+    between = F.slice("_parts", (at(begin) + 1).cast("int"), F.greatest(at(end) - at(begin), F.lit(0)).cast("int"))
+    each = each.withColumn("bounded", bounded).withColumn("text", F.when(F.col("bounded"), quality.X.strip(F.array_join(between, ""))).otherwise(""))
+    each = each.withColumn("_m", quality.metrics(F.col("text")))
+    lost = F.filter(F.col("page.anchors"), lambda a: ~F.contains(quality.X.compact(F.col("text")), quality.X.compact(a)))
+    base = quality.with_anchors(quality.status(F.col("_m")), lost, F.size("page.anchors"))
+    scan = F.coalesce("page.scan", F.lit(False)) & F.col("bounded")
+    shrunk = F.col("bounded") & (F.col("page.chars") > 300) & (10 * F.length("text") < 4 * F.col("page.chars"))
+    status = F.when(~F.col("ordered"), "FAIL").when((scan | shrunk) & (base != "FAIL"), "WARNING").otherwise(base)
+    reasons = F.array_compact(
+        F.concat(
+            F.when(F.col("bounded"), quality.reasons(F.col("_m"))).otherwise(F.array(F.lit("no_boundaries"))),
+            F.array(F.when(F.col("bounded") & (F.size(lost) > 0), F.lit("anchors_missing")), F.when(scan, F.lit("scanned")), F.when(shrunk, F.lit("shrunk")), F.when(~F.col("ordered"), F.lit("order"))),
+        )
+    )
+    return each.select("doc", "number", "text", "bounded", "complete", "ordered", F.when(F.col("bounded"), status).otherwise("FAIL").alias("status"), reasons.alias("reasons"))
+
+
 def fan_out(results: DataFrame, destinations: DataFrame, key: str = "key") -> DataFrame:
     """Each result at all places that asked for it."""
     return destinations.join(results, key, "left")
