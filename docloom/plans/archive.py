@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from docloom.functions import fixed
 from docloom.functions import text as X
 from docloom.operators import bundles, dedup, evidence, integrity
-from docloom.sources import files
+from docloom.sources import files, office
 
 TEXT_FOLDERS = ("attachments_ocr_google", "attachments_text")
 
@@ -121,6 +121,43 @@ def linked(data: Dataset) -> tuple[DataFrame, DataFrame]:
     return emails, attachments
 
 
+def completed(data: Dataset, archives: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What the archives of a dataset (``archives(name, content)``) hold beyond it: files (name, sha256, content), and edges
+    (name, parent) that the manifest lacks. What is there already stays untouched; another content under a name that is
+    taken is refused."""
+    found, more = office.flattened(archives, data.edges.select(F.col("name").alias("attachment"), "parent"))
+    found = found.select(F.col("file").alias("name"), "sha256", "content")
+    there = data.raws.select("name", F.col("sha256").alias("_there"))
+    if bad := found.join(there, "name").where("sha256 <> _there").select("name").head(5):
+        raise integrity.IntegrityError(f"other files have these names: {[r['name'] for r in bad]}")
+    edges = more.select(F.col("attachment").alias("name"), "parent")
+    return found.join(there, "name", "left_anti"), edges.join(data.edges, ["name", "parent"], "left_anti")
+
+
+def quality_report(data: Dataset, *, failed_messages: int = 0, failed_files: int = 0) -> tuple[DataFrame, DataFrame]:
+    """A dataset's state in one row (counts, error before warning before ok), and its findings (kind, name, parent):
+    attachments of the manifest that are not there, parents that are not there, files that could have a text and have none."""
+    names = data.raws.select("dataset", "name")
+    text = data.texts.select("dataset", X.stem(F.col("file")).alias("_stem"), F.contains("path", F.lit(f"/{TEXT_FOLDERS[0]}/")).alias("_ocr"))
+    have = text.groupBy("dataset", "_stem").agg(F.max("_ocr").alias("_ocr"))
+    own = names.withColumn("_stem", X.stem(F.col("name"))).join(have, ["dataset", "_stem"], "left")
+    kind = X.extension(F.col("name"))
+    convertible = kind.isin(*fixed.OFFICE_EXTENSIONS, *fixed.OCR_EXTENSIONS)
+    covered = F.when(kind == ".pdf", F.coalesce("_ocr", F.lit(False))).otherwise(F.col("_ocr").isNotNull())
+    finding = lambda df, what, parent: df.select(F.lit(what).alias("kind"), "name", parent.alias("parent"))
+    null = F.lit(None).cast("string")
+    bare = finding(own.where(convertible & ~covered), "no_text", null)
+    lost = finding(integrity.missing(data.edges, data.raws, {"dataset": "dataset", "name": "name"}), "no_file", null)
+    orphans = data.edges.join(data.emails.select("dataset", F.col("file").alias("parent")), ["dataset", "parent"], "left_anti")
+    findings = bare.unionByName(lost).unionByName(finding(orphans, "no_parent", F.col("parent")))
+    n = lambda what: F.count(F.when(F.col("kind") == what, 1)).alias(what)
+    row = findings.agg(n("no_text"), n("no_file"), n("no_parent")).withColumns({"failed_messages": F.lit(failed_messages), "failed_files": F.lit(failed_files)})
+    errors = F.col("no_file") + F.col("no_parent") + F.col("failed_messages") + F.col("failed_files")
+    counts = data.emails.agg(F.count("*").alias("emails")).crossJoin(data.raws.agg(F.count("*").alias("attachments")))  # single rows
+    state = F.when(errors > 0, "error").when(F.col("no_text") > 0, "warning").otherwise("ok")
+    return counts.crossJoin(row).withColumn("status", state), findings
+
+
 def as_sections(attachments: DataFrame) -> DataFrame:
     """Attachments in the form that bundles render."""
     part = lambda name: F.transform("sources", lambda s: s[name]).alias

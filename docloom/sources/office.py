@@ -145,6 +145,22 @@ def xlsx_markdown(content: bytes) -> str:
     return "\n\n".join(out)
 
 
+def xls_markdown(content: bytes) -> str:
+    """The old binary sheets, where the xlrd library is installed; an error row elsewhere."""
+    import xlrd
+
+    out = []
+    for sheet in xlrd.open_workbook(file_contents=content).sheets():
+        number = lambda x: str(int(x)) if isinstance(x, float) and x.is_integer() else str(x)
+        rows = [[number(x).strip() for x in sheet.row_values(i)] for i in range(min(sheet.nrows, fixed.SHEET_ROWS))]
+        if rows := compact_rows(rows):
+            part = f"## شیت: {sheet.name}\n\n{table(rows)}"
+            if sheet.nrows > fixed.SHEET_ROWS:
+                part += f"\n\n_جدول بریده شد: {fixed.SHEET_ROWS} سطر از {sheet.nrows}_"
+            out.append(part)
+    return "\n\n".join(out)
+
+
 def plain_text(content: bytes) -> str:
     return content.decode("utf-8-sig", "replace")
 
@@ -154,6 +170,7 @@ READERS = {
     ".pptx": pptx_markdown,
     ".xlsx": xlsx_markdown,
     ".xlsm": xlsx_markdown,
+    ".xls": xls_markdown,
     ".txt": plain_text,
     ".csv": plain_text,
 }
@@ -177,18 +194,31 @@ def converted(files: DataFrame) -> DataFrame:
     return wanted.mapInPandas(run, "name string, kind string, body string, error string")
 
 
+def _archive(name: str, content: bytes):
+    """A ZIP file, or a RAR file where the rarfile library is installed."""
+    if not name.lower().endswith(".rar"):
+        return zipfile.ZipFile(io.BytesIO(content))
+    import rarfile
+
+    return rarfile.RarFile(io.BytesIO(content))
+
+
+def _is_link(info) -> bool:
+    return info.is_symlink() if hasattr(info, "is_symlink") else stat.S_ISLNK(info.external_attr >> 16)
+
+
 def zip_members(archives: DataFrame) -> DataFrame:
-    """``archives(name, content)`` to (archive, member, name, sha256, content): files alone, no path kept, no links, no
+    """``archives(name, content)`` (ZIP, RAR) to (archive, member, name, sha256, content): files alone, no path kept, no links, no
     hidden ones. A broken archive gives a row with its error."""
     schema = "archive string, member string, name string, sha256 string, content binary, error string"
 
     def members(name: str, content: bytes) -> Iterator[tuple]:
         stem = posixpath.splitext(name)[0]
         try:
-            with zipfile.ZipFile(io.BytesIO(content)) as z:
+            with _archive(name, content) as z:
                 for info in z.infolist():
                     base = info.filename.replace("\\", "/").rsplit("/", 1)[-1]
-                    if info.is_dir() or stat.S_ISLNK(info.external_attr >> 16) or base.startswith((".", "__MACOSX")):
+                    if info.is_dir() or _is_link(info) or base.startswith((".", "__MACOSX")):
                         continue
                     base = re.sub(r'[<>:"/\\|?*\x00-\x1f]', "_", base).rstrip(" .")
                     if base:

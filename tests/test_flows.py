@@ -3,6 +3,7 @@
 import hashlib
 import io
 import json
+import sys
 import zipfile
 
 import pytest
@@ -136,3 +137,89 @@ def test_copies_that_differ_are_seen(spark, tmp_path):
     plan = spark.createDataFrame([(str(tmp_path / "x"), "0" * 64, "f", "x")], "path string, sha256 string, folder string, filename string")
     plan = plan.withColumn("path", F.concat(F.lit("file://"), "path"))
     assert [r["same"] for r in archive.copied(plan, f"file://{tmp_path}/out").collect()] == [False]
+
+
+def test_archives_complete_a_dataset_and_its_state_is_reported(spark, tmp_path):
+    root = write_dataset(tmp_path / "set")
+    data = archive.read(spark, str(root))
+    state, findings = archive.quality_report(data)
+    assert state.first()["status"] == "ok" and findings.count() == 0
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        z.writestr("x/new.pdf", "fresh")
+    held = spark.createDataFrame([("shared.zip", bytearray(out.getvalue()))], "name string, content binary")
+    edges = data.edges.unionByName(spark.createDataFrame([(str(root), "shared.zip", "a.md"), (str(root), "gone.pdf", "c.md")], data.edges.schema))
+    more = archive.Dataset(data.emails, edges, data.raws, data.texts.where("false"))
+    found, new = archive.completed(more, held)
+    assert [r["name"] for r in found.collect()] == ["shared_unzipped_new.pdf"] and [tuple(r) for r in new.collect()] == [("shared_unzipped_new.pdf", "a.md")]
+    state, findings = archive.quality_report(more, failed_messages=1)
+    assert state.first()["status"] == "error"
+    assert sorted((r["kind"], r["name"]) for r in findings.collect()) == [("no_file", "gone.pdf"), ("no_file", "shared.zip"), ("no_parent", "gone.pdf"), ("no_text", "shared.pdf")]
+    raws = data.raws.unionByName(spark.createDataFrame([(str(root), "shared_unzipped_new.pdf", "p", "0")], data.raws.schema))
+    with pytest.raises(integrity.IntegrityError, match="other files"):
+        archive.completed(archive.Dataset(data.emails, edges, raws, data.texts), held)
+
+
+def test_old_sheets_and_rar_files_need_their_libraries(monkeypatch):
+    from docloom.sources import office
+
+    class Sheet:
+        name, nrows = "S", 2
+
+        def row_values(self, i):
+            return [["a", ""], [2.0, "b"]][i]
+
+    class Book:
+        def sheets(self):
+            return [Sheet()]
+
+    monkeypatch.setitem(sys.modules, "xlrd", type("xlrd", (), {"open_workbook": staticmethod(lambda file_contents: Book())}))
+    assert office.xls_markdown(b"x") == "## شیت: S\n\n| a |  |\n| --- | --- |\n| 2 | b |"
+    monkeypatch.setitem(sys.modules, "rarfile", type("rarfile", (), {"RarFile": staticmethod(lambda f: ("rar", f.read()))}))
+    assert office._archive("A.RAR", b"y") == ("rar", b"y")
+
+
+def test_batches_fall_back_to_single_pages(spark):
+    from docloom.operators import pages
+
+    calls = []
+
+    def single(contents):
+        return [c.decode() for c in contents]
+
+    def batch(contents, token):
+        text = "".join(f"{token} {n} BEGIN\n{c.decode()}\n{token} {n} END\n" for n, c in enumerate(contents, 1))
+        return text if b"break" not in contents[0] else text[2:]
+
+    rows = [("a", n, f"k{n}", f"text {n}") for n in range(7)] + [("b", 0, "k9", "break"), ("b", 1, "k10", "x"), ("c", 0, "k11", " ")]
+    jobs = spark.createDataFrame([(d, p, k, bytearray(c.encode())) for d, p, k, c in rows], "doc string, page bigint, key string, content binary")
+    got = {(r["doc"], r["page"]): r for r in pages.recognised_in_batches(jobs, single, batch, lambda x: bool(x.strip())).collect()}
+    assert not calls and all(got["a", n]["text"] == f"text {n}" and got["a", n]["method"] == "batch" for n in range(7))
+    assert [got["a", n]["requests"] for n in range(7)] == [1, 0, 0, 0, 0, 1, 0]
+    assert (got["b", 0]["method"], got["b", 0]["fallback"], got["b", 0]["requests"], got["b", 1]["requests"]) == ("single", True, 2, 1)
+    assert got["c", 0]["error"] and got["c", 0]["requests"] == 2
+    halved = pages.recognised_in_batches(jobs, single, batch, bundle_bytes=14).where("doc = 'a'").collect()
+    assert sorted(r["requests"] for r in halved) == [0, 0, 0, 1, 1, 1, 1]
+    totals = pages.engine_totals(spark.createDataFrame([tuple(r) for r in got.values()], pages.ENGINE)).first()
+    assert (totals["pages"], totals["batch_pages"], totals["fallbacks"], totals["failures"]) == (10, 7, 2, 1)
+
+
+def test_marked_pages_warn_of_missing_anchors_scans_and_shrinkage(spark):
+    from docloom.operators import pages
+
+    text = "A page of text that is long enough to be healthy, NET WEIGHT included."
+    mark = lambda n, x: f"RAGPAGE 000{n} BEGIN\n{x}\nRAGPAGE 000{n} END\n"
+    page = lambda scan=False, chars=0, anchors=(): (scan, chars, list(anchors))
+    rows = [
+        ("ok", mark(1, text), [page(anchors=["NET WEIGHT"])]),
+        ("scan", mark(1, text), [page(scan=True)]),
+        ("shrunk", mark(1, text), [page(chars=1000)]),
+        ("anchor", mark(1, text), [page(anchors=["CASING", "NET WEIGHT", "REPORT NO"])]),
+        ("order", mark(2, text) + mark(1, text), [page(), page()]),
+        ("lost", mark(1, text), [page(), page()]),
+    ]
+    docs = spark.createDataFrame(rows, "doc string, raw string, pages array<struct<scan:boolean,chars:bigint,anchors:array<string>>>")
+    got = {(r["doc"], r["number"]): (r["status"], r["complete"], r["reasons"]) for r in pages.checked_markers(docs).collect()}
+    assert got["ok", 1] == ("PASS", True, []) and got["scan", 1] == ("WARNING", True, ["scanned"]) and got["shrunk", 1][0] == "WARNING"
+    assert got["anchor", 1][0] == "FAIL" and got["order", 1][0] == "FAIL" and got["order", 1][2] == ["order"]
+    assert got["lost", 1] == ("PASS", False, []) and got["lost", 2][0] == "FAIL" and got["lost", 2][2] == ["no_boundaries"]
