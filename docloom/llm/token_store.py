@@ -160,18 +160,23 @@ def rows_of(file: TokenFile, base: int) -> dict[str, list]:
 
 
 class Pieces(dict):
-    """Ids of the piece lead + key, as bytes. It forgets all when it holds ``most`` pieces."""
+    """Ids of the piece lead + key, as bytes. It holds two generations of up to ``most`` pieces: when the younger is full
+    it becomes the older one, which is forgotten; what is used meanwhile comes back from it."""
 
-    def __init__(self, encode, lead: str = "", most: int = 300_000):
+    def __init__(self, encode, lead: str = "", most: int = 400_000):
         super().__init__()
-        self.encode, self.lead, self.most = encode, lead, most
+        self.encode, self.lead, self.most, self.older = encode, lead, most, {}
 
     def __missing__(self, key: str) -> bytes:
-        if self.lead and (not key or key[-1].isspace()):
-            raise KeyError(key)  # white space may join what follows: not a piece of its own
+        out = self.older.get(key)
+        if out is None:
+            if self.lead and (not key or key[-1].isspace()):
+                raise KeyError(key)  # white space may join what follows: not a piece of its own
+            out = self.encode(self.lead + key)
         if len(self) >= self.most:
+            self.older = dict(self)
             self.clear()
-        out = self[key] = self.encode(self.lead + key)
+        self[key] = out
         return out
 
 
