@@ -255,13 +255,18 @@ def _parts(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def by_chunk(rows: DataFrame) -> DataFrame:
+    """Rows dealt by their chunk ("partition-number"): evenly, as chunks are few and large."""
+    n, parts = _parts(rows), F.split("chunk", "-")
+    return rows.repartitionById(n, F.pmod(parts[0].cast("long") * 13 + parts[1].cast("long"), F.lit(n)).cast("int"))
+
+
 def _meet(table: DataFrame, answers: DataFrame, which: str) -> DataFrame:
     """Each chunk's row (range -1) and its answers, next to each other."""
     one = table.select("chunk", F.lit(-1).cast("long").alias("range"), "doc_ids", "ends", "hashes", "tokens")
     one = one.withColumn("totals", F.lit(None).cast("binary"))
     more = answers.select("chunk", "range", F.col(which).alias("totals"))
-    both = one.unionByName(more, allowMissingColumns=True)
-    return both.repartition(_parts(table), "chunk").sortWithinPartitions("chunk", "range")
+    return by_chunk(one.unionByName(more, allowMissingColumns=True)).sortWithinPartitions("chunk", "range")
 
 
 def looked_up(rows: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -302,7 +302,9 @@ def meet(frames: dict[int, DataFrame], run: Callable[[dict[int, list[dict]]], di
         own = frame.withColumn("kind", F.lit(kind))
         own = own.where("chunk >= 0").drop("range", "count", "shared") if kind == ANSWERS else own
         both = own if both is None else both.unionByName(own, allowMissingColumns=True)
-    dealt = both.repartition(_parts(both), "chunk").sortWithinPartitions("chunk", "kind")
+    n = _parts(both)
+    number = F.shiftright("chunk", 20) * 13 + F.col("chunk").bitwiseAND(F.lit((1 << 20) - 1))
+    dealt = both.repartitionById(n, F.pmod(number, F.lit(n)).cast("int")).sortWithinPartitions("chunk", "kind")
     return dealt.mapInArrow(each, schema)
 
 

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.llm.common import WORD_TABLE, Vocab, batches_of, id_and_text, mix, stored, texts
-from docloom.llm.deleted_interpolation import _grown, _packed, _parts, _shrunk, _unpacked, bounds_of, grouped, ranges_for
+from docloom.llm.deleted_interpolation import _grown, _packed, _parts, _shrunk, _unpacked, bounds_of, by_chunk, grouped, ranges_for
 from docloom.llm.jaccard_join import hash_words
 
 LENGTH, K = 50, 10
@@ -311,7 +311,7 @@ def suffixes(table: DataFrame, answers: DataFrame, ranges: int) -> DataFrame:
         "chunk", "range", "doc_ids", "ends", "ties", "hashes", "tokens", "places", "least", "most", "firsts"
     )
     both = one.unionByName(answers.select("chunk", "range", "many"), allowMissingColumns=True)
-    dealt = both.repartition(_parts(table), "chunk").sortWithinPartitions("chunk", "range")
+    dealt = by_chunk(both).sortWithinPartitions("chunk", "range")
     return dealt.mapInArrow(run, SUFFIXES)
 
 
@@ -512,5 +512,5 @@ def repeats(
 
     one = table.select("chunk", F.lit(-1).cast("long").alias("range"), "doc_ids", "ends", "places", "least", "most", "firsts")
     both = one.unionByName(masks, allowMissingColumns=True)
-    dealt = both.repartition(_parts(table), "chunk").sortWithinPartitions("chunk", "range")
+    dealt = by_chunk(both).sortWithinPartitions("chunk", "range")
     return dealt.mapInArrow(run, RESULT)
