@@ -187,7 +187,7 @@ def test_scores_are_the_formulas(spark):
         theirs = sorted((repr(i), len(ws), s) for (i, ws), s in zip(tokens, want, strict=True))
         assert [x[:2] for x in mine] == [x[:2] for x in theirs]
         error = max(abs(a[2] - b[2]) / max(1, abs(b[2])) for a, b in zip(mine, theirs, strict=True))
-        assert error < (1e-9 if weights is not None else 2e-3)  # bins of an eighth of a doubling
+        assert error < (1e-9 if weights is not None else 2e-3)  # bins of part of a doubling
 
 
 def test_model_probabilities_sum_to_one():
