@@ -23,7 +23,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
-from docloom.llm.common import integer_id, stored
+from docloom.llm.common import integer_id, looked_up, stored
 
 WORDS = r"[^\x20\x09-\x0D]+"
 BINS = 4096
@@ -95,7 +95,7 @@ def mix(docs: DataFrame, *, max_epochs: int = 3, seed: str = "mix", keep: tuple[
     )
     name = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("size").cast("string"))
     rows = rows.withColumn("h", seeded(name, seed)).withColumn("bin", F.shiftright("h", 40).cast("int"))
-    bins = stored(rows.groupBy("key", "bin").agg(F.sum("size").alias("words")), "mix-bins")
+    bins = stored(rows.groupBy("key", "bin").agg(F.sum("size").alias("words"), F.count("*").alias("n")), "mix-bins")
     sources = bins.groupBy("key").agg(F.sum("words").alias("source_size"))
     source = F.when(F.col("key") != "", F.substring("key", 2, 1 << 30)).alias("source")
     sources = water_fill(stored(source_order(sources.select(source, "source_size")), "mix-sources"), max_epochs=max_epochs)
@@ -112,8 +112,8 @@ def mix(docs: DataFrame, *, max_epochs: int = 3, seed: str = "mix", keep: tuple[
     plan = sources.join(cuts, "key", "left").select(
         "key", "source_size", "target", "whole", F.col("cut.bin").alias("cut_bin"), F.col("cut.give").alias("give")
     )
-    plan = stored(plan, "mix-plan")
-    joined = rows.join(F.broadcast(plan) if _few(plan) else plan, "key")
+    plan = stored(plan.join(bins.groupBy("key").agg(F.sum("n").alias("n")), "key"), "mix-plan")
+    joined = rows.join(F.broadcast(plan.drop("n")), "key") if _few(plan) else looked_up(rows, plan, "key", "n")
     earlier = W.partitionBy("key", "bin").orderBy("h", "doc_id", "tie").rowsBetween(W.unboundedPreceding, -1)
     at_cut = F.coalesce((F.col("bin") == F.col("cut_bin")) & (F.col("give") > 0), F.lit(False))
     again = F.coalesce(F.col("bin") < F.col("cut_bin"), F.lit(True))

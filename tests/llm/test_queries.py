@@ -2,7 +2,7 @@
 
 import pytest
 
-from docloom.llm import jaccard_join, secrets, suffix_dedup, token_store, warc
+from docloom.llm import jaccard_join, mixing, secrets, suffix_dedup, token_store, warc
 from docloom.llm.common import looked_up, stored
 from docloom.llm.shared_files import write_file
 from tests.llm.helpers import odd_docs, odd_rows, words
@@ -33,6 +33,12 @@ def test_heavy_keys_are_looked_up_in_place(spark, kind, monkeypatch):
     assert len(got) == 6000 and all(r["v"] == (None if str(r["k"]) == "9" else f"v{r['k']}") for r in got)
 
 
+def test_many_sources_mix_as_few_do(spark, monkeypatch):
+    few = collected(mixing.mix(odd_docs(spark)))
+    monkeypatch.setattr(mixing, "_few", lambda plan: False)
+    assert collected(mixing.mix(odd_docs(spark))) == few
+
+
 def test_a_second_attempt_and_stale_files_change_nothing(spark, tmp_path):
     folder = f"file://{tmp_path}/files"
     write_file(folder, "part-000000-0000-99.tok", b"of a lost attempt")
