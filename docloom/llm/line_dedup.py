@@ -222,7 +222,7 @@ def replies(asked: DataFrame, parts: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, local, shared, out = TaskContext.get().partitionId(), 0, 0, _Replies()
+        part, local, shared, out = None, 0, 0, _Replies()
         key, held, here, gone, first = None, [], 0, 0, -1
 
         def close() -> Iterator[pa.RecordBatch]:
@@ -237,6 +237,10 @@ def replies(asked: DataFrame, parts: int) -> DataFrame:
             local += here
 
         for batch in batches_of(batches):
+            ranges = batch.column("range").to_numpy()
+            part = int(ranges[0]) if part is None else part
+            if (ranges != part).any():
+                raise RuntimeError("a task holds one range")
             r1, r2, chunk, place, n, w = (batch.column(x).to_numpy() for x in ("r1", "r2", "chunk", "place", "n", "w"))
             new = np.concatenate(([key != (r1[0], r2[0])], (r1[1:] != r1[:-1]) | (r2[1:] != r2[:-1])))
             at = np.flatnonzero(new)
