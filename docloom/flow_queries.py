@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import functions as F
 
 from docloom.functions import fixed, messages
@@ -256,10 +259,13 @@ def attachment_texts(spark, d):
 @query("""SELECT concat('m', doc_id) AS chunk_id, text, source AS source_file FROM documents""")
 def json_lines(spark, d):
     """Chunks through the JSON sink and back."""
-    import tempfile
-
     rows = t(spark, d, "documents").select(F.concat(F.lit("m"), "doc_id").alias("chunk_id"), "text", F.col("source").alias("source_file"))
-    path = f"{spark.conf.get('spark.checkpoint.dir', None) or 'file://' + tempfile.mkdtemp(prefix='docloom-')}/chunks-{spark.sparkContext.applicationId}-{id(rows)}"
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="docloom-")
+    path = f"{root}/chunks-{uuid.uuid4().hex}"
     files.write_jsonl(rows, path)
     return spark.read.schema(rows.schema).json(path)
 
