@@ -56,9 +56,12 @@ def recognised(pages: DataFrame, ocr: Callable[[pd.Series], pd.Series], *, key:
                     texts[i], done[i] = text, bool(text and str(text).strip())
             yield pd.DataFrame({"key": pdf[key], "text": texts, "requests": requests})
 
-    made = distinct.mapInPandas(run, "key string, text string, requests int")
+    return judged(distinct.mapInPandas(run, "key string, text string, requests int"))
+
+
+def judged(made: DataFrame) -> DataFrame:
+    """``made(text)`` with a status: a healthy text that a machine read is a warning, never a pass."""
     status = quality.status(quality.metrics(F.coalesce("text", F.lit(""))))
-    # a healthy text that a machine read is a warning, never a pass
     return made.withColumn("status", F.when(status == "PASS", "WARNING").otherwise(status))
 
 

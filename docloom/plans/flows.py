@@ -39,10 +39,18 @@ def emails_from_files(found: DataFrame, parser: Callable[[bytes], dict] = mail.p
 
 
 def hybrid_pages(
-    source: DataFrame, ocr: Callable[[pd.Series], pd.Series], cache: DataFrame, *, tries: int = 2
+    source: DataFrame,
+    ocr: Callable[[pd.Series], pd.Series],
+    cache: DataFrame,
+    *,
+    tries: int = 2,
+    ocr_batch: Callable[[list[bytes], str], str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Healthy pages keep their own text, others go to OCR: distinct ones, unknown to the cache, once each.
 
+    With ``ocr_batch`` the pages of a document go in batches, those that a batch does not answer well alone
+    (``pages.recognised_in_batches``).
+
     ``source(file, number, total, size_mb, raw, span_text, image_ratio, turned, key, content)``. Returns pages
     (file, number, method, status, text) and the results to add to the cache.
     """
@@ -56,7 +64,13 @@ def hybrid_pages(
     asked = routed.where(F.size("_reasons") > 0).select("file", "number", "key", "content")
     jobs = asked.select("key", "content").dropDuplicates(["key"])
     known = pages.cached(jobs.select("key"), cache).where("text is not null")
-    fresh = pages.recognised(jobs.join(known, "key", "left_anti"), ocr, tries=tries).persist()
+    if ocr_batch is None:
+        fresh = pages.recognised(jobs.join(known, "key", "left_anti"), ocr, tries=tries).persist()
+    else:
+        places = asked.groupBy("key").agg(F.min(F.struct("file", "number")).alias("_p")).join(known, "key", "left_anti")
+        first = places.select("key", F.col("_p.file").alias("doc"), F.col("_p.number").cast("long").alias("page"))
+        unknown = first.join(jobs, "key").select("doc", "page", "key", "content")
+        fresh = pages.judged(pages.recognised_in_batches(unknown, lambda contents: list(ocr(pd.Series(contents))), ocr_batch)).persist()
     texts = known.select("key", "text", F.lit("WARNING").alias("status")).unionByName(fresh.select("key", "text", "status"))
     seen = pages.fan_out(texts, asked.select("file", "number", "key")).select(
         "file", "number", F.lit("ocr").alias("method"), F.coalesce("status", F.lit("FAIL")).alias("status"), "text"

@@ -131,6 +131,21 @@ def test_distinct_pages_go_to_ocr_once_and_failures_are_bounded(spark):
     assert pages.cached(warm.select("key"), tampered).where("text is not null").count() == 0
 
 
+def test_pages_in_batches_are_the_same_pages(spark):
+    def text(content):
+        return f"{SENTENCE} {bytes(content).decode() if not isinstance(content, str) else content}"
+
+    def batch(contents, token):
+        return "".join(f"{token} {n} BEGIN\n{text(c)}\n{token} {n} END\n" for n, c in enumerate(contents, 1))
+
+    rows = source_pages(spark).withColumn("content", F.encode(F.col("content").cast("string"), "utf-8"))
+    empty = spark.createDataFrame([], pages.CACHE)
+    plain, _ = flows.hybrid_pages(rows, lambda c: c.map(text), empty)
+    batched, add = flows.hybrid_pages(rows, lambda c: c.map(text), empty, ocr_batch=batch)
+    key = lambda df: sorted((r["file"], r["number"], r["method"], r["status"], r["text"]) for r in df.collect())
+    assert key(plain) == key(batched) and add.count() > 0
+
+
 def test_retries_are_counted(spark):
     rows = spark.createDataFrame([("a", "x"), ("b", "y")], "key string, content string")
     got = pages.recognised(rows, lambda c: c.map(lambda v: SENTENCE if v == "y" else None), tries=3).collect()
