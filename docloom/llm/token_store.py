@@ -274,7 +274,7 @@ def tokenizer_of(path: str) -> CachedTokenizer:
 WRITTEN = "file string, part bigint, number bigint, n_docs bigint, n_ids bigint"
 WRITTEN_ARROW = pa.schema([("file", pa.string()), *((x, pa.int64()) for x in ("part", "number", "n_docs", "n_ids"))])
 BLOCK_PARTS = 4096
-HEAD = 64  # characters by which texts of one doc_id are dealt
+HEAD = 16  # characters by which texts of one doc_id are dealt
 RESULT = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
 RESULT_ARROW = pa.schema([(x, pa.int64()) for x in ("doc_id", "start", "n_tokens", "ids_crc32")])
 
