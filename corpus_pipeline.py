@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
 from docloom.llm import decontamination, jaccard_join, mixing, quality_rules, token_store
-from docloom.llm.common import stored, table
+from docloom.llm.common import looked_up, stored, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 #: Lines go and documents are judged by expressions that SQL has no equal for in one statement with the byte-level
@@ -59,8 +59,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     rows = docs.select(key.alias("key"), F.col("doc_id").alias("id")).groupBy("key").agg(F.min("id").alias("id"), F.count("*").alias("n"))
     named = stored(rows.join(found.distinct(), "key"), "near-duplicates")
     order = F.struct(F.col("id").isNull().alias("last"), "id", "key")
-    first = named.groupBy("class_id").agg(F.min(order).alias("first")).select("class_id", F.col("first.key").alias("stays"))
-    judged = named.join(first, "class_id").select("key", "n", (F.col("key") == F.col("stays")).alias("stays"))
+    first = named.groupBy("class_id").agg(F.min(order).alias("first"), F.count("*").alias("rows"))
+    first = stored(first.select("class_id", "rows", F.col("first.key").alias("stays")), "near-duplicate-classes")
+    judged = looked_up(named, first, "class_id", "rows").select("key", "n", (F.col("key") == F.col("stays")).alias("stays"))
     kept = chosen(docs, judged.where("n > 1 or not stays"), "left_anti")
     repeated = chosen(docs, judged.where("n > 1 and stays"), "left_semi")
     return kept.unionByName(repeated.dropDuplicates(hashable(docs)))
