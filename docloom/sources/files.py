@@ -128,9 +128,10 @@ def email_markdown(m: dict[str, Column]) -> Column:
     return F.concat_ws("\n", *lines)
 
 
-def attachment_markdown(a: dict[str, Column]) -> Column:
-    """An attachment's Markdown from columns attachment_name, kind, parents (array), notes (array), body."""
-    key = fixed.KEYS
+def attachment_markdown(a: dict[str, Column], *, empty: str = fixed.NO_TEXT_BODY) -> Column:
+    """An attachment's Markdown from columns attachment_name, kind, parents (array), notes (array), body. A missing body
+    (null) has a notice; ``empty`` is what a blank one has."""
+    key, body = fixed.KEYS, X.strip(a["body"])
     items = lambda c: F.array_join(F.transform(c, lambda x: F.concat(F.lit("- "), x)), "\n")
     lines = [
         F.lit("---"),
@@ -139,7 +140,7 @@ def attachment_markdown(a: dict[str, Column]) -> Column:
         F.when(F.size(a["parents"]) > 0, F.concat(F.lit(f"{key['parents']}:\n"), items(a["parents"]))),
         F.when(F.size(a["notes"]) > 0, F.concat(F.lit(f"{key['notes']}: "), F.array_join(a["notes"], "؛ "))),
         F.lit("---\n"),
-        F.coalesce(F.nullif(X.strip(a["body"]), F.lit("")), F.lit(fixed.NO_TEXT_BODY)),
+        F.coalesce(F.when(body == "", F.lit(empty)), body, F.lit(fixed.NO_TEXT_BODY)),
     ]
     return F.concat_ws("\n", *lines)
 
