@@ -106,9 +106,9 @@ def contained(path: str, root: str) -> str:
     return full
 
 
-def email_markdown(m: dict[str, Column]) -> Column:
+def email_markdown(m: dict[str, Column], *, empty: str = fixed.EMPTY_BODY) -> Column:
     """An e-mail's Markdown from columns message_id, subject, sender, to, cc, jalali_date, source_name, attachments
-    (array), body."""
+    (array), body. A missing body (null) has a notice; ``empty`` is what an empty one has."""
     key, n = fixed.KEYS, F.size(m["attachments"])
     listed = F.when(n > 0, F.concat(F.lit("\n"), F.array_join(F.transform(m["attachments"], lambda a: F.concat(F.lit("- attachments/"), a)), "\n")))
     lines = [
@@ -123,7 +123,7 @@ def email_markdown(m: dict[str, Column]) -> Column:
         F.concat(F.lit(f"{key['n_attachments']}: "), n.cast("string")),
         F.concat(F.lit(f"{key['attachments']}:"), F.coalesce(listed, F.lit(f" {fixed.NONE}"))),
         F.lit("---\n"),
-        F.coalesce(F.nullif(m["body"], F.lit("")), F.lit(fixed.EMPTY_BODY)),
+        F.coalesce(F.when(m["body"] == "", F.lit(empty)), m["body"], F.lit(fixed.EMPTY_BODY)),
     ]
     return F.concat_ws("\n", *lines)
 

@@ -36,3 +36,12 @@ def test_an_attachment_with_an_empty_text(spark, tmp_path):
     fields = {k: F.lit("x") for k in ("attachment_name", "kind")} | {k: F.array().cast("array<string>") for k in ("parents", "notes")}
     md = [files.attachment_markdown(fields | {"body": F.lit(x).cast("string")}) for x in (None, " ")]
     assert all(r.endswith(fixed.NO_TEXT_BODY) for r in spark.range(1).select(*[m.alias(f"m{i}") for i, m in enumerate(md)]).first())
+
+
+def test_an_email_with_an_empty_text(spark, tmp_path):
+    got, want = documents(spark, tmp_path, "email_texts")
+    assert got == want
+    keys = ("message_id", "subject", "sender", "to", "cc", "jalali_date", "source_name")
+    fields = {k: F.lit("x") for k in keys} | {"attachments": F.array().cast("array<string>")}
+    md = [files.email_markdown(fields | {"body": F.lit(x).cast("string")}) for x in (None, "")]
+    assert all(r.endswith(fixed.EMPTY_BODY) for r in spark.range(1).select(*[m.alias(f"m{i}") for i, m in enumerate(md)]).first())
