@@ -73,12 +73,12 @@ def file_name(name: Column, limit: int = 60) -> Column:
     return F.when(F.coalesce(name, F.lit("")) == "", F.lit(fixed.NO_NAME)).otherwise(F.concat(short, extension))
 
 
-def export_name(name: Column, limit: int = 100) -> Column:
-    """A name for exports: warnings go, spaces collapse, no trailing dots or spaces."""
+def export_name(name: Column, limit: int = 100, *, empty: str = fixed.NO_NAME) -> Column:
+    """A name for exports: warnings go, spaces collapse, no trailing dots or spaces; ``empty`` if nothing is left."""
     bare = F.regexp_replace(name, "(?i)" + fixed.SUBJECT_WARNING, "")
     clean = F.regexp_replace(F.regexp_replace(bare, r'[\\/*?:"<>|\x00-\x1f]', "_"), r"(?U)\s+", " ")
     cut = F.regexp_replace(F.substring(clean, 1, limit), r"^[ .]+|[ .]+$", "")
-    return F.when(F.coalesce(cut, F.lit("")) == "", F.lit(fixed.NO_NAME)).otherwise(cut)
+    return F.when(F.coalesce(cut, F.lit("")) == "", F.lit(empty)).otherwise(cut)
 
 
 def fitted_name(name: Column, limit: Column) -> Column:

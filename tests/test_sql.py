@@ -45,3 +45,9 @@ def test_an_email_with_an_empty_text(spark, tmp_path):
     fields = {k: F.lit("x") for k in keys} | {"attachments": F.array().cast("array<string>")}
     md = [files.email_markdown(fields | {"body": F.lit(x).cast("string")}) for x in (None, "")]
     assert all(r.endswith(fixed.EMPTY_BODY) for r in spark.range(1).select(*[m.alias(f"m{i}") for i, m in enumerate(md)]).first())
+
+
+def test_an_export_name_of_nothing(spark, tmp_path):
+    got, want = documents(spark, tmp_path, "export_names")
+    assert got == want and ("", 0) in {(name, doc) for doc, name in got}
+    assert spark.range(1).select(X.export_name(F.lit(" ..")).alias("a")).first()["a"] == fixed.NO_NAME
