@@ -51,3 +51,12 @@ def test_an_export_name_of_nothing(spark, tmp_path):
     got, want = documents(spark, tmp_path, "export_names")
     assert got == want and ("", 0) in {(name, doc) for doc, name in got}
     assert spark.range(1).select(X.export_name(F.lit(" ..")).alias("a")).first()["a"] == fixed.NO_NAME
+
+
+def test_a_blank_page_comes_back(spark, tmp_path):
+    got, want = documents(spark, tmp_path, "page_engine")
+    assert got == want
+    jobs = spark.createDataFrame([("a", 0, "k", bytearray())], "doc string, page bigint, key string, content binary")
+    read = lambda contents: [bytes(c).decode() for c in contents]
+    taken, refused = (pages.recognised_in_batches(jobs, read, None, *usable).first() for usable in ([lambda x: x is not None], []))
+    assert (taken["text"], taken["error"], refused["text"]) == ("", None, None) and refused["error"]
