@@ -142,5 +142,10 @@ def sorted_unique(x: np.ndarray) -> np.ndarray:
     return x[np.concatenate(([True], x[1:] != x[:-1]))] if len(x) else x
 
 
-def batches_of(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    return (b for b in rows if b.num_rows)
+def batches_of(rows: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches that hold rows, of about ``most`` bytes (a row at least): what is made Python's at a time."""
+    for b in rows:
+        step = max(1, b.num_rows * most // max(1, b.nbytes))
+        for i in range(0, b.num_rows, step):
+            yield b.slice(i, step)
+        del b  # before the next batch is read

@@ -24,9 +24,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import WORD_TABLE, Vocab, batches_of, id_and_text, shared_dir, stored, texts
+from docloom.llm.common import WORD_TABLE, Vocab, batches_of, id_and_text, shared_dir, sorted_unique, stored, texts
 from docloom.llm.shared_files import read_file, write_file
 
+BEFORE = 1 << 20  # more than a phrase and its slop are long
 SEGMENT = "doc_ids array<bigint>, ends array<bigint>, terms binary, counts binary, postings binary"
 SEGMENT_ARROW = pa.schema(
     [
@@ -184,8 +185,8 @@ def _search_segment(row: dict, blocks: list[str], slop: int) -> pa.RecordBatch:
             if slop:  # every start that the rarest term may stand near
                 starts = (starts[:, None] + np.arange(-slop, slop + 1)).ravel()
                 doc = np.repeat(doc, 2 * slop + 1)
-                new = np.unique(np.stack((doc, starts)), axis=1)
-                doc, starts = new[0], new[1]
+                new = sorted_unique((doc << 32) + starts + BEFORE)  # a start may lie before its document
+                doc, starts = new >> 32, (new & 0xFFFFFFFF) - BEFORE
             exact = np.ones(len(starts), bool)
             for j in order if slop else order[1:]:
                 places = postings[offsets[at[j]] : offsets[at[j] + 1]]
