@@ -56,6 +56,13 @@ FIELDS = 7  # of a reply: r1, r2, range, number in it, members, present members,
 LEVELS = "chunk bigint, ids binary, ties binary, ends binary, places binary, ranks binary, sizes binary, firsts binary, wholes binary"
 STATES = "chunk bigint, ends binary, at binary, stays binary"
 TAGS = 64  # numbers of different exchanges never meet
+TASK_ROWS = 100_000  # lines or suffixes of a task
+
+
+def _tasks(most: int, lines: int, suffixes: int | None = None) -> int:
+    """Tasks for all lines, or for the suffixes that are left of them (a chunk costs a sixteenth of its lines besides)."""
+    rows = lines if suffixes is None else suffixes + lines // 16
+    return max(1, min(most, -(-rows // TASK_ROWS)))
 
 
 def _numbers(data: bytes | None, width: int = 1) -> np.ndarray:
@@ -287,8 +294,11 @@ class Exchange:
             self.starts[part], self.total, self.shared = self.total, self.total + n, self.shared + shared
 
 
-def meet(frames: dict[int, DataFrame], run: Callable[[dict[int, list[dict]]], dict | list | pa.RecordBatch | None], schema: str) -> DataFrame:
-    """``run`` on each chunk's rows by kind; it gives a row, rows, or None: the chunk has nothing to say any more."""
+def meet(
+    frames: dict[int, DataFrame], run: Callable[[dict[int, list[dict]]], dict | list | pa.RecordBatch | None], schema: str, n: int
+) -> DataFrame:
+    """``run`` on each chunk's rows by kind, in ``n`` tasks that hold one chunk at a time; it gives a row, rows, or None:
+    the chunk has nothing to say any more."""
 
     known = tuple(frames)
 
@@ -306,7 +316,6 @@ def meet(frames: dict[int, DataFrame], run: Callable[[dict[int, list[dict]]], di
         own = frame.withColumn("kind", F.lit(kind))
         own = own.where("chunk >= 0").drop("range", "count", "shared") if kind == ANSWERS else own
         both = own if both is None else both.unionByName(own, allowMissingColumns=True)
-    n = _parts(both)
     number = F.shiftright("chunk", 20) * 13 + F.col("chunk").bitwiseAND(F.lit((1 << 20) - 1))
     dealt = both.repartitionById(n, F.pmod(number, F.lit(n)).cast("int")).sortWithinPartitions("chunk", "kind")
     return dealt.mapInArrow(each, schema)
@@ -326,7 +335,7 @@ def _answered(r1: np.ndarray, r2: np.ndarray, answers: list[dict]) -> tuple[np.n
     return np.flatnonzero(which >= 0), which[which >= 0], rows
 
 
-def levelled(source: DataFrame, exchange: Exchange, offset: int | None, whole: int = 0) -> DataFrame:
+def levelled(source: DataFrame, exchange: Exchange, offset: int | None, n: int, whole: int = 0) -> DataFrame:
     """The next level: shared places, their ranks, their intervals' sizes, and which are first of their interval.
 
     ``offset`` None: the first level, from the lines themselves; ``wholes``: later copies of short documents.
@@ -354,7 +363,7 @@ def levelled(source: DataFrame, exchange: Exchange, offset: int | None, whole: i
         }
 
     keep = ("chunk", "ids", "ties", "ends", "hashes") if offset is None else ("chunk", "ids", "ties", "ends", "places", "ranks", "sizes")
-    return meet({kind: source.select(*keep), ANSWERS: exchange.rows}, run, LEVELS)
+    return meet({kind: source.select(*keep), ANSWERS: exchange.rows}, run, LEVELS, n)
 
 
 def _dense(row: dict, n: int) -> np.ndarray:
@@ -392,10 +401,12 @@ def state_asks(state: DataFrame, level: DataFrame, parts: int) -> DataFrame:
         return _asks(row["chunk"], ranges.astype(np.int64), r1[first], r2[first], last[first], last[first], place[first], n, w)
 
     frames = {STATE: state, LEVEL: level.select("chunk", "places", "ranks")}
-    return meet(frames, run, ASKS)
+    return meet(frames, run, ASKS, parts)
 
 
-def descend(state: DataFrame | None, exchange: Exchange | None, level: DataFrame, deeper: DataFrame | None, k: int, enter: bool) -> DataFrame:
+def descend(
+    state: DataFrame | None, exchange: Exchange | None, level: DataFrame, deeper: DataFrame | None, k: int, enter: bool, tasks: int
+) -> DataFrame:
     """The state after depth 2^k: (place, length, interval, members) of each suffix, and its witnesses
     (place, length, interval, members that the place stands for).
 
@@ -447,10 +458,10 @@ def descend(state: DataFrame | None, exchange: Exchange | None, level: DataFrame
         frames |= {STATE: state, ANSWERS: exchange.rows}
     if deeper is not None and enter:
         frames[DEEPER] = deeper.select("chunk", "places", "sizes", "firsts")
-    return meet(frames, run, STATES)
+    return meet(frames, run, STATES, tasks)
 
 
-def later(level: DataFrame, exchange: Exchange, offset: int) -> DataFrame:
+def later(level: DataFrame, exchange: Exchange, offset: int, n: int) -> DataFrame:
     """The places of each chunk whose run of a depth between two levels has an earlier copy."""
 
     def run(kinds: dict[int, list[dict]]) -> dict | None:
@@ -462,7 +473,7 @@ def later(level: DataFrame, exchange: Exchange, offset: int) -> DataFrame:
         return {"chunk": row["chunk"], "places": _bytes(place[at][rows[which, 6] != place[at]])}
 
     frames = {LEVEL: level.select("chunk", "ids", "ties", "ends", "places", "ranks", "sizes"), ANSWERS: exchange.rows}
-    return meet(frames, run, "chunk bigint, places binary")
+    return meet(frames, run, "chunk bigint, places binary", n)
 
 
 def _covered(n: int, places: np.ndarray, lengths: np.ndarray | int) -> np.ndarray:
@@ -486,7 +497,7 @@ def _line_spans(gone: np.ndarray, numbers: np.ndarray) -> str:
     return ",".join(f"{a}:{b}" for a, b in _spans(cover))
 
 
-def reported(body: DataFrame, judged: DataFrame, state: DataFrame | None, *, min_run: int, long_words: int) -> DataFrame:
+def reported(body: DataFrame, judged: DataFrame, state: DataFrame | None, tasks: int, *, min_run: int, long_words: int) -> DataFrame:
     """Per document: its lines, those deleted, those of shorter copies too, and its maximal repeated runs."""
 
     def run(kinds: dict[int, list[dict]]) -> list[dict] | None:
@@ -527,7 +538,7 @@ def reported(body: DataFrame, judged: DataFrame, state: DataFrame | None, *, min
 
     keep = ("chunk", "doc_ids", "ends", "numbers", "words")
     frames = {BODY: body.select(*keep), JUDGED: judged} | ({STATE: state.select("chunk", "at")} if state is not None else {})
-    return meet(frames, run, RESULT)
+    return meet(frames, run, RESULT, tasks)
 
 
 def repeated_runs(docs: DataFrame, *, min_run: int = 3, long_words: int = 50, chunk_lines: int = 200_000) -> DataFrame:
@@ -535,16 +546,20 @@ def repeated_runs(docs: DataFrame, *, min_run: int = 3, long_words: int = 50, ch
     those of shorter runs of ``long_words`` words and of short whole documents too (``repeats``), and the maximal runs of
     ``min_run`` lines or more that occur elsewhere too, as first line:end:copies (``runs``, ``n_runs``, ``longest_run``)."""
     body = stored(chunks(docs, chunk_lines=chunk_lines), "line-chunks")
-    parts, whole = _parts(docs), min_run - 1
+    whole, most = min_run - 1, _parts(docs)
+    lines = (body.agg(F.sum(F.octet_length("numbers"))).first()[0] or 0) // 4
+    parts = _tasks(most, lines)
     exchange = Exchange(first_asks(body, parts, whole), parts)
-    level = stored(levelled(body, exchange, None, whole), "line-level")
-    levels, totals = [level], [exchange.total]
+    level = stored(levelled(body, exchange, None, parts, whole), "line-level")
+    # Each level holds the suffixes that still share a rank, soon a small part of all: so many tasks meet on it.
+    levels, totals, tasks = [level], [exchange.total], [_tasks(most, lines, exchange.shared)]
     while exchange.shared:
         offset = 1 << (len(levels) - 1)
-        exchange = Exchange(next_asks(levels[-1], parts, offset, totals[-1]), parts)
+        exchange = Exchange(next_asks(levels[-1], tasks[-1], offset, totals[-1]), tasks[-1])
         if exchange.shared:
-            levels.append(stored(levelled(levels[-1], exchange, offset), "line-level"))
+            levels.append(stored(levelled(levels[-1], exchange, offset, tasks[-1]), "line-level"))
             totals.append(exchange.total)
+            tasks.append(_tasks(most, lines, exchange.shared))
     judged = None
     for depth in range(1, min_run + 1):
         k = depth.bit_length() - 1
@@ -554,8 +569,8 @@ def repeated_runs(docs: DataFrame, *, min_run: int = 3, long_words: int = 50, ch
             rows = levels[k].select("chunk", "places", "firsts", "wholes")
         else:
             offset = depth - (1 << k)
-            own = Exchange(next_asks(levels[k], parts, offset, totals[k]), parts)
-            rows = later(levels[k], own, offset).select("chunk", "places", F.lit(None).cast("binary").alias("firsts"), F.lit(None).cast("binary").alias("wholes"))
+            own = Exchange(next_asks(levels[k], tasks[k], offset, totals[k]), tasks[k])
+            rows = later(levels[k], own, offset, tasks[k]).select("chunk", "places", F.lit(None).cast("binary").alias("firsts"), F.lit(None).cast("binary").alias("wholes"))
         rows = rows.withColumn("depth", F.lit(depth).cast("long"))
         judged = rows if judged is None else judged.unionByName(rows)
     state = None
@@ -564,9 +579,9 @@ def repeated_runs(docs: DataFrame, *, min_run: int = 3, long_words: int = 50, ch
         if state is None and not enter:
             break
         deeper = levels[k + 1] if k + 1 < len(levels) else None
-        own = Exchange(state_asks(state, levels[k], parts), parts) if state is not None else None
-        state = stored(descend(state, own, levels[k], deeper, k, enter), "line-intervals")
-    return reported(body, judged, state, min_run=min_run, long_words=long_words)
+        own = Exchange(state_asks(state, levels[k], tasks[k]), tasks[k]) if state is not None else None
+        state = stored(descend(state, own, levels[k], deeper, k, enter, tasks[k]), "line-intervals")
+    return reported(body, judged, state, parts, min_run=min_run, long_words=long_words)
 
 
 def without(text: str | None, removed: str) -> str:

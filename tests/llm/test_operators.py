@@ -326,6 +326,21 @@ def test_line_copies_do_not_depend_on_the_layout(spark):
     assert got[0] == got[1] == got[2] and sum(r[2] for r in got[0]) == 10
 
 
+@pytest.mark.parametrize("rows_of_a_task", [1, 40])
+def test_line_exchanges_take_tasks_for_the_suffixes_that_are_left(spark, monkeypatch, rows_of_a_task):
+    frame, dealt = type(spark.range(0)), []
+    plain = frame.repartitionById
+    monkeypatch.setattr(frame, "repartitionById", lambda self, n, *by: dealt.append(n) or plain(self, n, *by))
+    monkeypatch.setattr(line_dedup, "TASK_ROWS", rows_of_a_task)
+    copied, own = "\n".join(f"line {i}" for i in range(12)), "\n".join(f"own {i}" for i in range(200))
+    rows = [*ROWS, (400, copied, ""), (401, f"{own}\n{copied}", ""), (402, "\n".join(["same"] * 9), "")]
+    got = line_dedup.repeated_runs(odd_docs(spark, rows), chunk_lines=60).persist()
+    assert collected(got.select("doc_id", "n_lines", "n_removed")) == runs_removed(rows, 3)
+    assert collected(got.select("doc_id", "n_runs", "longest_run", "runs")) == maximal_runs(rows, 3)
+    got.unpersist()
+    assert dealt[0] == dealt[-1] == 4 and min(dealt) == (4 if rows_of_a_task == 1 else 2)
+
+
 def test_lines_are_deleted_by_number():
     assert line_dedup.without("a\nb\n\nc", "1:3") == "a\nc" and line_dedup.without(None, "") == ""
 
