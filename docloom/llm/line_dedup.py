@@ -294,6 +294,13 @@ class Exchange:
             self.starts[part], self.total, self.shared = self.total, self.total + n, self.shared + shared
 
 
+def by_chunk(rows: DataFrame, n: int) -> DataFrame:
+    """Rows dealt evenly by their chunk. Partitions are 13 apart, so a multiple of 13 tasks would leave most without any."""
+    n += n % 13 == 0
+    number = F.shiftright("chunk", 20) * 13 + F.col("chunk").bitwiseAND(F.lit((1 << 20) - 1))
+    return rows.repartitionById(n, F.pmod(number, F.lit(n)).cast("int"))
+
+
 def meet(
     frames: dict[int, DataFrame], run: Callable[[dict[int, list[dict]]], dict | list | pa.RecordBatch | None], schema: str, n: int
 ) -> DataFrame:
@@ -316,9 +323,7 @@ def meet(
         own = frame.withColumn("kind", F.lit(kind))
         own = own.where("chunk >= 0").drop("range", "count", "shared") if kind == ANSWERS else own
         both = own if both is None else both.unionByName(own, allowMissingColumns=True)
-    number = F.shiftright("chunk", 20) * 13 + F.col("chunk").bitwiseAND(F.lit((1 << 20) - 1))
-    dealt = both.repartitionById(n, F.pmod(number, F.lit(n)).cast("int")).sortWithinPartitions("chunk", "kind")
-    return dealt.mapInArrow(each, schema)
+    return by_chunk(both, n).sortWithinPartitions("chunk", "kind").mapInArrow(each, schema)
 
 
 def _answered(r1: np.ndarray, r2: np.ndarray, answers: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

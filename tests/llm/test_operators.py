@@ -341,6 +341,13 @@ def test_line_exchanges_take_tasks_for_the_suffixes_that_are_left(spark, monkeyp
     assert dealt[0] == dealt[-1] == 4 and min(dealt) == (4 if rows_of_a_task == 1 else 2)
 
 
+@pytest.mark.parametrize("n", [1, 13, 25, 26])
+def test_chunks_of_lines_are_dealt_evenly(spark, n):
+    rows = line_dedup.by_chunk(spark.range(52).selectExpr("shiftleft(id, 20) AS chunk"), n)
+    sizes = Counter(r[0] for r in rows.selectExpr("spark_partition_id()").collect())
+    assert max(sizes.values()) <= -(-52 // n)
+
+
 def test_lines_are_deleted_by_number():
     assert line_dedup.without("a\nb\n\nc", "1:3") == "a\nc" and line_dedup.without(None, "") == ""
 
