@@ -253,7 +253,7 @@ def replies(asked: DataFrame, parts: int) -> DataFrame:
             at = np.flatnonzero(new)
             head = int(at[0]) if len(at) else len(r1)
             if head:
-                held.append(chunk[:head])
+                held.append(chunk[:head].copy())  # a view would hold its whole batch
                 here, gone = here + int(n[:head].sum()), gone + int(w[:head].sum())
             if not len(at):
                 continue
@@ -273,7 +273,7 @@ def replies(asked: DataFrame, parts: int) -> DataFrame:
                 columns = r1[a:b], r2[a:b], np.full(b - a, part), each(number), each(members + others), each(members), firsts
                 yield from out.add(chunk[a:b][keep], np.stack(columns, 1)[keep])
                 local, shared = local + int(members.sum()), shared + int(members[ok].sum())
-            key, held, here, gone, first = (r1[b], r2[b]), [chunk[b:]], int(n[b:].sum()), int(w[b:].sum()), int(place[b])
+            key, held, here, gone, first = (r1[b], r2[b]), [chunk[b:].copy()], int(n[b:].sum()), int(w[b:].sum()), int(place[b])
         if key is not None:
             yield from close()
         yield from out.flush()

@@ -348,6 +348,30 @@ def test_chunks_of_lines_are_dealt_evenly(spark, n):
     assert max(sizes.values()) <= -(-52 // n)
 
 
+def test_a_line_of_all_chunks_holds_eight_bytes_a_chunk(spark):
+    """Of the pair at hand its chunks are held, not the batches that they came in."""
+    import pyarrow as pa
+
+    class Asked:
+        repartitionById = sortWithinPartitions = lambda self, *a: self
+        mapInArrow = lambda self, run, schema: run
+
+    many, each, held, schema = 40, 10_000, [], line_dedup._schema(line_dedup.ASKS)
+
+    def batches():
+        for i in range(many):
+            at = np.arange(i * each, (i + 1) * each)
+            values = {**{x: at * 0 for x in schema.names}, "r1": at * 0 + 5, "chunk": at, "place": at + 7, "n": at * 0 + 1}
+            yield pa.ipc.read_record_batch(pa.RecordBatch.from_pydict(values, schema).serialize(), schema)
+            held.append(pa.total_allocated_bytes())
+
+    got = pa.Table.from_batches(list(line_dedup.replies(Asked(), 1)(batches()))).to_pylist()
+    assert max(held) - held[0] < 4 * each * len(schema) * 8
+    rows = np.concatenate([np.frombuffer(r["data"], "<i8").reshape(-1, 7) for r in got if r["chunk"] >= 0])
+    assert len(rows) == many * each and (rows[:, 4] == many * each).all() and sorted(rows[:, 6])[-2:] == [-1, 7]
+    assert [(r["count"], r["shared"]) for r in got if r["chunk"] == -1] == [(many * each,) * 2]
+
+
 def test_lines_are_deleted_by_number():
     assert line_dedup.without("a\nb\n\nc", "1:3") == "a\nc" and line_dedup.without(None, "") == ""
 
